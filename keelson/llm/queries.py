@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import substrings
+from . import recompression, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,14 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-QUERIES: dict[str, Query] = {"op1_substring_dedup": op1_substring_dedup}
+def op9_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = recompression.dedup_word_windows(_table(spark, sf_dir, "documents"), words=13)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op9_recompression_dedup": op9_recompression_dedup,
+}
 
 ORACLES: dict[str, str] = {}
