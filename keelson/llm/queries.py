@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import recompression, substrings
+from . import recompression, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,9 +25,14 @@ def op9_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op9_recompression_dedup": op9_recompression_dedup,
+    "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
 ORACLES: dict[str, str] = {}
