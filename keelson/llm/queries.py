@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import recompression, simhash, substrings
+from . import fertility, pieces, quality, recompression, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,8 +29,29 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def _model(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_texts(_table(spark, sf_dir, "documents"), _model("piece_bpe_32k.model"), full=False)
+
+
+def op8_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.judge(_table(spark, sf_dir, "documents"), _model("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op6_quality_trees": op6_quality_trees,
+    "op7_sentencepiece": op7_sentencepiece,
+    "op8_fertility_rules": op8_fertility_rules,
     "op9_recompression_dedup": op9_recompression_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
