@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fertility, pieces, quality, recompression, simhash, substrings
+from . import fertility, licenses, pieces, quality, recompression, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,10 @@ def _model(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -49,6 +53,7 @@ def op8_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_license_digests": op3_license_digests,
     "op6_quality_trees": op6_quality_trees,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_fertility_rules": op8_fertility_rules,
@@ -56,4 +61,4 @@ QUERIES: dict[str, Query] = {
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_license_digests": licenses.ORACLE}
