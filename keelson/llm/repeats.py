@@ -165,12 +165,15 @@ def _tied_test(replies: pa.Table, bits: int, wide: bool):
         full.append((U64(bucket) << shift) | (low if wide else low << U64(32 - bits)))
     known = np.sort(np.concatenate(full)) if full else np.zeros(0, U64)
     mask = U64(2**64 - 1) if wide else U64((2**64 - 1) ^ (2 ** (32 - bits) - 1))
+    maybe = np.zeros(1 << 22, bool)  # by the leading bits: most names that are not tied need no search
+    maybe[known >> U64(42)] = True
 
     def test(names: np.ndarray) -> np.ndarray:
-        if not len(known):
-            return np.zeros(len(names), bool)
-        names = names & mask
-        return known[np.minimum(np.searchsorted(known, names), len(known) - 1)] == names
+        found = maybe[names >> U64(42)]
+        at = np.flatnonzero(found)
+        sought = names[at] & mask
+        found[at] = known[np.minimum(np.searchsorted(known, sought), len(known) - 1)] == sought if len(at) else False
+        return found
 
     return test
 
@@ -183,19 +186,23 @@ def _block(docs: pa.Table) -> tuple[np.ndarray, Texts]:
     return ids, parts[0][2] if parts else Texts(np.zeros(0, np.uint8), np.zeros(1, np.int64))
 
 
-def _keys(scheme: Scheme, work, replies: pa.Table, bits: int, wide: bool):
-    """Windows of a block, and its distinct keys by (bucket, first text, key).
+def _keys(scheme: Scheme, work, replies: pa.Table, bits: int, wide: bool, only: tuple[int, int] | None = None):
+    """Windows of a block, and its distinct keys by (bucket, first text, key); of some buckets only, or of all.
 
     -> starts, text of each window, index of each window's key, distinct keys, their first text, their buckets
     """
     keys, starts, of = scheme.windows(work, _tied_test(replies, bits, wide))
+    if only:
+        bucket = _bucket(keys, bits)
+        keep = (bucket >= only[0]) & (bucket < only[1])
+        keys, starts, of = keys[keep], starts[keep], of[keep]
     order = np.argsort(keys, kind="stable")
     head = np.ones(len(keys), bool)
     head[1:] = keys[order][1:] != keys[order][:-1]
     which = np.empty(len(keys), np.int64)
     which[order] = np.cumsum(head) - 1
     distinct, first = keys[order][head], of[order][head]  # stable: the first text is the smallest id
-    rank = np.lexsort((distinct, first, _bucket(distinct, bits)))
+    rank = np.argsort(_bucket(distinct, bits) << 40 | first, kind="stable")  # keys are in order already
     back = np.empty(len(rank), np.int64)
     back[rank] = np.arange(len(rank))
     distinct, first = distinct[rank], first[rank]
@@ -208,7 +215,7 @@ def _sent(scheme: Scheme, bits: int, wide: bool, low: int, high: int):
         rows: dict[str, list] = {k: [] for k in ("bucket", "block", "ids", "counts", "keys")}
         if len(ids) and replies.num_rows:
             block = docs.column("block")[0].as_py()
-            *_, keys, first, bucket = _keys(scheme, scheme.prepare(texts), replies, bits, wide)
+            *_, keys, first, bucket = _keys(scheme, scheme.prepare(texts), replies, bits, wide, (low, high))
             cuts = np.searchsorted(bucket, np.arange(low, high + 1))
             for k, (s, e) in enumerate(zip(cuts[:-1], cuts[1:])):
                 if e > s:

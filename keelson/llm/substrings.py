@@ -63,7 +63,8 @@ class ByteStrings(Scheme):
         np.add.at(change, low[keep], 1)
         np.add.at(change, high[keep] + 1, -1)
         starts = np.flatnonzero(np.cumsum(change[:-1], dtype=np.int32))
-        return range_hash(prefix, starts, starts + self.length), starts, np.searchsorted(texts.off, starts, "right") - 1
+        per = np.diff(np.searchsorted(starts, texts.off))
+        return range_hash(prefix, starts, starts + self.length), starts, np.repeat(np.arange(len(per)), per)
 
     def finish(self, work, starts, ids):
         texts, _ = work
@@ -98,7 +99,7 @@ class ByteStrings(Scheme):
         )
 
 
-def dedup_substrings(docs: DataFrame, length: int = 50, rounds: int = 4) -> DataFrame:
+def dedup_substrings(docs: DataFrame, length: int = 50, rounds: int = 3) -> DataFrame:
     """One row per document: what is left once repeated ``length``-byte strings are removed.
 
     A byte goes if a string of ``length`` bytes that covers it also starts in a
