@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fertility, licenses, pieces, quality, recompression, simhash, substrings
+from . import decontaminate, fertility, licenses, lines, pieces, quality, recompression, simhash, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,10 +35,24 @@ def _model(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+def op5_token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    names = ("byte_bpe_50k", "byte_bpe_multi_50k")
+    return tokens.token_totals(documents, labels, *(_model(f"{n}.tiktoken") for n in names), *names)
+
+
 def op6_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -53,7 +67,10 @@ def op8_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_decontamination": op2_decontamination,
     "op3_license_digests": op3_license_digests,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_token_totals": op5_token_totals,
     "op6_quality_trees": op6_quality_trees,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_fertility_rules": op8_fertility_rules,
