@@ -201,5 +201,5 @@ def find_items(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean_of(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents in which no item is found, with all their columns (rows without doc_id stay)."""
-    found = find_items(docs, items).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs["doc_id"].cast("bigint") == found["_found"], "left_anti")
+    found = find_items(docs, items).select(F.col("doc_id").alias("found_in")).distinct()
+    return docs.join(found, docs["doc_id"].cast("bigint") == found["found_in"], "left_anti")
