@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import values as V
 from ..functions.vocabulary import ABBREVIATIONS, COMPOUND_ENDINGS, GENERIC_NAMES, ID_WORDS, NOISE_WORDS, REFERENCE_ENDINGS, TARGET_NAMES
+from ..plans.store import stored
 
 CONTAINMENT, ID_CONTAINMENT, OVERLAP = 0.80, 0.70, 0.80
 MIN_SHARED, MIN_SHARED_ID, MIN_VALUES = 5, 3, 3
@@ -139,19 +140,18 @@ def adjusted(scored: DataFrame) -> DataFrame:
     small_key = {s: F.col(f"is_pk_{s}") & (F.col(f"unique_values_{s}") < SMALL_KEY) for s in "ab"}
     key_size = F.when(small_key["a"], F.col("unique_values_a")).otherwise(F.col("unique_values_b"))
     generic = F.lower(F.trim(F.col("column_a"))).isin(*GENERIC_NAMES) & F.lower(F.trim(F.col("column_b"))).isin(*GENERIC_NAMES)
-    c = F.col("c")
-    steps = (
-        F.when(F.col("dtype_a") == F.col("dtype_b"), c + 0.05).when(~numeric & no_id, c - 0.15).otherwise(c),
-        F.when(~(_small_range("a") & _small_range("b")), c).when(naming, c - 0.10).when((span["a"] < 50) & (span["b"] < 50), c * 0.30).otherwise(c * 0.50),
-        F.when((_consecutive("a") | _consecutive("b")) & ~naming, c * 0.60).otherwise(c),
-        F.when(generic, c * 0.80).otherwise(c),
-        F.when(small_key["a"] & small_key["b"], c * 0.25)
-        .when((small_key["a"] | small_key["b"]) & ~naming, F.when(key_size < 30, c * 0.40).otherwise(c * 0.60))
-        .otherwise(c),
-        F.when(naming, F.least(c + 0.10, F.col("score") + 0.05)).otherwise(c),
-    )
-    rows = reduce(lambda d, step: d.withColumn("c", step), steps, scored.withColumn("c", F.col("score")))
-    return rows.withColumn("confidence", V.cents(F.greatest(F.lit(0.05), c))).drop("c").where(F.col("confidence") >= WEAK)
+    # Each step adds to the confidence or scales it, so the steps do not nest in one another.
+    small = _small_range("a") & _small_range("b")
+    one, none = F.lit(1.0), F.lit(0.0)
+    same_type = F.when(F.col("dtype_a") == F.col("dtype_b"), 0.05).when(~numeric & no_id, -0.15).otherwise(none)
+    chance = F.when(~small | naming, one).when((span["a"] < 50) & (span["b"] < 50), 0.30).otherwise(0.50)
+    counted = F.when((_consecutive("a") | _consecutive("b")) & ~naming, 0.60).otherwise(one)
+    vague = F.when(generic, 0.80).otherwise(one)
+    tiny = F.when(small_key["a"] & small_key["b"], 0.25).when((small_key["a"] | small_key["b"]) & ~naming, F.when(key_size < 30, 0.40).otherwise(0.60)).otherwise(one)
+    c = ((F.col("score") + same_type) * chance + F.when(small & naming, -0.10).otherwise(none)) * counted * vague * tiny
+    limit = F.when(naming, F.col("score") + 0.05).otherwise(F.lit(9.0))
+    confidence = V.cents(F.greatest(F.lit(0.05), F.least(c + F.when(naming, 0.10).otherwise(none), limit)))
+    return scored.withColumn("confidence", confidence).where(F.col("confidence") >= WEAK)
 
 
 def containment(adjusted_: DataFrame) -> DataFrame:
@@ -231,7 +231,7 @@ def naming(columns: DataFrame, tables: DataFrame, norm: DataFrame, base: float =
     order = F.array_position(F.lit(list(dict.fromkeys(n.lower() for n in TARGET_NAMES))), F.lower("column"))
     fallback = named.groupBy("table").agg(F.min_by("column", order).alias("named_key"))
     targets = tables.join(fallback, "table", "left").select(F.col("table").alias("to_table"), F.coalesce("primary_key", "named_key").alias("to_column")).where("to_column is not null")
-    edges = found.join(targets, "to_table")
+    edges = stored(found.join(targets, "to_table"), "naming")
     dtype = lambda t, c, name: columns.select(F.col("table").alias(t), F.col("column").alias(c), F.col("dtype").alias(name))
     edges = edges.join(dtype("table", "column", "d1"), ["table", "column"]).join(dtype("to_table", "to_column", "d2"), ["to_table", "to_column"], "left")
     held = containments(edges.select("table", "column", "to_table", "to_column"), norm)

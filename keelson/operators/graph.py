@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.store import stored
+
 
 def links(relations: DataFrame) -> DataFrame:
     return relations.select("from_table", "to_table").distinct()
@@ -37,26 +39,21 @@ def centrality(nodes: DataFrame, relations: DataFrame, rounds: int = 100, dampin
     n = nodes.count()
     if not n:
         return nodes.select("table", F.lit(0.0).alias("score"))
-    weighted = edges.join(out, "from_table").persist()
-    base = nodes.persist()
+    weighted = cut(edges.join(out, "from_table"))
+    base = cut(nodes)
     ranks = base.select("table", F.lit(1.0 / n).alias("rank"))
     for k in range(rounds):
         given = weighted.join(ranks, weighted["from_table"] == ranks["table"]).groupBy("to_table").agg(F.sum(F.col("rank") / F.col("n")).alias("given"))
         ranks = base.join(given, base["table"] == given["to_table"], "left").select(base["table"], (F.lit((1 - damping) / n) + damping * F.coalesce("given", F.lit(0.0))).alias("rank"))
-        if k % 5 == 4:
+        if k % 10 == 9:
             ranks = cut(ranks)
     top = ranks.agg(F.max("rank").alias("top"))
     return ranks.crossJoin(F.broadcast(top)).select("table", (F.floor(F.col("rank") / F.col("top") * 10000 + 0.5) / 100).alias("score"))
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df without its lineage, by a checkpoint in the folder that the cluster shares."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        import tempfile
-
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="keelson-"))
-    return df.checkpoint()
+    """df without its lineage."""
+    return stored(df, "graph")
 
 
 def paths(relations: DataFrame, hops: int, least: float, source: str | None = None) -> DataFrame:
@@ -100,7 +97,8 @@ def cycles(relations: DataFrame, length: int = 4) -> DataFrame:
 
 def critical_path(relations: DataFrame, length: int = 14) -> DataFrame:
     """(path, hops): the longest chain of relations among tables that are on no cycle and behind none."""
-    edges = links(relations).where("from_table <> to_table").select(F.col("from_table").alias("x"), F.col("to_table").alias("y")).persist()
+    edges = links(relations).where("from_table <> to_table").select(F.col("from_table").alias("x"), F.col("to_table").alias("y"))
+    edges = cut(edges)
     ends = edges.select(F.col("x").alias("t")).union(edges.select(F.col("y").alias("t"))).distinct()
     # Tables all of whose sources are settled become settled; those that never do are on or behind a cycle.
     settled = None
@@ -109,7 +107,7 @@ def critical_path(relations: DataFrame, length: int = 14) -> DataFrame:
         settled = ends.join(open_.select(F.col("y").alias("t")).distinct(), "t", "left_anti")
         if k % 3 == 2:
             settled = cut(settled)
-    settled = settled.persist()
+    settled = cut(settled)
     inside = edges.join(settled.withColumnRenamed("t", "x"), "x", "left_semi").join(settled.withColumnRenamed("t", "y"), "y", "left_semi")
     best = settled.select("t", F.array("t").alias("path"))
     level, found = best, [best]
@@ -128,7 +126,7 @@ def communities(nodes: DataFrame, relations: DataFrame, rounds: int = 30) -> Dat
     """(table, community): label propagation with a table's own label in the vote and ties to the smallest label; groups of two or more."""
     edges = links(relations)
     both = edges.select(F.col("from_table").alias("x"), F.col("to_table").alias("y")).union(edges.select(F.col("to_table").alias("x"), F.col("from_table").alias("y")))
-    both = both.union(nodes.select(F.col("table").alias("x"), F.col("table").alias("y"))).persist()
+    both = cut(both.union(nodes.select(F.col("table").alias("x"), F.col("table").alias("y"))))
     labels = cut(nodes.select("table", F.col("table").alias("label")))
     for _ in range(rounds):
         votes = both.join(labels, both["y"] == labels["table"]).groupBy("x", "label").agg(F.count("*").alias("n"))

@@ -1,19 +1,19 @@
 """A set of tables and what is derived from it, each part worked out once per session.
 
-Parts are lazy DataFrames.  The profile parts are persisted, as every later part starts from them; Spark
-works lost blocks out again.
+A part is written to the folder that the cluster shares when it is first asked for, as later
+parts start from it.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import discovery as D
 from ..operators import profile as P
+from .store import stored
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 _catalogs: dict[tuple[str, str], Catalog] = {}
@@ -32,7 +32,7 @@ class Catalog:
         return _catalogs[key]
 
     def _keep(self, df: DataFrame) -> DataFrame:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        return stored(df, "catalog")
 
     @cached_property
     def cells(self) -> DataFrame:
@@ -64,7 +64,7 @@ class Catalog:
 
     @cached_property
     def scores(self) -> DataFrame:
-        return D.scores(self.overlaps, self.candidates)
+        return self._keep(D.scores(self.overlaps, self.candidates))
 
     @cached_property
     def containment(self) -> DataFrame:
@@ -77,7 +77,7 @@ class Catalog:
     @cached_property
     def direct(self) -> DataFrame:
         """Containment and naming relations, and the abbreviations that follow from them."""
-        found = self.containment.unionByName(self.naming)
+        found = self._keep(self.containment.unionByName(self.naming))
         return self._keep(found.unionByName(D.abbreviated(self.columns, self.tables, self.norm, found)))
 
     @cached_property
@@ -86,7 +86,7 @@ class Catalog:
 
     @cached_property
     def all_relations(self) -> DataFrame:
-        return self.direct.unionByName(self.transitive)
+        return self._keep(self.direct.unionByName(self.transitive))
 
     @cached_property
     def relations(self) -> DataFrame:

@@ -385,7 +385,7 @@ def table_detail(c):
 
 @query
 def rank_tables(c):
-    return R.rank_tables(c.tables, G.centrality(c.nodes, c.relations), G.communities(c.nodes, c.relations), ["nation"])
+    return R.rank_tables(c.tables, G.cut(G.centrality(c.nodes, c.relations)), G.communities(c.nodes, c.relations), ["nation"])
 
 
 @query
