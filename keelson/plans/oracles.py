@@ -59,14 +59,14 @@ def _cells() -> str:
 
 
 NUMBER = r"'^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$'"
-_G = "CASE WHEN x < 0 THEN '-' ELSE '' END || regexp_replace(CAST(CAST(floor(abs(x) * pow(10.0, 5 - p) + 0.5) / pow(10.0, 5 - p) AS DECIMAL(24, 10)) AS VARCHAR), '\\.?0+$', '')"
+_G = "CASE WHEN {x} < 0 THEN '-' ELSE '' END || regexp_replace(CAST(CAST(floor(abs({x}) * pow(10.0, 5 - {p}) + 0.5) / pow(10.0, 5 - {p}) AS DECIMAL(24, 10)) AS VARCHAR), '\\.?0+$', '')"
 
 
 def normalised(value: str) -> str:
     """A value in one form; numbers of under a million and over a ten-thousandth, as in the driver tables, need no exponent."""
     s = f"regexp_replace({value}, '^\\s+|\\s+$', '', 'g')"
     x = f"(CASE WHEN regexp_matches({s}, {NUMBER}) THEN TRY_CAST({s} AS DOUBLE) END)"
-    g = _G.replace("x", f"({x})").replace("5 - p", f"5 - CAST(floor(log10(abs({x}))) AS INT)").replace("ma(", "max(")
+    g = _G.format(x=x, p=f"CAST(floor(log10(abs({x}))) AS INT)")
     return f"""CASE WHEN {s} = '' OR lower({s}) IN ('none', 'nan', 'null', 'na', 'nat') THEN NULL
       WHEN regexp_matches({s}, '^[+-]?\\d+(\\.0*)?$') THEN coalesce(nullif(ltrim(regexp_extract({s}, '^[+-]?(\\d+)', 1), '0'), ''), '0')
       WHEN {x} = floor({x}) AND abs({x}) < 1e18 THEN CAST(CAST({x} AS BIGINT) AS VARCHAR)
