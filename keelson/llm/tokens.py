@@ -125,10 +125,10 @@ def token_totals(docs: DataFrame, labels: DataFrame, vocabulary: str, newer: str
     toxic = labels.where("toxic = 1").select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
     load = work.put(count_tokens(docs, vocabulary, version), "load")
     other = F.col("lang").isNotNull() & (F.col("lang") != "en")
-    stay = docs.where(other).withColumn("doc_id", F.col("doc_id").cast("bigint")).join(toxic, "doc_id", "left_anti")
+    newly = count_tokens(docs.where(other), newer, newer_version).join(toxic, "doc_id", "left_anti")  # counts are joined, not texts
     rollup = Rollup(spark, f"{work.root}/totals")
     rollup.commit("load", signed(load, 1))
     rollup.commit("withdraw", signed(load.join(toxic, "doc_id", "left_semi"), -1))
-    rollup.commit("recount", revised(load.where(other).join(toxic, "doc_id", "left_anti"), count_tokens(stay, newer, newer_version)))
+    rollup.commit("recount", revised(load.where(other).join(toxic, "doc_id", "left_anti"), newly))
     rollup.commit("load", signed(load, 1))
     return rollup.totals()
