@@ -92,8 +92,8 @@ class WordWindows(Scheme):
         """(name, left, right, text) of the symbols of several words that a window can decide."""
         _, prefix, starts, ends, woff = work
         of = np.repeat(np.arange(len(woff) - 1), np.diff(woff))
-        level, found = Symbols.words(range_hash(prefix, starts, ends), of), []
-        for k in range(1, self.levels + 1):
+        level, found = Symbols.words(range_hash(prefix, starts, ends), of), [(np.zeros(0, U64), *(np.zeros(0, np.int64),) * 3)]
+        for k in range(1, self.levels + 1) if len(of) else ():
             level = level.runs().pairs(k)
             if k > 1:
                 keep = (level.end - level.start > 1) & (level.right - level.left <= self.words)
