@@ -317,3 +317,27 @@ ORACLES: dict[str, str] = {
     "report_nodes": chained('SELECT t.tbl AS "table", domain, count(s.tbl) AS degree, least(greatest(2.0::DOUBLE, 2 + count(s.tbl) / 10), 8.0::DOUBLE) AS size FROM tabs t LEFT JOIN seen s ON s.tbl = t.tbl GROUP BY 1, 2'),
     "report_edges": chained("SELECT from_table, to_table, from_column || '->' || to_column AS label, confidence FROM relations"),
 }
+
+
+def _centrality(rounds: int = 100) -> str:
+    """PageRank with a common table per round."""
+    parts = [
+        "arcs AS MATERIALIZED (SELECT DISTINCT from_table AS x, to_table AS y FROM relations)",
+        "fan AS MATERIALIZED (SELECT x, count(*) AS n FROM arcs GROUP BY x)",
+        "r0 AS MATERIALIZED (SELECT tbl, 1.0::DOUBLE / (SELECT count(*) FROM tabs) AS v FROM tabs)",
+    ]
+    for k in range(1, rounds + 1):
+        given = f"(SELECT y, sum(v / n) AS g FROM arcs JOIN fan USING (x) JOIN r{k - 1} ON tbl = x GROUP BY y)"
+        parts.append(f"r{k} AS MATERIALIZED (SELECT tbl, 0.15::DOUBLE / (SELECT count(*) FROM tabs) + 0.85::DOUBLE * coalesce(g, 0) AS v FROM tabs LEFT JOIN {given} ON y = tbl)")
+    select = f'SELECT tbl AS "table", floor(v / (SELECT max(v) FROM r{rounds}) * 10000 + 0.5) / 100 AS score FROM r{rounds}'
+    return chained(select, ",\n".join(parts))
+
+
+ORACLES["centrality"] = _centrality()
+ORACLES["critical_path"] = chained(
+    "SELECT array_to_string(p, '>') AS path, (len(p) - 1)::INT AS hops FROM long ORDER BY hops DESC, path LIMIT 1",
+    """arcs AS MATERIALIZED (SELECT DISTINCT from_table AS x, to_table AS y FROM relations WHERE from_table <> to_table),
+    reach(x, y) AS (SELECT x, y FROM arcs UNION SELECT r.x, a.y FROM reach r JOIN arcs a ON r.y = a.x),
+    free AS MATERIALIZED (SELECT t FROM (SELECT x AS t FROM arcs UNION SELECT y FROM arcs) WHERE t NOT IN (SELECT x FROM reach WHERE x = y) AND t NOT IN (SELECT y FROM reach WHERE x IN (SELECT x FROM reach WHERE x = y))),
+    long(p) AS (SELECT [t] FROM free UNION ALL SELECT list_append(p, y) FROM long JOIN arcs ON x = p[-1] WHERE y IN (SELECT t FROM free))""",
+)
