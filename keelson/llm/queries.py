@@ -78,4 +78,4 @@ QUERIES: dict[str, Query] = {
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
-ORACLES: dict[str, str] = {"op3_license_digests": licenses.ORACLE}
+ORACLES: dict[str, str] = {"op3_license_digests": licenses.ORACLE, "op9_recompression_dedup": recompression.ORACLE}

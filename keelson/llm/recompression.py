@@ -154,3 +154,15 @@ def dedup_word_windows(docs: DataFrame, words: int = 13, levels: int = 3, rounds
     affect one another.  Other columns are ignored; an empty table gives an empty result.
     """
     return repeated(docs, WordWindows(words, levels), RESULT, "windows", rounds)
+
+
+ORACLE = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+pos AS (SELECT doc_id, p, words[p] AS word FROM w, unnest(range(1, len(words) + 1)) AS u(p)),
+win AS (SELECT doc_id, p, array_to_string(words[p:p + 12], ' ') AS k FROM w, unnest(range(1, len(words) - 11)) AS u(p)),
+least_id AS (SELECT k, min(doc_id) AS d FROM win GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, p + j AS p FROM win JOIN least_id USING (k), unnest(range(0, 13)) AS v(j) WHERE doc_id > d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM pos ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
