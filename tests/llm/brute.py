@@ -88,7 +88,7 @@ def near(rows):
 
 def line_dedup(rows, min_chars=20):
     space, nodes = " \t\n\x0b\x0c\r", {}
-    shingles = lambda s: {s[i : i + 9] for i in range(max(1, len(s) - 8))}
+    shingles = lambda s: {s[i : i + 5] for i in range(max(1, len(s) - 4))}
     for d, t in rows:
         for k, line in enumerate((t or "").split("\n")):
             if d is not None and len(line.strip(space)) >= min_chars:
