@@ -84,6 +84,20 @@ def test_lines(spark, monkeypatch, group):
     assert first(lines.dedup_lines(frame(spark, rows)), 4) == brute.line_dedup(rows)
 
 
+@pytest.mark.parametrize("tile, levels", [(2048, 1), (1, 1)])
+def test_lines_bridge(spark, monkeypatch, tile, levels):
+    """In a large band the leader takes a line that links a third one, which the leader does not take."""
+    monkeypatch.setattr(lines, "GROUP", 2)
+    monkeypatch.setattr(lines, "TILE", tile, raising=False)
+    monkeypatch.setattr(lines, "LEVELS", levels)
+    chars = "".join(chr(0x4E00 + k) for k in range(113))
+    texts = [(1, chars[0:100]), (2, chars[5:105]), (3, chars[13:113]), (4, chars[::-1])]  # similar: 1 and 2, 2 and 3
+    candidates = spark.createDataFrame([(7, k, None) for k, _ in texts], "key long, a long, b long")
+    work = Workspace(spark, "t")
+    found = components(lines._linked(candidates, spark.createDataFrame(texts, "id long, line string"), work), work)
+    assert {tuple(r) for r in found.collect()} == {(1, 1), (2, 1), (3, 1)}
+
+
 def test_components(spark):
     r = random.Random(6)
     edges = [(r.randint(0, 150), r.randint(0, 150)) for _ in range(110)] + [(1000 + k, 1001 + k) for k in range(40)] + [(7, 7)]
