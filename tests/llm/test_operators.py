@@ -9,7 +9,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from keelson.llm import decontaminate, fertility, licenses, lines, pieces, quality, recompression, simhash, substrings, tokens
+from keelson.llm import decontaminate, fertility, licenses, lines, pieces, quality, queries, recompression, simhash, substrings, tokens
 from keelson.llm.components import components
 from keelson.llm.workspace import Workspace
 
@@ -98,6 +98,14 @@ def test_lines_bridge(spark, monkeypatch, tile, levels):
     assert {tuple(r) for r in found.collect()} == {(1, 1), (2, 1), (3, 1)}
 
 
+def test_short_lines(spark, tmp_path):
+    """The registered query removes repeats of short lines too."""
+    rows = [(1, "ab\n\nx\nshort line\n "), (2, "short line\n\nab"), (3, "short lines\nno"), (4, "x\nX\né\né")]
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = first(queries.op4_line_dedup(spark, str(tmp_path)), 4)
+    assert got == brute.line_dedup(rows, 1) and sum(x[2] for x in got) == 5
+
+
 def test_components(spark):
     r = random.Random(6)
     edges = [(r.randint(0, 150), r.randint(0, 150)) for _ in range(110)] + [(1000 + k, 1001 + k) for k in range(40)] + [(7, 7)]
