@@ -106,6 +106,15 @@ def test_short_lines(spark, tmp_path):
     assert got == brute.line_dedup(rows, 1) and sum(x[2] for x in got) == 5
 
 
+def test_lines_of_rows_that_share_an_id(spark):
+    """A removed line is one of a row, not of every row with that doc_id."""
+    line = lambda k: f"{k} " + "".join(chr(0x4E00 + 40 * k + j) for j in range(30))
+    rows = [(1, line(0)), (2, "\n".join([line(1), line(2), line(0)])), (2, line(3)), (2, "\n".join([line(4), line(5), line(6), line(7)])), (3, line(8)), (3, line(8))]
+    got = first(lines.dedup_lines(frame(spark, rows)), 4)
+    sha = lambda *k: hashlib.sha256("\n".join(map(line, k)).encode()).hexdigest()
+    assert got == brute.order([(1, 1, 0, sha(0)), (2, 3, 1, sha(1, 2)), (2, 1, 0, sha(3)), (2, 4, 0, sha(4, 5, 6, 7)), (3, 1, 0, sha(8)), (3, 1, 0, sha(8))])
+
+
 def test_components(spark):
     r = random.Random(6)
     edges = [(r.randint(0, 150), r.randint(0, 150)) for _ in range(110)] + [(1000 + k, 1001 + k) for k in range(40)] + [(7, 7)]
