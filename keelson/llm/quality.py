@@ -126,7 +126,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     """One row per document: doc_id, held_out, score (0 to 1) and predicted (0 or 1).
 
     Labels (doc_id, quality) are learned from only where held_out is false and neither
-    column is null; at most ``fit_rows`` of them, by the hash of their id.  Only
+    column is null; at most ``fit_rows`` of them, by the hash of their id, and again of the
+    rows with those ids.  Only
     the text enters a score.  Null and empty texts get the score of a row of zeros;
     without labels, or with one class, all scores are the smoothed share of that class.
     Rows keep their doc_id, null or repeated (null: not held out, never learned from);
@@ -139,7 +140,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
         "doc_id is not null and quality is not null"
     )
     chosen = known.where(~held_out("doc_id")).distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(fit_rows)
-    rows = measured.join(chosen, "doc_id").orderBy("doc_id", "quality").select("x", "quality").toArrow()
+    rows = measured.join(chosen, "doc_id").orderBy(F.xxhash64("doc_id", "x", "quality"), "doc_id", "quality").limit(fit_rows).orderBy("doc_id", "quality").select("x", "quality").toArrow()
     x = rows.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, len(FEATURES))
     forest = fit(x, (rows.column("quality").to_numpy() > 0).astype(float))
     scored = measured.mapInArrow(_scored(forest), "doc_id bigint, held_out boolean, score double")

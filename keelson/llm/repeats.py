@@ -13,7 +13,8 @@ Three passes, each one Spark stage over all texts and one shuffle of packed keys
    per key: does a smaller document have it?
 3. The bits meet the texts again and each text is cut.
 
-A block is the documents with one hash of their id; a key goes out once per
+A block is the documents with one hash of their id and text (rows without an id, or of one id,
+spread over blocks; equal ids never affect one another); a key goes out once per
 block, with the block's smallest document, so a window that a third of all
 documents share is a handful of entries in its bucket and not one per document.
 """
@@ -284,7 +285,7 @@ def repeated(docs: DataFrame, scheme: Scheme, result: str, label: str, rounds: i
     docs = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    ).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
+    ).withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
     sampled = docs.select("block", "text").mapInArrow(_mapped(scheme, bits, wide), SAMPLED)
     tied = work.put(sampled.groupBy("bucket").applyInArrow(_ties(wide), TIED), "tied")

@@ -4,12 +4,14 @@ import hashlib
 import random
 import zlib
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from keelson.llm import decontaminate, fertility, licenses, lines, pieces, quality, queries, recompression, simhash, substrings, tokens
+from keelson.llm import decontaminate, fertility, licenses, lines, pieces, quality, queries, recompression, repeats, simhash, substrings, tokens
 from keelson.llm.components import components
 from keelson.llm.workspace import Workspace
 
@@ -115,6 +117,47 @@ def test_lines_of_rows_that_share_an_id(spark):
     assert got == brute.order([(1, 1, 0, sha(0)), (2, 3, 1, sha(1, 2)), (2, 1, 0, sha(3)), (2, 4, 0, sha(4, 5, 6, 7)), (3, 1, 0, sha(8)), (3, 1, 0, sha(8))])
 
 
+def test_hot_bands(spark, monkeypatch):
+    """Lines of a hot band are dealt over several groups, with the same result."""
+    monkeypatch.setattr(lines, "HOT", 1)
+    r = random.Random(12)
+    rows = [(i, "a line of boilerplate with a number, which is %d, at its place in the text" % r.randint(0, 10**6)) for i in range(300)]
+    assert first(lines.dedup_lines(frame(spark, rows)), 4) == brute.line_dedup(rows)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(300)), "text_key": [0] * 300, "text": [t for _, t in rows]})
+    told = {k for b in lines._places(1)([batch]) for x in b.column("bands").to_pylist() for k in x}
+    hot = np.sort(lines._in_bucket(np.array(list(told), np.int64).view(np.uint64), 6))
+    packed = next(lines._banded(1, 6, hot, 8)([batch]))
+    assert {x for x in packed.column("bucket").to_pylist() if x >= 64} == set(range(64, 72))
+
+
+def test_rows_of_one_id_spread(spark, mixed, monkeypatch):
+    """Rows without an id, or of one, do not make one group."""
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", 2000)
+    rows = [(None if i % 2 else 7, t) for i, t in mixed[:40]] + mixed[40:]
+    real, seen = Workspace.put, []
+
+    def put(self, df, name):
+        out = real(self, df, name)
+        if name == "tied":
+            seen.append(out.select("block").distinct().count())
+        return out
+
+    monkeypatch.setattr(Workspace, "put", put)
+    same = [(7, t) for _, t in mixed if t and len(t) < 2000]
+    assert first(substrings.dedup_substrings(frame(spark, rows)), 5) == brute.byte_dedup(rows)
+    assert first(recompression.dedup_word_windows(frame(spark, same)), 4) == brute.window_dedup(same)
+    assert seen[1] > 1
+
+
+def test_fitted_rows_are_bounded(spark, monkeypatch):
+    """A labelled doc_id of many rows stays within the bound."""
+    sizes, real = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda x, y: (sizes.append(len(x)), real(x, y))[1])
+    rows = [(i % 3, f"text {i} of some words") for i in range(90)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3)], "doc_id long, quality int")
+    assert quality.score_quality(frame(spark, rows), labels, fit_rows=10).count() == 90 and sizes == [10]
+
+
 def test_components(spark):
     r = random.Random(6)
     edges = [(r.randint(0, 150), r.randint(0, 150)) for _ in range(110)] + [(1000 + k, 1001 + k) for k in range(40)] + [(7, 7)]
