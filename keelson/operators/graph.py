@@ -1,7 +1,7 @@
 """Analytics of the graph of tables: nodes (table) and relations.
 
 The graph has a node per table, so iterations are short joins; each is unrolled
-lazily for a stated number of rounds, or cut by a local table when it is long.
+lazily for a stated number of rounds, or cut by a stored table where it is long or runs until nothing changes.
 """
 
 from __future__ import annotations
@@ -82,7 +82,10 @@ def paths(relations: DataFrame, hops: int, least: float, source: str | None = No
 
 
 def cycles(relations: DataFrame, length: int = 4) -> DataFrame:
-    """(cycle, n_tables): elementary cycles of up to ``length`` tables, each once, from its smallest table on."""
+    """(cycle, n_tables): elementary cycles, each once, from its smallest table on.
+
+    All of up to ``length`` tables, and for each relation that is on longer ones only a shortest of them, however long.
+    """
     edges = links(relations).where("from_table <> to_table").select(F.col("from_table").alias("x"), F.col("to_table").alias("y"))
     walk = edges.where("x < y").select(F.col("x").alias("start"), F.col("y").alias("end"), F.array("x", "y").alias("seen"))
     found = []
@@ -92,26 +95,45 @@ def cycles(relations: DataFrame, length: int = 4) -> DataFrame:
         walk = walk.join(edges, walk["end"] == edges["x"]).where((F.col("y") > F.col("start")) & ~F.array_contains("seen", F.col("y"))).select(
             "start", F.col("y").alias("end"), F.array_append("seen", F.col("y")).alias("seen")
         )
-    return reduce(DataFrame.union, found)
-
-
-def critical_path(relations: DataFrame, length: int = 14) -> DataFrame:
+    return reduce(DataFrame.union, [*found, _long_cycles(edges, length)])
+
+
+def _long_cycles(edges: DataFrame, length: int) -> DataFrame:
+    """A shortest cycle of each edge (x, y) that is on none of up to ``length`` tables."""
+    edges, before = cut(edges), -1
+    while (n := edges.count()) != before:  # tables without a way in or out are on no cycle
+        inner = edges.join(edges.select(F.col("y").alias("x")).distinct(), "x", "left_semi")
+        edges, before = cut(inner.join(edges.select(F.col("x").alias("y")).distinct(), "y", "left_semi").select("x", "y")), n
+    level = edges.groupBy("y").agg(F.array(F.first("y")).alias("path")).select(F.col("y").alias("src"), F.col("y").alias("end"), "path")
+    level = cut(level)
+    levels = [level]
+    while not level.isEmpty():
+        seen = reduce(DataFrame.union, (x.select("src", "end") for x in levels))
+        ahead = level.join(edges, level["end"] == edges["x"]).select("src", F.col("y").alias("end"), F.array_append("path", F.col("y")).alias("path"))
+        level = cut(ahead.groupBy("src", "end").agg(F.min("path").alias("path")).join(seen, ["src", "end"], "left_anti"))
+        levels.append(level)
+    back = reduce(DataFrame.union, levels).select(F.col("src").alias("y"), F.col("end").alias("x"), "path")
+    at = F.array_position("path", F.array_min("path")).cast("int")
+    turned = F.concat(F.slice("path", at, F.size("path")), F.slice("path", 1, at - 1))
+    closed = edges.join(back, ["x", "y"]).where(F.size("path") > length).select(turned.alias("path")).distinct()
+    return closed.select(F.array_join("path", ">").alias("cycle"), F.size("path").alias("n_tables"))
+
+
+def critical_path(relations: DataFrame) -> DataFrame:
     """(path, hops): the longest chain of relations among tables that are on no cycle and behind none."""
     edges = links(relations).where("from_table <> to_table").select(F.col("from_table").alias("x"), F.col("to_table").alias("y"))
     edges = cut(edges)
     ends = edges.select(F.col("x").alias("t")).union(edges.select(F.col("y").alias("t"))).distinct()
     # Tables all of whose sources are settled become settled; those that never do are on or behind a cycle.
-    settled = None
-    for k in range(length):
+    settled, n, before = None, 0, -1
+    while n != before:
         open_ = edges if settled is None else edges.join(settled.withColumnRenamed("t", "x"), "x", "left_anti")
-        settled = ends.join(open_.select(F.col("y").alias("t")).distinct(), "t", "left_anti")
-        if k % 3 == 2:
-            settled = cut(settled)
-    settled = cut(settled)
+        settled, before = cut(ends.join(open_.select(F.col("y").alias("t")).distinct(), "t", "left_anti")), n
+        n = settled.count()
     inside = edges.join(settled.withColumnRenamed("t", "x"), "x", "left_semi").join(settled.withColumnRenamed("t", "y"), "y", "left_semi")
     best = settled.select("t", F.array("t").alias("path"))
     level, found = best, [best]
-    for _ in range(length - 1):
+    while True:
         w = Window.partitionBy("t").orderBy(F.array_join("path", ">"))
         level = level.join(inside, level["t"] == inside["x"]).select(F.col("y").alias("t"), F.array_append("path", F.col("y")).alias("path"))
         level = cut(level.withColumn("r", F.row_number().over(w)).where("r = 1").drop("r"))

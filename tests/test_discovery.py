@@ -71,6 +71,15 @@ def test_graph(spark):
     assert {r.table: r.score for r in G.centrality(spark.createDataFrame([(n,) for n in "abcdm"], "table string"), star, rounds=20).collect()}["m"] == 100.0
 
 
+def test_long_cycles_and_chains(spark):
+    """Cycles of more than four tables, chains of more than 14."""
+    ring = [(f"r{k}", "x", f"r{(k + 1) % 6}", "y", 0.9, "c") for k in range(6)]
+    rest = [("r5", "x", "s", "y", 0.9, "c"), ("p", "x", "q", "y", 0.9, "c"), ("q", "x", "p", "y", 0.9, "c"), ("q", "x", "r0", "y", 0.9, "c")]
+    assert {tuple(r) for r in G.cycles(edges(spark, *ring, *rest)).collect()} == {("r0>r1>r2>r3>r4>r5", 6), ("p>q", 2)}
+    chain = [(f"t{k:02}", "x", f"t{k + 1:02}", "y", 0.9, "c") for k in range(18)]
+    assert tuple(G.critical_path(edges(spark, *chain, *ring)).first()) == (">".join(f"t{k:02}" for k in range(19)), 18)
+
+
 def test_header_rows(spark):
     rows = spark.createDataFrame(list(SHEETS), "source string, row_index int, cells array<string>")
     assert {r.source: r.header_rows for r in P.header_rows(rows, TYPE_WORDS).collect()} == {"a": 2, "b": 3, "c": 0, "d": 2}
