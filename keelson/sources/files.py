@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ENCODINGS = ("utf-8-sig", "gbk", "latin-1")
-SHEET_ROWS = 50_000
+#: Rows that are handed on at a time.
+CHUNK_ROWS = 50_000
 CELLS = "source string, row_index int, cells array<string>"
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -47,7 +48,9 @@ def _rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 continue
             for source, rows in tables:
                 if rows and max(map(len, rows)) > 1:
-                    yield pd.DataFrame({"source": source, "row_index": range(len(rows)), "cells": rows})
+                    for k in range(0, len(rows), CHUNK_ROWS):
+                        part = rows[k : k + CHUNK_ROWS]
+                        yield pd.DataFrame({"source": source, "row_index": range(k, k + len(part)), "cells": part})
 
 
 def _delimited(content: bytes, separator: str) -> list[list[str | None]]:
@@ -75,7 +78,7 @@ def _workbook(stem: str, content: bytes) -> Iterator[tuple[str, list[list[str |
             continue
         target = targets[sheet.get(_REL)].lstrip("/")
         rows = list(_sheet(read(target if target.startswith("xl/") else f"xl/{target}"), shared))
-        yield (stem if name in ("Sheet1", stem) else f"{stem}_{name}"), rows[:SHEET_ROWS]
+        yield (stem if name in ("Sheet1", stem) else f"{stem}_{name}"), rows
 
 
 def _sheet(root: ElementTree.Element, shared: list[str]) -> Iterator[list[str | None]]:

@@ -1,7 +1,10 @@
 """Files of several formats and encodings."""
 
+import io
 import zipfile
 
+import pandas as pd
+
 from keelson.sources import files
 
 
@@ -22,3 +25,16 @@ def test_sheets(spark, tmp_path):
     }
     assert {r.path.rsplit("/", 1)[-1] for r in files.listing(spark, str(tmp_path)).collect()} == {"a.csv", "b.tsv", "bad.xlsx", "c.xlsx"}
     assert [tuple(r) for r in files.table(files.sheets(spark, str(tmp_path)), "a", 1, ["id", "name"]).collect()] == [("1", "x")]
+
+
+def test_sheets_are_whole():
+    """A sheet of more than 50,000 rows keeps all of them, in order."""
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {ns}><sheets><sheet name="Sheet1" r:id="r1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="r1" Target="worksheets/s.xml"/></Relationships>')
+        rows = "".join(f'<row><c r="A{k}"><v>{k}</v></c><c r="B{k}"><v>x</v></c></row>' for k in range(1, 50_003))
+        z.writestr("xl/worksheets/s.xml", f"<worksheet {ns}><sheetData>{rows}</sheetData></worksheet>")
+    got = pd.concat(files._rows(iter([pd.DataFrame({"path": ["/x/a.xlsx"], "content": [out.getvalue()]})])))
+    assert got["row_index"].tolist() == list(range(50_002)) and got["cells"].tolist()[-1] == ["50002", "x"]
