@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,7 +77,7 @@ def table_profile(c):
 
 @query
 def content_hash(c):
-    return P.content_hash(c.sources["nation"])
+    return reduce(DataFrame.union, (P.content_hash(df).select(F.lit(t).alias("table"), "content_hash") for t, df in c.sources.items()))
 
 
 @query

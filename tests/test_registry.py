@@ -24,6 +24,11 @@ def test_oracles(spark, name):
     assert rows(got.columns, got.collect()) == rows(found.columns, found.fetchall())
 
 
+def test_every_table_has_a_digest(spark):
+    got = {r.table: r.content_hash for r in entry.queries()["content_hash"](spark, SMALL).collect()}
+    assert set(got) == set(TABLES) and len(set(got.values())) == len(TABLES)
+
+
 def test_names():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
