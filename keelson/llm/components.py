@@ -9,7 +9,7 @@ from .workspace import Workspace
 
 
 def components(edges: DataFrame, work: Workspace, name: str = "components") -> DataFrame:
-    """(node, component) for every node of ``edges`` (a, b bigint); component is the smallest node reachable.
+    """(node, component) for every node of ``edges`` (a, b of any type that has an order); component is the smallest node reachable.
 
     Each round joins edges with the least neighbour of their ends and is written
     to the workspace; the number of rounds grows with the logarithm of the longest chain.

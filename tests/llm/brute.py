@@ -86,7 +86,7 @@ def near(rows):
     return order((i, f"{prints[k]:016x}", least[u.find(k)]) for k, (i, _) in enumerate(rows))
 
 
-def line_dedup(rows, min_chars=20):
+def line_dedup(rows, min_chars=1):
     space, nodes = " \t\n\x0b\x0c\r", {}
     shingles = lambda s: {s[i : i + 5] for i in range(max(1, len(s) - 4))}
     for d, t in rows:

@@ -86,18 +86,28 @@ def test_lines(spark, monkeypatch, group):
     assert first(lines.dedup_lines(frame(spark, rows)), 4) == brute.line_dedup(rows)
 
 
-@pytest.mark.parametrize("tile, levels", [(2048, 1), (1, 1)])
-def test_lines_bridge(spark, monkeypatch, tile, levels):
+@pytest.mark.parametrize("tile", [2048, 1])
+def test_lines_bridge(spark, monkeypatch, tile):
     """In a large band the leader takes a line that links a third one, which the leader does not take."""
-    monkeypatch.setattr(lines, "GROUP", 2)
-    monkeypatch.setattr(lines, "TILE", tile, raising=False)
-    monkeypatch.setattr(lines, "LEVELS", levels)
+    monkeypatch.setattr(lines, "TILE", tile)
     chars = "".join(chr(0x4E00 + k) for k in range(113))
-    texts = [(1, chars[0:100]), (2, chars[5:105]), (3, chars[13:113]), (4, chars[::-1])]  # similar: 1 and 2, 2 and 3
-    candidates = spark.createDataFrame([(7, k, None) for k, _ in texts], "key long, a long, b long")
-    work = Workspace(spark, "t")
-    found = components(lines._linked(candidates, spark.createDataFrame(texts, "id long, line string"), work), work)
-    assert {tuple(r) for r in found.collect()} == {(1, 1), (2, 1), (3, 1)}
+    texts = [(b"1", chars[0:100]), (b"2", chars[5:105]), (b"3", chars[13:113]), (b"4", chars[::-1])]  # similar: 1 and 2, 2 and 3
+    candidates = spark.createDataFrame([(7, k, None) for k, _ in texts], "key long, a binary, b binary")
+    monkeypatch.setattr(lines, "AGREE", 0)
+    found = lines._classes(candidates, spark.createDataFrame(texts, "id binary, line string"), Workspace(spark, "t"))
+    assert {tuple(map(bytes, r)) for r in found.collect()} == {(b"1", b"1"), (b"2", b"1"), (b"3", b"1")}
+
+
+def test_exact_shingles():
+    """Sets of shingles stand for the characters themselves, with few and with very many different ones."""
+    r = random.Random(3)
+    for alphabet in ("ab", "".join(map(chr, range(0x4E00, 0x4E00 + 9000)))):
+        texts = ["".join(r.choice(alphabet) for _ in range(r.choice([1, 3, 4, 5, 6, 40]))) for _ in range(200)] + [alphabet]
+        sets = lines._sets(pa.array(texts))
+        plain = [{t[i : i + 5] for i in range(max(1, len(t) - 4))} for t in texts]
+        for x, p in zip(sets, plain):
+            assert len(x) == len(p)
+            assert [len(set(x.tolist()) & set(y.tolist())) for y in sets] == [len(p & q) for q in plain]
 
 
 def test_short_lines(spark, tmp_path):
