@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textbatch import U64, Texts, bounds_of, mix, pieces, ragged, range_hash
+from .textbatch import U64, Texts, bounds_of, mix, pieces, ragged, range_hash, sequence_hash
 from .workspace import Workspace, text_bytes
 
 SIMILARITY = 0.8
@@ -38,8 +38,7 @@ _PLAIN[[c for c in range(128) if not chr(c).isalnum()]] = 32
 def _words(texts: Texts):
     """Hashes of the plain words, their offsets by text."""
     joined, starts, ends, woff = Texts(_PLAIN[texts.buf], texts.off).joined()
-    prefix = joined.prefix_hash()
-    return range_hash(prefix, starts, ends), woff, prefix, starts, ends
+    return range_hash(joined.buf, starts, ends), woff
 
 
 def edits(n: int) -> int:
@@ -53,7 +52,7 @@ class Items:
     def __init__(self, ids: list[int], texts: list[str]):
         keep = list(pieces(pa.array(texts, pa.string()), 1 << 62))
         self.ids = np.array(ids, np.int64)
-        self.word, self.off, prefix, starts, ends = _words(keep[0][2]) if keep else (np.zeros(0, U64), np.zeros(1, np.int64), None, None, None)
+        self.word, self.off = _words(keep[0][2]) if keep else (np.zeros(0, U64), np.zeros(1, np.int64))
         self.n = np.diff(self.off)
         self.grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         longest = np.array([-(-(n - edits(n)) // (edits(n) + 1)) for n in self.n.tolist()], np.int64)
@@ -61,7 +60,7 @@ class Items:
             which = np.flatnonzero(np.minimum(longest, 4) == q)
             count = self.n[which] - q + 1
             at = np.repeat(self.off[which], count) + ragged(count)
-            gram = range_hash(prefix, starts[at], ends[at + q - 1])
+            gram = sequence_hash(self.word, at, q)
             order = np.argsort(gram, kind="stable")
             self.grams[q] = (gram[order], np.repeat(which, count)[order], ragged(count)[order])
         rng = np.random.default_rng(7)
@@ -91,12 +90,12 @@ class Items:
 
     def seeds(self, texts_words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, item, start) of windows proposed by words in a row that an item has too; distinct."""
-        word, woff, prefix, starts, ends = texts_words
+        word, woff = texts_words
         of = np.repeat(np.arange(len(woff) - 1), np.diff(woff))
         found = []
         for q, (gram, item, place) in self.grams.items():
             at = np.flatnonzero(np.arange(len(word)) + q <= woff[of + 1])
-            key = range_hash(prefix, starts[at], ends[at + q - 1])
+            key = sequence_hash(word, at, q)
             maybe = np.zeros(1 << 20, bool)
             maybe[gram >> U64(44)] = True
             near = np.flatnonzero(maybe[key >> U64(44)])
@@ -134,7 +133,7 @@ def _distance(item: np.ndarray, segment: np.ndarray) -> tuple[int, int, int]:
 def matches(items: Items, texts: Texts) -> list[tuple[int, int, int, int, int]]:
     """(text, item, distance, start, end in plain words), the best of each text and item."""
     work = _words(texts)
-    word, woff = work[0], work[1]
+    word, woff = work
     text, item, start = items.seeds(work)
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
     for s in range(0, len(text), 20_000):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .textbatch import U64, Texts, bounds_of, mix, range_hash
+from .textbatch import U64, Texts, bounds_of, mix, range_hash, sequence_hash
 
 SYMBOLS = b"#*$%&|<>"
 
@@ -51,10 +51,10 @@ def _counts(texts: Texts) -> dict[str, np.ndarray]:
     is_symbol = np.zeros(256, bool)
     is_symbol[list(SYMBOLS)] = True
 
-    prefix = joined.prefix_hash()
+    word = range_hash(joined.buf, starts, ends)
     last = np.repeat(woff[1:], n_words)
     window = np.flatnonzero(np.arange(len(of)) + 3 <= last)
-    times, _ = _group_counts(range_hash(prefix, starts[window], ends[window + 2]), of[window])
+    times, _ = _group_counts(sequence_hash(word, window, 3), of[window])
     repeated = _covered(window[times > 1], 3, len(of))
 
     feed = texts.buf == 10
@@ -69,8 +69,7 @@ def _counts(texts: Texts) -> dict[str, np.ndarray]:
     has_word = np.searchsorted(own, stop) > np.searchsorted(own, line)
     line_of = np.repeat(np.arange(len(texts)), np.diff(loff))
     kept = np.flatnonzero(has_word)
-    raw = texts.prefix_hash()
-    _, again = _group_counts(range_hash(raw, line[kept], stop[kept]), line_of[kept])
+    _, again = _group_counts(range_hash(texts.buf, line[kept], stop[kept]), line_of[kept])
     dup = np.zeros(len(line), bool)
     dup[kept] = again
     return {
@@ -81,7 +80,7 @@ def _counts(texts: Texts) -> dict[str, np.ndarray]:
         "n_repeat_words": _sums(repeated, woff),
         "_chars": _sums(lead, texts.off),
         "_lines": np.diff(loff),
-        "_word_hash": range_hash(prefix, starts, ends),
+        "_word_hash": word,
         "_word_len": ends - starts,
         "_word_of": of,
         "_word_off": woff,

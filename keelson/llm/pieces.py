@@ -86,10 +86,10 @@ class ChunkTable:
         self.ids, self.decimals, self.decoded = Ragged(np.int32), Ragged(np.uint8), Ragged(np.uint8)
 
     def rows(self, chunks: list[bytes]) -> np.ndarray:
-        """Row numbers of distinct chunks; the ones not seen before are segmented."""
+        """Row numbers of chunks; the ones not seen before are segmented."""
         if len(self.known) + len(chunks) > TABLE_CHUNKS:
             self.clear()
-        new = [c for c in chunks if c not in self.known]
+        new = [c for c in dict.fromkeys(chunks) if c not in self.known]
         if new:
             self._segment([c for c in new if c != b"\n"])
             if b"\n" in new:
@@ -129,7 +129,7 @@ class ChunkTable:
         head[off[:-1][np.diff(off) > 0]] = True
         starts = np.flatnonzero(head)
         ends = np.append(starts[1:], n)
-        key = range_hash(Texts(buf, off).prefix_hash(), starts, ends)
+        key = range_hash(buf, starts, ends)
         order = np.argsort(key, kind="stable")
         fresh = np.ones(len(key), bool)
         fresh[1:] = key[order][1:] != key[order][:-1]
@@ -138,6 +138,14 @@ class ChunkTable:
         first = order[fresh]
         raw = buf.tobytes()
         chunks = [raw[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist())]
+        # A chunk is the one that its key stands for only if their bytes are the same.
+        lens = ends - starts
+        wrong = lens != lens[first[which]]
+        unlike = np.flatnonzero(gather(np.append(buf, np.zeros(int(lens.max()), np.uint8)), starts[first[which]], lens) != buf)
+        wrong[np.searchsorted(starts, unlike, "right") - 1] = True
+        for k in np.flatnonzero(wrong).tolist():
+            which[k] = len(chunks)
+            chunks.append(raw[starts[k] : ends[k]])
         rows = self.rows(chunks)[which]
         return rows, np.searchsorted(starts, off)
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .repeats import Scheme, repeated
-from .textbatch import U64, Texts, bounds_of, mix, range_hash
+from .textbatch import U64, Texts, bounds_of, mix, range_hash, sequence_hash
 
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string"
 _RUN, _PAIR, _SIDE = U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB)
@@ -86,13 +86,13 @@ class WordWindows(Scheme):
 
     def prepare(self, texts: Texts):
         joined, starts, ends, woff = texts.joined()
-        return joined, joined.prefix_hash(), starts, ends, woff
+        return joined, (range_hash(joined.buf, starts, ends), range_hash(joined.buf, starts, ends, 1)), starts, ends, woff
 
     def _symbols(self, work) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(name, left, right, text) of the symbols of several words that a window can decide."""
-        _, prefix, starts, ends, woff = work
+        _, words, _, _, woff = work
         of = np.repeat(np.arange(len(woff) - 1), np.diff(woff))
-        level, found = Symbols.words(range_hash(prefix, starts, ends), of), [(np.zeros(0, U64), *(np.zeros(0, np.int64),) * 3)]
+        level, found = Symbols.words(words[0], of), [(np.zeros(0, U64), *(np.zeros(0, np.int64),) * 3)]
         for k in range(1, self.levels + 1) if len(of) else ():
             level = level.runs().pairs(k)
             if k > 1:
@@ -105,7 +105,7 @@ class WordWindows(Scheme):
         return name, of
 
     def windows(self, work, is_tied):
-        _, prefix, starts, ends, woff = work
+        _, words, starts, _, woff = work
         name, left, right, _ = self._symbols(work)
         own = ~is_tied(name)
         change = np.zeros(len(starts) + 2, np.int32)
@@ -117,7 +117,7 @@ class WordWindows(Scheme):
         np.add.at(fits, woff[:-1][long], 1)
         np.add.at(fits, woff[1:][long] - self.words + 1, -1)
         at = np.flatnonzero((np.cumsum(change[: len(starts)], dtype=np.int32) == 0) & (np.cumsum(fits[:-1], dtype=np.int32) > 0))
-        return range_hash(prefix, starts[at], ends[at + self.words - 1]), at, np.searchsorted(woff, at, "right") - 1
+        return *(sequence_hash(x, at, self.words) for x in words), at, np.searchsorted(woff, at, "right") - 1
 
     def finish(self, work, starts, ids):
         joined, _, begin, end, woff = work
@@ -150,7 +150,7 @@ def dedup_word_windows(docs: DataFrame, words: int = 13, levels: int = 3, rounds
     doc_id; windows stay inside a document and are judged on the input.
 
     Null texts have no words; neither have empty ones.  Rows without doc_id rank
-    after all others and equal each other; rows that share a doc_id do not
+    as if they had the largest one, 2**63 - 1; rows that share a doc_id do not
     affect one another.  Other columns are ignored; an empty table gives an empty result.
     """
     return repeated(docs, WordWindows(words, levels), RESULT, "windows", rounds)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .repeats import Scheme, repeated
-from .textbatch import Texts, bounds_of, ragged, range_hash
+from .textbatch import Texts, bounds_of, ragged, window_hash
 
 #: A perfect difference set: every residue modulo PERIOD is a difference of two members.
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
@@ -36,24 +36,23 @@ class ByteStrings(Scheme):
         self.length, self.depth = length, length - PERIOD + 1
 
     def prepare(self, texts: Texts):
-        return texts, texts.prefix_hash()
+        return texts
 
-    def _sampled(self, work) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        texts, prefix = work
+    def _sampled(self, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         lens = np.diff(texts.off)
         longest = int(lens.max()) if len(lens) else 0
         places = (np.arange(0, longest + PERIOD, PERIOD)[:, None] + np.array(COVER)).ravel()
         count = np.where(lens >= self.length, np.searchsorted(places, lens - self.depth, "right"), 0)
         at = places[ragged(count)] + np.repeat(texts.off[:-1], count)
-        return range_hash(prefix, at, at + self.depth), at, np.repeat(np.arange(len(lens)), count)
+        return window_hash(texts.buf, at, self.depth)[0], at, np.repeat(np.arange(len(lens)), count)
 
     def sample(self, work):
         names, _, of = self._sampled(work)
         return names, of
 
     def windows(self, work, is_tied):
-        texts, prefix = work
-        names, at, of = self._sampled(work)
+        texts = work
+        names, at, of = self._sampled(texts)
         keep = is_tied(names)
         at, of = at[keep], of[keep]
         low = np.maximum(at - PERIOD + 1, texts.off[of])
@@ -64,10 +63,10 @@ class ByteStrings(Scheme):
         np.add.at(change, high[keep] + 1, -1)
         starts = np.flatnonzero(np.cumsum(change[:-1], dtype=np.int32))
         per = np.diff(np.searchsorted(starts, texts.off))
-        return range_hash(prefix, starts, starts + self.length), starts, np.repeat(np.arange(len(per)), per)
+        return *window_hash(texts.buf, starts, self.length), starts, np.repeat(np.arange(len(per)), per)
 
     def finish(self, work, starts, ids):
-        texts, _ = work
+        texts = work
         change = np.zeros(len(texts.buf) + 1, np.int32)
         change[starts] += 1
         change[starts + self.length] -= 1  # starts are distinct
@@ -99,15 +98,15 @@ class ByteStrings(Scheme):
         )
 
 
-def dedup_substrings(docs: DataFrame, length: int = 50, rounds: int = 3) -> DataFrame:
+def dedup_substrings(docs: DataFrame, length: int = 50, rounds: int = 2) -> DataFrame:
     """One row per document: what is left once repeated ``length``-byte strings are removed.
 
     A byte goes if a string of ``length`` bytes that covers it also starts in a
     document with a smaller doc_id.  Matches stay inside a document and are judged
     on the input.  ``spans`` lists the maximal removed runs (byte offsets).
 
-    Null texts are empty texts.  Rows without doc_id rank after all others and
-    equal each other.  Rows that share a doc_id do not affect one another.
+    Null texts are empty texts.  Rows without doc_id rank as if
+    they had the largest one, 2**63 - 1.  Rows that share a doc_id do not affect one another.
     Texts shorter than ``length`` keep every byte.  Other columns are ignored;
     an empty table gives an empty result.
     """

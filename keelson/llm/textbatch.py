@@ -11,32 +11,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U64 = np.uint64
 PIECE_BYTES = 4 << 20
-_BASE = 0x9E3779B97F4A7C15 | 1
-_TABLE = np.random.default_rng(20240229).integers(0, 2**64, 256, dtype=U64)
-
 #: The separators of ``[^\x20\x09-\x0D]+``.
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
-_powers: list[np.ndarray] = []
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the hash base and of its inverse modulo 2**64."""
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, PIECE_BYTES + 1)
-        out = []
-        for base in (_BASE, pow(_BASE, -1, 2**64)):
-            a = np.full(size, base, U64)
-            a[0] = 1
-            out.append(np.multiply.accumulate(a))
-        _powers[:] = out
-    return _powers[0][:n], _powers[1][:n]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser: spreads every input bit over all 64."""
     x = x ^ (x >> U64(33))
@@ -81,12 +63,6 @@ class Texts:
         up = (self.buf >= 65) & (self.buf <= 90)
         return Texts(self.buf + up.astype(np.uint8) * np.uint8(32), self.off)
 
-    def prefix_hash(self) -> np.ndarray:
-        p, _ = powers(len(self.buf))
-        out = np.zeros(len(self.buf) + 1, U64)
-        np.cumsum(_TABLE[self.buf] * p, out=out[1:])
-        return out
-
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts, ends and text offsets (in words) of ``[^\\x20\\x09-\\x0D]+``."""
         word = ~_SPACE[self.buf]
@@ -113,10 +89,65 @@ class Texts:
         return Texts(buf, new[woff]), new[:-1], new[1:] - 1, woff
 
 
-def range_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of bytes [start, end) from prefix hashes, the same wherever the bytes stand."""
-    _, inverse = powers(len(prefix))
-    return mix((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(U64))
+#: Ranges up to this length are hashed together, longer ones one by one.
+_SHORT = 64
+_STEP = U64(0x9E3779B97F4A7C15)
+_LOW = np.array([2 ** (8 * k) - 1 for k in range(8)], U64)
+
+
+def _eights(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as a number; zeros stand behind the end."""
+    padded = np.append(buf, np.zeros(8, np.uint8))
+    return np.ndarray((len(buf) + 1,), "<u8", padded, strides=(1,))
+
+
+def range_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of bytes [start, end), the same wherever the bytes stand: eight bytes at a time, mixed after each step."""
+    starts, lens = np.asarray(starts, np.int64), np.asarray(ends - starts, np.int64)
+    out, view = mix(lens.astype(U64) + U64(int(_STEP) * (seed + 1) % 2**64)), _eights(buf)
+    left = np.flatnonzero((lens > 0) & (lens <= _SHORT))
+    at, rest, state = starts[left], lens[left], out[left]
+    while len(left):
+        part, end = view[at].astype(U64), np.flatnonzero(rest < 8)
+        part[end] &= _LOW[rest[end]]
+        state = mix((state ^ part) * _STEP)
+        more = rest > 8
+        done = ~more
+        out[left[done]] = state[done]
+        left, at, rest, state = left[more], at[more] + 8, rest[more] - 8, state[more]
+    whole = memoryview(np.ascontiguousarray(buf))
+    for k in np.flatnonzero(lens > _SHORT).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(whole[starts[k] : starts[k] + lens[k]], seed)
+    return out
+
+
+def window_hash(buf: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of the ``length`` bytes from each start on (all inside buf)."""
+    if length < 8:
+        return range_hash(buf, starts, starts + length), range_hash(buf, starts, starts + length, 1)
+    places = [*range(0, length - 7, 8)] + ([length - 8] if length % 8 else [])  # the last eight may overlap
+    view, out = _eights(buf), (np.empty(len(starts), U64), np.empty(len(starts), U64))
+    for s in range(0, len(starts), 1 << 14):  # work arrays stay in the cache
+        at = starts[s : s + (1 << 14)]
+        a, b = np.full(len(at), _STEP), np.full(len(at), U64(length))
+        for k in places:
+            part = view[at + k]
+            a ^= part
+            a *= U64(0xFF51AFD7ED558CCD)
+            a ^= a >> U64(32)
+            b += part
+            b *= U64(0xC4CEB9FE1A85EC53)
+            b ^= b >> U64(29)
+        out[0][s : s + len(at)], out[1][s : s + len(at)] = mix(a), mix(b)
+    return out
+
+
+def sequence_hash(hashes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """A hash of the n hashes from each place on."""
+    state = np.full(len(at), U64(int(_STEP) * n % 2**64))
+    for k in range(n):
+        state = mix((state ^ hashes[at + k]) * _STEP)
+    return state
 
 
 def pieces(column: pa.Array | pa.ChunkedArray, max_bytes: int = PIECE_BYTES) -> Iterator[tuple[int, int, Texts]]:

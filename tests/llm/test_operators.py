@@ -49,6 +49,25 @@ def test_substrings(spark, mixed):
     assert first(substrings.dedup_substrings(frame(spark, mixed)), 5) == brute.byte_dedup(mixed)
 
 
+def test_no_collisions_by_structure(spark):
+    """Texts that a polynomial hash modulo a power of two takes for equal are told apart."""
+    thue = "".join("ab"[k.bit_count() & 1] for k in range(1024))
+    other = thue.translate(str.maketrans("ab", "ba"))
+    window = [f"{w}{k}" for k, w in enumerate([thue, *"bcdefghijklm"])], [f"{w}{k}" for k, w in enumerate([other, *"bcdefghijklm"])]
+    rows = [(1, " ".join(window[0])), (2, " ".join(window[1])), (3, f"{thue}\n{other}\n{thue}"), (2**63 - 1, " ".join(window[0])), (5, thue), (6, other)]
+    docs = frame(spark, rows)
+    largest = lambda out: brute.order((brute.LAST if x[0] is None else x[0], *x[1:]) for x in out)  # noqa: E731  the brute version has null for it
+    assert first(recompression.dedup_word_windows(docs), 4) == largest(brute.window_dedup(rows))
+    assert first(substrings.dedup_substrings(docs), 5) == largest(brute.byte_dedup(rows))
+    measured = {r.doc_id: r for r in fertility.judge(docs, MODEL).collect()}
+    assert [measured[i].n_dup_lines for i, _ in rows] == [0, 0, 1, 0, 0, 0]
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    ids = {r.doc_id: r.ids for r in pieces.encode_texts(docs, MODEL).collect()}
+    assert all(ids[i] == sp.encode(t) for i, t in rows)
+    items = spark.createDataFrame([(1, " ".join([thue] * 5))], "item_id long, text string")
+    assert {r.doc_id for r in decontaminate.find_items(frame(spark, [(1, " ".join([thue] * 5)), (2, " ".join([other] * 5))]), items).collect()} == {1}
+
+
 def test_word_windows(spark, mixed):
     assert first(recompression.dedup_word_windows(frame(spark, mixed)), 4) == brute.window_dedup(mixed)
 
