@@ -5,8 +5,9 @@ bytes, so they share at least five bytes in place.  A posting list for each sing
 byte would hold a 256th of all fingerprints and its pairs would grow with their
 square.  The lists are therefore kept for sets of four positions: the fourteen
 blocks of the Steiner system S(3, 4, 8) are such that whichever three
-positions differ, one block avoids them.  Within a list the shared positional
-bytes of a pair are counted, pairs that reach the guaranteed five are retained and their bits compared.
+positions differ, one block avoids them.  Within a list each of the four other positions has
+posting lists of its bytes; a pair's meetings there are tallied with the list's four bytes, pairs that reach
+the guaranteed five are retained and their bits compared.
 A list of more than ``LIST`` different fingerprints is dealt again, by the
 four fixed bytes and five of the eight other half bytes, at least five of which a linked
 pair shares: at most 4096 different fingerprints are left to a list then, whatever the data.
@@ -35,6 +36,9 @@ BLOCKS = (
     (1, 3, 5, 7), (0, 2, 5, 7), (1, 3, 4, 6), (0, 3, 4, 7), (1, 2, 5, 6), (0, 3, 5, 6), (1, 2, 4, 7),
 )
 
+#: The byte positions that a list does not fix.
+_FREE = np.array([[p for p in range(8) if p not in b] for b in BLOCKS])
+
 LINKS = "a bigint, b bigint, block int, fingerprint bigint"
 
 
@@ -84,6 +88,32 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return root
 
 
+def _near(fp: np.ndarray, block: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (indices) of linked fingerprints of the same list.
+
+    Rows of a list meet again under each byte that they share at one of the positions that the list leaves free.  The
+    tally of these meetings and the list's own bytes is what a pair shares; pairs that reach the guaranteed number are verified.
+    """
+    position = _FREE[block]
+    byte = (fp[:, None] >> (position.astype(U64) << U64(3))) & U64(255)
+    posting = (number[:, None] << 11 | position << 8 | byte.astype(np.int64)).ravel()
+    order = np.argsort(posting, kind="stable")
+    posting, row = posting[order], order // _FREE.shape[1]
+    cuts = np.flatnonzero(np.append(True, posting[1:] != posting[:-1])) if len(posting) else np.zeros(0, np.int64)
+    size = np.diff(np.append(cuts, len(posting)))
+    end, at, met, lag = np.repeat(cuts + size, size), np.arange(len(posting)), [np.zeros(0, np.int64)], 1
+    at = at[end - at > 1]
+    while len(at):
+        met.append(row[at] << 32 | row[at + lag])
+        lag += 1
+        at = at[end[at] - at > lag]
+    pair, tally = np.unique(np.concatenate(met), return_counts=True)
+    pair = pair[tally + len(BLOCKS[0]) >= SHARED]
+    a, b = pair >> 32, pair & 0xFFFFFFFF
+    linked = np.bitwise_count(fp[a] ^ fp[b]) <= DISTANCE
+    return a[linked], b[linked]
+
+
 def _lists(limit: int | None):
     """Links within posting lists of rows sorted by key; lists beyond the limit are handed on as they are."""
 
@@ -94,25 +124,15 @@ def _lists(limit: int | None):
         head = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
         size = np.diff(np.append(head, len(key)))
         over = np.repeat(size > limit, size) if limit else np.zeros(len(key), bool)
-        end = np.repeat(head + size, size)
-        at = np.flatnonzero((~over) & (end - np.arange(len(key)) > 1))
-        root = np.arange(len(key))
-        lag, held = 1, []
-        while len(at):
-            far = fp[at] ^ fp[at + lag]
-            spread = far | (far >> U64(4))
-            spread |= spread >> U64(2)
-            spread |= spread >> U64(1)
-            shared = 8 - np.bitwise_count(spread & U64(0x0101010101010101))
-            near = at[(shared >= SHARED) & (np.bitwise_count(far) <= DISTANCE)]
-            if len(near):
-                held.append((near, near + lag))
+        root, held = np.arange(len(key)), []
+        rows, number = np.flatnonzero(~over & np.repeat(size > 1, size)), np.repeat(np.arange(len(head)), size)
+        work = np.cumsum(np.repeat(size, size)[rows]) >> 21  # so many comparisons at most, or one list, at a time
+        for part in np.split(rows, np.flatnonzero(np.diff(work[np.searchsorted(number[rows], number[rows])])) + 1 if len(rows) else []):
+            x, y = _near(fp[part], block[part], number[part])
+            held.append((part[x], part[y]))
             if sum(len(x) for x, _ in held) > 1 << 20:
                 a, b = (np.concatenate(x) for x in zip(*held))
-                root = _forest(len(key), np.append(a, np.arange(len(key))), np.append(b, root))
-                held = []
-            lag += 1
-            at = at[end[at] - at > lag]
+                root, held = _forest(len(key), np.append(a, np.arange(len(key))), np.append(b, root)), []
         if held:
             a, b = (np.concatenate(x) for x in zip(*held))
             root = _forest(len(key), np.append(a, np.arange(len(key))), np.append(b, root))

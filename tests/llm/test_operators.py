@@ -275,6 +275,29 @@ def test_decontamination(spark):
     assert clean == {d for d, _ in docs} - {d for d, _ in got}
 
 
+def test_walks_find_and_reject():
+    """The bit samples alone keep windows at the largest distance and reject most that only share three words."""
+    r = random.Random(1)
+    for n in (10, 25, 60):
+        texts = [[f"w{r.randint(0, 20000)}" for _ in range(n)] for _ in range(200)]
+        items = decontaminate.Items(list(range(200)), [" ".join(t) for t in texts])
+
+        def agree(changed):
+            windows = decontaminate.Items(list(range(200)), [" ".join(t) for t in changed])
+            stop = np.minimum(windows.off[:-1] + n + n // 5, windows.off[1:])
+            return (items.embedded(windows.word, windows.off[:-1], stop, np.arange(200), np.uint64(1)) == items.keys).any(axis=1).mean()
+
+        edited = []
+        for t in texts:
+            t = list(t)
+            for _ in range(decontaminate.edits(n)):
+                k, new = r.randrange(len(t)), [f"x{r.randint(0, 10**6)}"]
+                t[k : k + r.randint(0, 1)] = r.choice([new, []]) or new
+            edited.append(t + [f"z{r.randint(0, 10**6)}" for _ in range(n)])
+        assert agree(edited) >= 0.95
+        assert agree([[f"u{r.randint(0, 10**6)}" for _ in range(n)] + t[:3] for t in texts]) < 0.9
+
+
 def test_licenses(spark):
     mit = next(t for k, t in licenses.KNOWN if k == "MIT" and len(t) > 200)
     rows = [
