@@ -44,7 +44,7 @@ def op3_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.dedup_lines(_table(spark, sf_dir, "documents"), min_chars=1).drop("kept_text")
+    return lines.dedup_lines(_table(spark, sf_dir, "documents"), full=False)
 
 
 def op5_token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
