@@ -64,17 +64,28 @@ def relation_graph(relations: DataFrame, least: float = 0.5) -> DataFrame:
     return out.union(rows.select(F.col("to_table").alias("table"), F.lit("in").alias("direction"), F.col("from_table").alias("neighbour"), text, "confidence"))
 
 
-def cell_locator(columns: DataFrame) -> DataFrame:
-    """(table, column, column_index, letter, data_start_row) of each column in its sheet."""
-    return columns.select("table", "column", F.col("ordinal").cast("bigint").alias("column_index"), excel_letter(F.col("ordinal")).alias("letter"), F.lit(2).cast("bigint").alias("data_start_row"))
+def cell_locator(columns: DataFrame, starts: DataFrame | None = None) -> DataFrame:
+    """(table, column, column_index, letter, data_start_row) of each column in its sheet.
 
+    ``starts`` (table, data_start_row) says where the data of a sheet begins; other sheets have one row of headers.
+    """
+    first = F.lit(2).cast("bigint")
+    if starts is not None:
+        columns = columns.join(starts.select("table", F.col("data_start_row").alias("_start")), "table", "left")
+        first = F.coalesce(F.col("_start").cast("bigint"), first)
+    return columns.select("table", "column", F.col("ordinal").cast("bigint").alias("column_index"), excel_letter(F.col("ordinal")).alias("letter"), first.alias("data_start_row"))
 
-def row_locator(df: DataFrame, table: str, key: str, limit: int = 200) -> DataFrame:
-    """(table, key, row): sheet rows by key, for tables of at most ``limit`` rows with unique keys, in order of the key."""
-    sized = df.select(F.col(key).cast("string").alias("key"), F.col(key).alias("k")).limit(limit + 1)
+
+def row_locator(df: DataFrame, table: str, key: str, limit: int = 200, row: str | None = None) -> DataFrame:
+    """(table, key, row): sheet rows by key, for tables of at most ``limit`` rows with unique keys.
+
+    ``row`` names the column with the place of each row in its sheet; a table that has no order of its own is taken in order of the key, from row 2 on.
+    """
+    sized = df.select(F.col(key).cast("string").alias("key"), F.col(key).alias("k"), *([F.col(row).cast("bigint").alias("row")] if row else [])).limit(limit + 1)
     n = sized.agg(F.count("*").alias("n"), F.count_distinct("key").alias("d")).where(f"n <= {limit} and n = d")
     w = Window.orderBy("k")
-    return sized.crossJoin(F.broadcast(n)).select(F.lit(table).alias("table"), "key", (F.row_number().over(w) + 1).cast("bigint").alias("row"))
+    place = F.col("row") if row else (F.row_number().over(w) + 1).cast("bigint").alias("row")
+    return sized.crossJoin(F.broadcast(n)).select(F.lit(table).alias("table"), "key", place)
 
 
 def schema_summary(tables: DataFrame) -> DataFrame:

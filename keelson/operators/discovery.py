@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import values as V
 from ..functions.vocabulary import ABBREVIATIONS, COMPOUND_ENDINGS, GENERIC_NAMES, ID_WORDS, NOISE_WORDS, REFERENCE_ENDINGS, TARGET_NAMES
 from ..plans.store import stored
+from .bridge import bridged
 
 CONTAINMENT, ID_CONTAINMENT, OVERLAP = 0.80, 0.70, 0.80
 MIN_SHARED, MIN_SHARED_ID, MIN_VALUES = 5, 3, 3
@@ -68,6 +69,8 @@ def overlaps(norm: DataFrame, columns: DataFrame, changed: tuple[str, ...] | Non
     keeps pairs with one of these tables at least.
     """
     tagged = norm.join(F.broadcast(columns.select("table", "column")), ["table", "column"], "left_semi").select("value", F.struct("table", "column").alias("c"))
+    if changed is not None:  # only values of these tables can make such a pair
+        tagged = tagged.join(tagged.where(F.col("c.table").isin(*changed)).select("value").distinct(), "value", "left_semi")
     sets = tagged.groupBy("value").agg(F.sort_array(F.collect_set("c")).alias("cs")).where("size(cs) > 1")
     # Values found in the same columns are counted once for all of them.
     sets = sets.groupBy("cs").agg(F.count("*").alias("n"))
@@ -194,7 +197,8 @@ def references(columns: DataFrame, tables: DataFrame) -> DataFrame:
     """(table, column, to_table): the table that a column name refers to, by the first rule that finds one.
 
     For each ending in turn: the rest is a table; an expansion of the name is; a run of its last parts, or one
-    part of three characters, is; its last part is the first segment of a table's name (the shortest such table).
+    part of three characters, is; its last part is the first segment of a table's name (the shortest such table); a Chinese
+    name is that of a table's entity.
     """
     spark = columns.sparkSession
     endings = list(dict.fromkeys(e.lower() for e in REFERENCE_ENDINGS))
@@ -219,7 +223,11 @@ def references(columns: DataFrame, tables: DataFrame) -> DataFrame:
     stems = names.where(F.length(first) >= 3).groupBy(first.alias("last")).agg(F.min(F.struct(F.length("to_table").alias("n"), F.col("to_table"))).alias("t"))
     near = base.where(~F.col("column").rlike("[\\u4e00-\\u9fff]")).withColumn("last", F.element_at(split, -1)).join(F.broadcast(stems), "last").where(F.lower("t.to_table") != F.col("prefix"))
     near = near.select("table", "column", F.col("t.to_table").alias("to_table"), F.struct("ending", F.lit(4).alias("step"), F.lit(0).alias("place")).alias("rank"))
-    return found.unionByName(near).groupBy("table", "column").agg(F.min_by("to_table", F.struct("rank", "to_table")).alias("to_table"))
+    # A column with a Chinese name, that no other rule takes, refers to the table of its last entity.
+    chinese = columns.select("table", "column").join(bridged(columns, tables), "column").select(
+        "table", "column", "to_table", F.struct(F.lit(len(endings)).alias("ending"), F.lit(5).alias("step"), F.lit(0).alias("place")).alias("rank")
+    )
+    return reduce(DataFrame.unionByName, (found, near, chinese)).groupBy("table", "column").agg(F.min_by("to_table", F.struct("rank", "to_table")).alias("to_table"))
 
 
 def naming(columns: DataFrame, tables: DataFrame, norm: DataFrame, base: float = 0.70, changed: tuple[str, ...] | None = None) -> DataFrame:

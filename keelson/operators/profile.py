@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from ..functions.values import as_text, number
 from ..functions.vocabulary import DOMAIN_RULES, DOMAIN_WORDS, KEY_ENDINGS, KEY_NAMES
 
-SAMPLE = 100
 ENUM_VALUES, ENUM_SHARE = 50, 0.05
 CELLS = "table string, ordinal int, column string, value string, n bigint"
 
@@ -56,12 +55,12 @@ def samples(values: DataFrame, size: int) -> DataFrame:
 
 
 def types(values: DataFrame, kinds: DataFrame) -> DataFrame:
-    """(table, column, dtype).  Floats that are all whole are int; texts are judged by a sample: float if over
-    four fifths of it are numbers, int if all of it are whole numbers, else str."""
-    known = values.where("value is not null").join(F.broadcast(kinds), ["table", "column"])
+    """(table, column, dtype).  Floats that are all whole are int; texts are judged by all distinct values: float if over
+    four fifths of them are numbers, int if all of them are whole numbers, else str."""
+    known = values.where("value is not null").join(kinds, ["table", "column"])
     whole = known.where("kind = 'float'").groupBy("table", "column").agg(F.min((number(F.col("value")) == F.floor(number(F.col("value")))).cast("int")).alias("whole"))
     x = number(F.col("value"))
-    text = samples(known.where("kind = 'str'"), SAMPLE).groupBy("table", "column").agg(
+    text = known.where("kind = 'str'").groupBy("table", "column").agg(
         F.count("*").alias("n"), F.count(x).alias("parsed"), F.count(F.when(x == F.floor(x), 1)).alias("integral")
     )
     dtype = (

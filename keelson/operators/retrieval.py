@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vocabulary import DOMAIN_RULES
 from .assets import relation_graph
 
+#: Vectors, and queries, that are compared in one group.
+VECTOR_ROWS, VECTOR_QUERIES = 20_000, 1000
 STOP = " ,.?!的了是和与在"
 
 
@@ -45,6 +49,53 @@ def vector_topk(vectors: DataFrame, key: str, vector: str, probe: list[float] |
     return scored.orderBy(F.desc("similarity"), key).limit(k)
 
 
+def vector_neighbours(vectors: DataFrame, key: str, vector: str, k: int, every: int = 100) -> DataFrame:
+    """(query, key, similarity): for each vector whose key ``every`` divides, the k nearest of all by cosine, in six decimals; ties by key.
+
+    Blocks of queries meet blocks of vectors in groups of bounded size, which return k rows a query; itself is one of them.
+    Null vectors, vectors of length zero, and vectors of another dimension than the query's are not compared.
+    """
+    rows = vectors.select(F.col(key).cast("bigint").alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("v")).where("id is not null and v is not null")
+    n = rows.count()
+    sizes = {"rb": max(1, -(-n // VECTOR_ROWS)), "qb": max(1, -(-n // (VECTOR_QUERIES * every)))}
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("id"), F.lit(sizes[own])).cast("int").alias(own)
+        return df.select("id", "v", block, F.explode(F.sequence(F.lit(0), F.lit(sizes[other] - 1))).alias(other)).groupBy("qb", "rb")
+
+    met = dealt(rows, "rb", "qb").cogroup(dealt(rows.where(F.col("id") % every == 0), "qb", "rb")).applyInArrow(_nearest(k), "query bigint, id bigint, similarity double")
+    w = Window.partitionBy("query").orderBy(F.desc("similarity"), "id")
+    return met.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k).select("query", F.col("id").alias(key), "similarity")
+
+
+def _nearest(k: int):
+    def matrices(block: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """(ids, unit vectors) by dimension."""
+        ids, vectors = block.column("id").to_numpy(), block.column("v").combine_chunks()
+        size = np.diff(vectors.offsets.to_numpy()) if len(vectors) else np.zeros(0, int)
+        out = {}
+        for d in np.unique(size[size > 0]).tolist():
+            at = np.flatnonzero(size == d)
+            m = vectors.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+            norm = np.sqrt((m * m).sum(axis=1))
+            out[d] = ids[at][norm > 0], m[norm > 0], norm[norm > 0]
+        return out
+
+    def run(_, rows: pa.Table, queries: pa.Table) -> pa.Table:
+        found, base = [], matrices(rows)
+        for d, (asked, q, q_norm) in matrices(queries).items():
+            ids, m, norm = base.get(d, (np.zeros(0, np.int64), np.zeros((0, d)), np.zeros(0)))
+            near = np.floor(q @ m.T / (q_norm[:, None] * norm) * 1000000 + 0.5) / 1000000
+            for one, line in zip(asked.tolist(), near):
+                at = np.flatnonzero(line >= np.partition(line, -k)[-k]) if len(line) > k else np.arange(len(line))
+                at = at[np.lexsort((ids[at], -line[at]))][:k]
+                found.append((np.full(len(at), one), ids[at], line[at]))
+        parts = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        return pa.table(dict(zip(("query", "id", "similarity"), parts)))
+
+    return run
+
+
 def recall_tables(tables: DataFrame, columns: DataFrame, question: str, near: DataFrame | None = None) -> DataFrame:
     """(table, route): tables by vector (1, if given), by column names (2), by words of their domain (3); the first route of each."""
     by_column = find_by_column(columns, question).select("table", F.lit(2).alias("route"))

@@ -98,7 +98,7 @@ CHAIN: list[tuple[str, str]] = [
     ("stats", "SELECT tbl, ord, col, any_value(kind) AS kind, count(value) AS uniq, coalesce(sum(n) FILTER (value IS NULL), 0)::BIGINT AS nulls, sum(n)::BIGINT AS total FROM cells GROUP BY tbl, ord, col HAVING count(value) > 0"),
     ("ranked", "SELECT *, row_number() OVER (PARTITION BY tbl, col ORDER BY value) AS rank FROM cells WHERE value IS NOT NULL"),
     ("text_types", f"""SELECT tbl, col, count(*) AS n, count(x) AS parsed, count(*) FILTER (x = floor(x)) AS whole FROM (
-       SELECT tbl, col, CASE WHEN regexp_matches(value, {NUMBER}) THEN TRY_CAST(value AS DOUBLE) END AS x FROM ranked WHERE kind = 'str' AND rank <= 100) GROUP BY tbl, col"""),
+       SELECT tbl, col, CASE WHEN regexp_matches(value, {NUMBER}) THEN TRY_CAST(value AS DOUBLE) END AS x FROM ranked WHERE kind = 'str') GROUP BY tbl, col"""),
     ("float_types", "SELECT tbl, col, bool_and(CAST(value AS DOUBLE) = floor(CAST(value AS DOUBLE))) AS whole FROM cells WHERE kind = 'float' AND value IS NOT NULL GROUP BY tbl, col"),
     ("typed", """SELECT s.*, CASE WHEN kind = 'float' THEN CASE WHEN f.whole THEN 'int' ELSE 'float' END WHEN kind <> 'str' THEN kind
        WHEN parsed > 0.8 * t.n THEN CASE WHEN t.whole = t.n THEN 'int' ELSE 'float' END ELSE 'str' END AS dtype
@@ -305,6 +305,9 @@ ORACLES: dict[str, str] = {
       SELECT substr('nationkey', i::INT, l::INT) AS g FROM unnest([2, 3, 4]) AS a(l), range(1, 10) AS b(i) WHERE i + l <= 10) WHERE contains(lower(col), g)) AS n FROM cols) WHERE n > 0"""),
     "vector_topk": """SELECT vec_id, floor(list_sum(list_transform(list_zip(e, p), lambda z: z[1] * z[2])) / (sqrt(list_sum(list_transform(e, lambda x: x * x))) * sqrt(list_sum(list_transform(p, lambda x: x * x)))) * 1000000 + 0.5) / 1000000 AS similarity
       FROM (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e, list_transform(range(len(embedding)), lambda k: CASE WHEN k % 2 = 1 THEN 1.0::DOUBLE ELSE -0.5::DOUBLE END) AS p FROM embeddings) ORDER BY similarity DESC, vec_id LIMIT 10""",
+    "vector_neighbours": """WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings), s AS (SELECT q.vec_id AS query, v.vec_id,
+        floor(list_sum(list_transform(list_zip(v.e, q.e), lambda z: z[1] * z[2])) / (sqrt(list_sum(list_transform(v.e, lambda x: x * x))) * sqrt(list_sum(list_transform(q.e, lambda x: x * x)))) * 1000000 + 0.5) / 1000000 AS similarity
+      FROM e AS q, e AS v WHERE q.vec_id % 100 = 0) SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY query ORDER BY similarity DESC, vec_id) <= 10""",
     "recall_tables": chained("""SELECT tbl AS "table", min(route)::BIGINT AS route FROM (SELECT tbl, 3 AS route FROM tabs WHERE domain IN ('item', 'world') UNION ALL
       SELECT tbl, 2 FROM cols WHERE EXISTS (SELECT 1 FROM unnest([2, 3, 4]) AS a(l), range(1, 11) AS b(i) WHERE i + l <= 11 AND contains(lower(col), substr('itemregion', i::INT, l::INT)))) GROUP BY 1"""),
     "expand_tables": chained("""SELECT tbl AS "table", min(hop)::BIGINT AS hop FROM (SELECT 'nation' AS tbl, 0 AS hop UNION ALL SELECT neighbour, 1 FROM seen WHERE tbl = 'nation' AND confidence >= 0.7) GROUP BY 1 ORDER BY 2, 1 LIMIT 15"""),

@@ -358,6 +358,11 @@ def vector_topk(c):
     return R.vector_topk(c.sources["embeddings"], "vec_id", "embedding", probe, 10)
 
 
+@query
+def vector_neighbours(c):
+    return R.vector_neighbours(c.sources["embeddings"], "vec_id", "embedding", 10)
+
+
 @query
 def recall_tables(c):
     return R.recall_tables(c.tables, c.columns, "item region").withColumn("route", F.col("route").cast("bigint"))

@@ -12,7 +12,9 @@ _local: dict[str, str] = {}
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's folder; a temporary one only where none is set, as in tests on one machine."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+    if not base and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return (base or _local.setdefault("dir", tempfile.mkdtemp(prefix="keelson-"))).rstrip("/")
 
 

@@ -1,10 +1,13 @@
 """Profiles and relations of small tables."""
 
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from keelson.functions.vocabulary import TYPE_WORDS
-from keelson.operators import bridge, discovery as D, graph as G, profile as P
+from keelson.operators import assets as A, bridge, discovery as D, graph as G, profile as P, retrieval as R
 from keelson.plans.catalog import Catalog
 from keelson.plans.queries import SHEETS
 from keelson.streaming.incremental import file_changes, refreshed
@@ -39,6 +42,49 @@ def test_incremental_equals_full(spark, catalog):
     assert keys(D.final(again)) == keys(D.final(known))
 
 
+def test_types_from_all_values(spark):
+    """Digits sort before letters: the smallest values do not speak for a column."""
+    rows = [(str(k), str(k) if k < 85 else f"w{k}") for k in range(100)] + [(f"word{k}", None) for k in range(5000)]
+    c = Catalog(spark, {"t": spark.createDataFrame(rows, "a string, b string")})
+    assert {r.column: r.dtype for r in c.columns.collect()} == {"a": "str", "b": "float"}
+
+
+def test_naming_of_chinese_columns(spark):
+    """A column with a Chinese name refers to the table of the entity nearest to its end."""
+    hero = spark.createDataFrame([(i, f"h{i}") for i in range(1, 40)], "id int, name string")
+    skill = spark.createDataFrame([(i, f"s{i}") for i in range(500, 540)], "id int, name string")
+    fight = spark.createDataFrame([(i, 500 + i % 40, f"f{i}") for i in range(9000, 9100)], "id int, `英雄主动技能ID` int, label string")
+    assert ("fight", "英雄主动技能ID", "skill", "id") in keys(Catalog(spark, {"hero": hero, "skill": skill, "fight": fight}).naming)
+
+
+def test_vector_neighbours(spark, monkeypatch):
+    """Blocks give what one comparison of all gives; odd vectors are not compared."""
+    monkeypatch.setattr(R, "VECTOR_ROWS", 30)
+    monkeypatch.setattr(R, "VECTOR_QUERIES", 1)
+    r = random.Random(5)
+    rows = [(k, [r.choice([-1.0, 0.5, 2.0]) for _ in range(4)]) for k in range(301)] + [(400, [0.0] * 4), (401, None), (402, [1.0, 2.0]), (500, [3.0, 4.0])]
+    got = {}
+    for x in R.vector_neighbours(spark.createDataFrame(rows, "id long, v array<float>"), "id", "v", 5).collect():
+        got.setdefault(x.query, []).append((-x.similarity, x.id))
+    want = {}
+    for q, a in rows:
+        if q % 100 or not a or not any(a):
+            continue
+        norm = lambda v: math.sqrt(sum(x * x for x in v))
+        every = [(-math.floor(sum(x * y for x, y in zip(a, b)) / (norm(a) * norm(b)) * 1e6 + 0.5) / 1e6, i) for i, b in rows if b and any(b) and len(a) == len(b)]
+        want[q] = sorted(every)[:5]
+    assert {q: sorted(x) for q, x in got.items()} == want
+
+
+def test_locators(spark):
+    """Rows are found by their place in the sheet, data by the header's."""
+    sheet = spark.createDataFrame([("b", 4), ("a", 5), ("c", 6)], "id string, place long")
+    assert {(r.key, r.row) for r in A.row_locator(sheet, "t", "id", row="place").collect()} == {("b", 4), ("a", 5), ("c", 6)}
+    columns = spark.createDataFrame([("t", "id", 0), ("u", "id", 27)], "table string, column string, ordinal int")
+    starts = spark.createDataFrame([("t", 4)], "table string, data_start_row long")
+    assert {(r.table, r.letter, r.data_start_row) for r in A.cell_locator(columns, starts).collect()} == {("t", "A", 4), ("u", "AB", 2)}
+
+
 def test_fusion_and_pruning(spark):
     rel = edges(spark, ("a", "x", "b", "y", 0.95, "naming_convention"), ("b", "y", "a", "x", 0.90, "containment"), ("a", "u", "b", "v", 0.9, "containment"), ("a", "p", "b", "q", 0.85, "containment"))
     assert keys(D.fused(rel))[("a", "x", "b", "y")] == 0.98

@@ -9,7 +9,7 @@ from keelson.sources import graph_store
 from keelson.streaming.incremental import on_change
 
 SMALL = "/root/testdata/sf0.001"
-SOME = ("column_stats", "primary_keys", "column_pair_overlap", "containment_relations", "naming_relations", "final_relations", "join_paths", "value_index", "enum_cross_ref", "report_recall")
+SOME = ("column_stats", "primary_keys", "column_pair_overlap", "containment_relations", "naming_relations", "final_relations", "join_paths", "value_index", "enum_cross_ref", "report_recall", "column_dtypes", "incremental_pairs", "vector_neighbours", "cell_locator", "locate_cell")
 
 
 @pytest.mark.parametrize("name", SOME)
