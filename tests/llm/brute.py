@@ -86,7 +86,8 @@ def near(rows):
     return order((i, f"{prints[k]:016x}", least[u.find(k)]) for k, (i, _) in enumerate(rows))
 
 
-def line_dedup(rows, min_chars=1):
+def kept_lines(rows, min_chars=1):
+    """(doc_id, lines, lines that stay) of each row."""
     space, nodes = " \t\n\x0b\x0c\r", {}
     shingles = lambda s: {s[i : i + 5] for i in range(max(1, len(s) - 4))}
     for d, t in rows:
@@ -102,12 +103,12 @@ def line_dedup(rows, min_chars=1):
     for i, n in enumerate(names):
         best[u.find(i)] = min([best.get(u.find(i), (LAST, 0)), *nodes[n]])
     drop = {p for i, n in enumerate(names) for p in nodes[n] if p != best[u.find(i)]}
-    out = []
-    for d, t in rows:
-        lines = (t or "").split("\n")
-        kept = [x for k, x in enumerate(lines) if (d, k) not in drop]
-        out.append((d, len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
-    return order(out)
+    split = [(d, (t or "").split("\n")) for d, t in rows]
+    return [(d, x, [line for k, line in enumerate(x) if (d, k) not in drop]) for d, x in split]
+
+
+def line_dedup(rows, min_chars=1):
+    return order((d, len(x), len(x) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()) for d, x, kept in kept_lines(rows, min_chars))
 
 
 def base_counts(text):
