@@ -128,3 +128,8 @@ def llm_chunks(tables: DataFrame, columns: DataFrame, relations: DataFrame, leas
 def report_nodes(tables: DataFrame, degrees: DataFrame) -> DataFrame:
     """(table, domain, degree, size) of the report's nodes."""
     return tables.join(degrees, "table").select("table", "domain", "degree", F.least(F.greatest(F.lit(2.0), 2 + F.col("degree") / 10), F.lit(8.0)).alias("size"))
+
+
+def report_edges(relations: DataFrame) -> DataFrame:
+    """(from_table, to_table, label, confidence) of the report's edges."""
+    return relations.select("from_table", "to_table", F.concat("from_column", F.lit("->"), "to_column").alias("label"), "confidence")

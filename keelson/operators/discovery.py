@@ -176,6 +176,21 @@ def containment(adjusted_: DataFrame) -> DataFrame:
     )
 
 
+def shared_values(relations: DataFrame, norm: DataFrame, size: int = 5) -> DataFrame:
+    """(from_table, from_column, to_table, to_column, shared, examples): how many values the two ends share, and the smallest of them.
+
+    Values are counted in partial sums; a window that keeps ``size`` of them is cut before its shuffle.
+    """
+    ends = relations.select(*RELATION[:4]).distinct()
+    side = lambda t, c: norm.select(F.col("table").alias(t), F.col("column").alias(c), "value")
+    met = ends.join(side("from_table", "from_column"), ["from_table", "from_column"]).join(side("to_table", "to_column"), ["to_table", "to_column", "value"])
+    met = stored(met.select(*RELATION[:4], "value"), "evidence")
+    w = Window.partitionBy(*RELATION[:4]).orderBy("value")
+    few = met.withColumn("r", F.row_number().over(w)).where(F.col("r") <= size)
+    few = few.groupBy(*RELATION[:4]).agg(F.array_join(F.array_sort(F.collect_list("value")), ",").alias("examples"))
+    return met.groupBy(*RELATION[:4]).agg(F.count("*").alias("shared")).join(few, list(RELATION[:4]))
+
+
 # Naming
 
 
@@ -185,6 +200,11 @@ def abbreviations(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "abbreviation string, place int, full_name string")
 
 
+def full_names(spark: SparkSession) -> DataFrame:
+    """(full_name, abbreviations): the abbreviations that stand for a name."""
+    return abbreviations(spark).groupBy("full_name").agg(F.array_join(F.array_sort(F.collect_set("abbreviation")), ",").alias("abbreviations"))
+
+
 def expanded_names(names: DataFrame) -> DataFrame:
     """(column, expansion): what a column name without its ending may stand for, itself included."""
     known = abbreviations(names.sparkSession)
@@ -326,15 +346,17 @@ def transitive(relations: DataFrame, least: float = 0.65, limit: int = 500) -> D
 
 
 def with_feedback(relations: DataFrame, feedback: DataFrame) -> DataFrame:
-    """Rejected relations go, in either direction; confirmed ones are certain.  feedback: (relation_key 'a.b->c.d', status)."""
+    """Rejected relations go, confirmed ones are certain, each in either direction.  feedback: (relation_key 'a.b->c.d', status)."""
     forward = F.concat(F.concat_ws(".", "from_table", "from_column"), F.lit("->"), F.concat_ws(".", "to_table", "to_column"))
     backward = F.concat(F.concat_ws(".", "to_table", "to_column"), F.lit("->"), F.concat_ws(".", "from_table", "from_column"))
     keyed = relations.withColumn("forward", forward).withColumn("backward", backward)
     rejected = feedback.where("status = 'rejected'").select("relation_key").distinct()
-    confirmed = feedback.where("status = 'confirmed'").select(F.col("relation_key").alias("forward")).distinct().withColumn("sure", F.lit(True))
+    confirmed = feedback.where("status = 'confirmed'").select("relation_key").distinct()
     for key in ("forward", "backward"):
         keyed = keyed.join(rejected.withColumnRenamed("relation_key", key), key, "left_anti")
-    return keyed.join(confirmed, "forward", "left").withColumn("confidence", F.when(F.col("sure"), 1.0).otherwise(F.col("confidence"))).select(*RELATION)
+        keyed = keyed.join(confirmed.select(F.col("relation_key").alias(key), F.lit(True).alias(f"{key}_sure")), key, "left")
+    sure = F.coalesce("forward_sure", "backward_sure")
+    return keyed.withColumn("confidence", F.when(sure, 1.0).otherwise(F.col("confidence"))).select(*RELATION)
 
 
 def fused(relations: DataFrame) -> DataFrame:

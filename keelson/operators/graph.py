@@ -56,10 +56,11 @@ def cut(df: DataFrame) -> DataFrame:
     return stored(df, "graph")
 
 
-def paths(relations: DataFrame, hops: int, least: float, source: str | None = None) -> DataFrame:
+def paths(relations: DataFrame, hops: int, least: float, source: str | None = None, ends: tuple[str, str] | None = None) -> DataFrame:
     """(src, dst, hops, confidence, path): the shortest undirected join path of each pair, up to ``hops`` relations.
 
-    Of equally short ones the path of the highest product of confidences, then the first in order of text.
+    ``source`` is the table that paths start from; with ``ends`` they start from tables with the first word in their name,
+    and end at the first table that has the second.  Of equally short ones the path of the highest product of confidences, then the first in order of text.
     """
     strong = relations.where(F.col("confidence") >= least)
     text = F.concat(F.concat_ws(".", "from_table", "from_column"), F.lit("="), F.concat_ws(".", "to_table", "to_column"))
@@ -68,15 +69,20 @@ def paths(relations: DataFrame, hops: int, least: float, source: str | None = No
     w = Window.partitionBy("x", "y").orderBy(F.desc("confidence"), "step")
     edges = ahead.union(back).where("x <> y").withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
     first = edges if source is None else edges.where(F.col("x") == source)
+    going, reached = F.lit(True), F.lit(True)
+    if ends is not None:
+        first = first.where(F.contains(F.lower("x"), F.lit(ends[0].lower())))
+        reached = F.contains(F.lower("dst"), F.lit(ends[1].lower()))
+        going = ~reached
     level = first.select(F.col("x").alias("src"), F.col("y").alias("dst"), "confidence", F.col("step").alias("path"), F.array("x", "y").alias("seen"))
     levels = [level.withColumn("hops", F.lit(1))]
     for k in range(2, hops + 1):
         nxt = edges.select("x", F.col("y").alias("to"), F.col("confidence").alias("c"), "step")
-        level = level.join(nxt, level["dst"] == nxt["x"]).where(~F.array_contains("seen", F.col("to"))).select(
+        level = level.where(going).join(nxt, F.col("dst") == F.col("x")).where(~F.array_contains("seen", F.col("to"))).select(
             "src", F.col("to").alias("dst"), (F.col("confidence") * F.col("c")).alias("confidence"), F.concat_ws(" AND ", "path", "step").alias("path"), F.array_append("seen", F.col("to")).alias("seen")
         )
         levels.append(level.withColumn("hops", F.lit(k)))
-    every = reduce(DataFrame.union, (x.select("src", "dst", "hops", "confidence", "path") for x in levels))
+    every = reduce(DataFrame.union, (x.select("src", "dst", "hops", "confidence", "path") for x in levels)).where(reached)
     w = Window.partitionBy("src", "dst").orderBy("hops", F.desc("confidence"), "path")
     return every.withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
 
@@ -119,6 +125,29 @@ def _long_cycles(edges: DataFrame, length: int) -> DataFrame:
     return closed.select(F.array_join("path", ">").alias("cycle"), F.size("path").alias("n_tables"))
 
 
+def acyclic(relations: DataFrame, least: float = 0.5) -> DataFrame:
+    """(from_table, to_table, confidence): the surest relation of each two tables, less the least sure one of every cycle.
+
+    Of equally sure ones the first by name is the surer.  An edge goes if surer ones alone lead from its end back to its start,
+    so what is left has no cycle.  The walk is a join per step, of edges with the tables reached.
+    """
+    best = F.max_by(F.struct("from_table", "to_table", "confidence"), F.struct("confidence", F.col("from_table") < F.col("to_table"))).alias("b")
+    rows = relations.where((F.col("confidence") >= least) & (F.col("from_table") != F.col("to_table")))
+    rows = rows.groupBy(F.least("from_table", "to_table").alias("k1"), F.greatest("from_table", "to_table").alias("k2")).agg(best).select("b.*")
+    order = F.struct((-F.col("confidence")).alias("c"), "from_table", "to_table")
+    edges = cut(rows.withColumn("order", order))
+    level = cut(edges.select("from_table", "to_table", "order", F.col("to_table").alias("at")))
+    levels = [level]
+    step = edges.select(F.col("from_table").alias("x"), F.col("to_table").alias("y"), F.col("order").alias("o"))
+    while not level.isEmpty():
+        seen = reduce(DataFrame.union, (x.select("from_table", "to_table", "at") for x in levels))
+        ahead = level.join(step, (F.col("at") == F.col("x")) & (F.col("o") < F.col("order")))
+        level = cut(ahead.select("from_table", "to_table", "order", F.col("y").alias("at")).distinct().join(seen, ["from_table", "to_table", "at"], "left_anti"))
+        levels.append(level)
+    closed = reduce(DataFrame.unionByName, levels).where("at = from_table").select("from_table", "to_table").distinct()
+    return edges.drop("order").join(closed, ["from_table", "to_table"], "left_anti")
+
+
 def critical_path(relations: DataFrame) -> DataFrame:
     """(path, hops): the longest chain of relations among tables that are on no cycle and behind none."""
     edges = links(relations).where("from_table <> to_table").select(F.col("from_table").alias("x"), F.col("to_table").alias("y"))

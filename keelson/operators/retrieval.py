@@ -22,6 +22,14 @@ def query_table(tables: DataFrame, relations: DataFrame, keyword: str) -> DataFr
     return relation_graph(relations, 0.0).where(F.contains(F.lower("table"), F.lit(keyword.lower())))
 
 
+def query_columns(tables: DataFrame, columns: DataFrame, keyword: str, limit: int = 20) -> DataFrame:
+    """(table, domain, row_count, col_count, primary_key, columns): the tables whose name has the keyword, with their first columns."""
+    asked = tables.where(F.contains(F.lower("table"), F.lit(keyword.lower())))
+    first = columns.groupBy("table").agg(F.array_sort(F.collect_list(F.struct("ordinal", "column"))).alias("c"))
+    names = F.array_join(F.transform(F.slice("c", 1, limit), lambda x: x["column"]), ", ").alias("columns")
+    return asked.join(first, "table").select("table", "domain", "row_count", "col_count", "primary_key", names)
+
+
 def table_relations(relations: DataFrame, table: str) -> DataFrame:
     return relations.where((F.col("from_table") == table) | (F.col("to_table") == table)).select("from_table", "from_column", "to_table", "to_column", "confidence")
 
@@ -169,8 +177,3 @@ def report_recall(tables: DataFrame, columns: DataFrame, relations: DataFrame, w
     label = F.concat(F.concat_ws(".", "from_table", "from_column"), F.lit("->"), F.concat_ws(".", "to_table", "to_column"))
     r = relations.select(F.lit("relation").alias("kind"), label.alias("name"), F.when(F.contains(F.lower(label), w), 0.8).alias("score"))
     return t.union(c).union(r).where("score is not null")
-
-
-def joinable(paths: DataFrame, source: str) -> DataFrame:
-    w = Window.partitionBy("dst").orderBy("hops")
-    return paths.where(F.col("src") == source).withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")

@@ -6,11 +6,13 @@ parts start from it.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import analysis as N
+from ..operators import assets as A
 from ..operators import discovery as D
 from ..operators import profile as P
 from .store import stored
@@ -20,8 +22,8 @@ _catalogs: dict[tuple[str, str], Catalog] = {}
 
 
 class Catalog:
-    def __init__(self, spark: SparkSession, sources: dict[str, DataFrame]):
-        self.spark, self.sources = spark, sources
+    def __init__(self, spark: SparkSession, sources: dict[str, DataFrame], feedback: DataFrame | None = None):
+        self.spark, self.sources, self.feedback = spark, sources, feedback
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Catalog:
@@ -90,7 +92,23 @@ class Catalog:
 
     @cached_property
     def relations(self) -> DataFrame:
-        return self._keep(D.final(self.all_relations))
+        return self._keep(D.final(self.all_relations, self.feedback))
+
+    @cached_property
+    def analysis(self) -> DataFrame:
+        return N.analysis(self.nodes, self.relations)
+
+    @cached_property
+    def starts(self) -> DataFrame | None:
+        """(table, data_start_row), where the tables come from sheets."""
+        return None
+
+    @cached_property
+    def rows_by_key(self) -> DataFrame:
+        """(table, key, row) of the tables of at most 200 rows, in order of their keys."""
+        small = self.tables.where("row_count <= 200 and primary_key is not null").select("table", "primary_key").collect()  # a row per table
+        none = self.spark.createDataFrame([], "table string, key string, row bigint")
+        return reduce(DataFrame.union, (A.row_locator(self.sources[r["table"]], r["table"], r["primary_key"]) for r in small), none)
 
     @cached_property
     def nodes(self) -> DataFrame:

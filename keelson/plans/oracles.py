@@ -186,7 +186,7 @@ CHAIN: list[tuple[str, str]] = [
        SELECT to_table, 'in', from_table, from_table || '.' || from_column || ' = ' || to_table || '.' || to_column, confidence FROM relations"""),
     ("undirected", """SELECT x, y, confidence AS c, step FROM (SELECT *, row_number() OVER (PARTITION BY x, y ORDER BY confidence DESC, step) AS r FROM (
        SELECT from_table AS x, to_table AS y, confidence, from_table || '.' || from_column || '=' || to_table || '.' || to_column AS step FROM relations UNION ALL
-       SELECT to_table, from_table, confidence, from_table || '.' || from_column || '=' || to_table || '.' || to_column FROM relations) WHERE x <> y AND confidence >= 0.6) WHERE r = 1"""),
+       SELECT to_table, from_table, confidence, from_table || '.' || from_column || '=' || to_table || '.' || to_column FROM relations) WHERE x <> y) WHERE r = 1"""),
 ]
 NAMES = [n for n, _ in CHAIN]
 BODY = dict(CHAIN)
@@ -249,6 +249,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT c, full_name FROM (SELECT DISTINCT col AS c FROM cols UNION SELECT unnest(['sid', 'tid_id', 'mid'])) JOIN known ON abbreviation = {_strip('c', W.LOOKUP_ENDINGS)})"""
     ),
     "abbrev_lookup": chained("SELECT abbreviation, place::BIGINT AS place, full_name FROM known"),
+    "full_name_lookup": chained("SELECT full_name, string_agg(DISTINCT abbreviation, ',' ORDER BY abbreviation) AS abbreviations FROM known GROUP BY 1"),
     "clean_columns": chained(f'SELECT tbl AS "table", col AS "column", {_strip("col", W.CLEAN_ENDINGS)} AS clean FROM cols'),
     "subsequence_match": chained("""SELECT DISTINCT col AS "column", t.tbl AS "table" FROM cols c, tabs t
       WHERE regexp_matches(t.tbl, '^.*' || array_to_string(list_transform(string_split(left(col, 4), ''), lambda x: regexp_escape(x)), '.*') || '.*$')"""),
@@ -260,13 +261,15 @@ ORACLES: dict[str, str] = {
     "containment_scores": chained(f"SELECT tbl_a AS table_a, col_a AS column_a, tbl_b AS table_b, col_b AS column_b, direction, CASE WHEN direction = 'unknown' THEN 'fk_content_overlap' ELSE 'fk_content_subset' END AS match_type, {cents('score')} AS score FROM scored WHERE direction IS NOT NULL"),
     "confidence_adjust": chained("SELECT tbl_a AS table_a, col_a AS column_a, tbl_b AS table_b, col_b AS column_b, confidence FROM adjusted"),
     "containment_relations": chained(f"SELECT {EDGE} FROM contained"),
+    "relation_evidence": chained("""SELECT from_table, from_column, to_table, to_column, count(*) AS shared, array_to_string(list_sort(list(a.value))[:5], ',') AS examples
+      FROM (SELECT DISTINCT from_table, from_column, to_table, to_column FROM relations) JOIN norm a ON a.tbl = from_table AND a.col = from_column JOIN norm b ON b.tbl = to_table AND b.col = to_column AND a.value = b.value GROUP BY 1, 2, 3, 4"""),
     "naming_relations": chained(f"SELECT {EDGE} FROM naming"),
     "abbrev_mining": chained("SELECT abbreviation, target AS to_table, base AS confidence FROM patterns"),
     "abbrev_relations": chained(f"SELECT {EDGE} FROM abbreviated"),
     "column_index_cn": "SELECT * FROM (VALUES ('技能', 't'), ('英雄', 't'), ('奖励', 't')) AS v(segment, tables)",
     "cn_bridge": "SELECT * FROM (VALUES ('英雄主动技能ID', 'skill'), ('英雄编号', 'hero')) AS v(\"column\", to_table)",
     "transitive_relations": chained(f"SELECT {EDGE}, evidence FROM transitive"),
-    "feedback_apply": chained(f"""SELECT from_table, from_column, to_table, to_column, relation_type, CASE WHEN from_column = 'c_nationkey' AND to_column = 'n_nationkey' THEN 1.0::DOUBLE ELSE confidence END AS confidence, discovery_method
+    "feedback_apply": chained(f"""SELECT from_table, from_column, to_table, to_column, relation_type, CASE WHEN (from_column = 'c_nationkey' AND to_column = 'n_nationkey') OR (from_column = 'n_nationkey' AND to_column = 'c_nationkey') THEN 1.0::DOUBLE ELSE confidence END AS confidence, discovery_method
       FROM direct WHERE NOT (from_column = 'n_regionkey' AND to_column = 'r_regionkey') AND NOT (from_column = 'r_regionkey' AND to_column = 'n_regionkey')"""),
     "fuse_relations": chained(f"SELECT {EDGE} FROM fused"),
     "dedupe_relations": chained(f"SELECT {EDGE} FROM deduped"),
@@ -276,6 +279,17 @@ ORACLES: dict[str, str] = {
     "join_paths": chained(_SHORTEST, _walks(2, 0.65)),
     "find_join_path": chained(_SHORTEST, _walks(3, 0.6, "x = 'lineitem'")),
     "report_paths": chained(f"SELECT * FROM ({_SHORTEST}) WHERE src = 'customer' ORDER BY hops, path LIMIT 5", _walks(3, 0.0, "x = 'customer'")),
+    "report_path_search": chained(
+        "SELECT src, dst, hops::BIGINT AS hops, path FROM (SELECT *, row_number() OVER (PARTITION BY src, dst ORDER BY hops, confidence DESC, path) AS r FROM walks WHERE contains(dst, 'n')) WHERE r = 1 ORDER BY hops, src, dst LIMIT 5",
+        _walks(3, 0.0, "contains(x, 'er')").replace("FROM walks JOIN undirected ON dst = x WHERE", "FROM walks JOIN undirected ON dst = x WHERE NOT contains(dst, 'n') AND"),
+    ),
+    "report_dag": chained(
+        "SELECT from_table, to_table, confidence FROM surest b WHERE NOT EXISTS (SELECT 1 FROM led WHERE led.k = b.k AND led.place = b.from_table)",
+        """surest(from_table, to_table, confidence, k) AS (SELECT from_table, to_table, confidence, row_number() OVER (ORDER BY confidence DESC, from_table, to_table) FROM (
+             SELECT from_table, to_table, confidence, row_number() OVER (PARTITION BY least(from_table, to_table), greatest(from_table, to_table) ORDER BY confidence DESC, from_table) AS r
+             FROM relations WHERE confidence >= 0.5 AND from_table <> to_table) WHERE r = 1),
+           led(k, place) AS (SELECT k, to_table FROM surest UNION SELECT led.k, e.to_table FROM led JOIN surest e ON e.from_table = led.place AND e.k < led.k)""",
+    ),
     "cycles": chained(
         "SELECT array_to_string(seen, '>') AS cycle, len(seen)::BIGINT AS n_tables FROM tours JOIN (SELECT DISTINCT from_table AS x, to_table AS y FROM relations) e ON e.x = last AND e.y = first",
         """tours(first, last, seen) AS (SELECT DISTINCT from_table, to_table, [from_table, to_table] FROM relations WHERE from_table < to_table UNION ALL
@@ -300,6 +314,8 @@ ORACLES: dict[str, str] = {
         + " ELSE '其他' END || ', ' || CASE WHEN row_count < 200 THEN '小型' WHEN row_count < 2000 THEN '中型' ELSE '大型' END || ', ' || row_count || ' 行, ' || col_count || ' 列' || coalesce(', 主键 ' || pk, '') AS description FROM tabs"
     ),
     "query_table": chained("SELECT tbl AS \"table\", direction, neighbour, join_text, confidence FROM seen WHERE contains(tbl, 'item')"),
+    "query_columns": chained("""SELECT tbl AS "table", domain, row_count, col_count, pk AS primary_key, first_columns FROM tabs
+      JOIN (SELECT tbl, array_to_string(list(col ORDER BY ord)[:5], ', ') AS first_columns FROM cols GROUP BY 1) USING (tbl) WHERE contains(tbl, 'e')"""),
     "table_relations": chained("SELECT from_table, from_column, to_table, to_column, confidence FROM relations WHERE from_table = 'orders' OR to_table = 'orders'"),
     "find_by_column": chained("""SELECT tbl AS "table", col AS "column", n AS n_grams FROM (SELECT tbl, col, (SELECT count(DISTINCT g) FROM (
       SELECT substr('nationkey', i::INT, l::INT) AS g FROM unnest([2, 3, 4]) AS a(l), range(1, 10) AS b(i) WHERE i + l <= 10) WHERE contains(lower(col), g)) AS n FROM cols) WHERE n > 0"""),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import values as V
 from ..functions.vocabulary import TYPE_WORDS
+from ..operators import analysis as N
 from ..operators import assets as A
 from ..operators import discovery as D
 from ..operators import graph as G
@@ -143,6 +144,11 @@ def abbrev_lookup(c):
     return D.abbreviations(c.spark).withColumn("place", F.col("place").cast("bigint"))
 
 
+@query
+def full_name_lookup(c):
+    return D.full_names(c.spark)
+
+
 @query
 def clean_columns(c):
     return c.columns.select("table", "column", V.clean_name(F.col("column")).alias("clean"))
@@ -193,6 +199,11 @@ def containment_relations(c):
     return c.containment.select(*EDGE)
 
 
+@query
+def relation_evidence(c):
+    return D.shared_values(c.relations, c.norm)
+
+
 @query
 def naming_relations(c):
     return c.naming.select(*EDGE)
@@ -342,6 +353,11 @@ def query_table(c):
     return R.query_table(c.tables, c.relations, "item")
 
 
+@query
+def query_columns(c):
+    return R.query_columns(c.tables, c.columns, "e", 5).withColumnRenamed("columns", "first_columns")
+
+
 @query
 def table_relations(c):
     return R.table_relations(c.relations, "orders")
@@ -416,6 +432,26 @@ def report_paths(c):
     return G.paths(c.relations, 3, 0.0).where("src = 'customer' and hops <= 3").orderBy("hops", "path").limit(5).select("src", "dst", F.col("hops").cast("bigint").alias("hops"), "path")
 
 
+@query
+def report_path_search(c):
+    return G.paths(c.relations, 3, 0.0, ends=("er", "n")).select("src", "dst", F.col("hops").cast("bigint").alias("hops"), "path").orderBy("hops", "src", "dst").limit(5)
+
+
+@query
+def report_dag(c):
+    return G.acyclic(c.relations)
+
+
+@query
+def analysis(c):
+    return c.analysis
+
+
+@query
+def analysis_summary(c):
+    return N.summary(c.analysis)
+
+
 @query
 def report_nodes(c):
     return A.report_nodes(c.tables, G.degrees(c.nodes, c.relations))
@@ -423,4 +459,4 @@ def report_nodes(c):
 
 @query
 def report_edges(c):
-    return c.relations.select("from_table", "to_table", F.concat("from_column", F.lit("->"), "to_column").alias("label"), "confidence")
+    return A.report_edges(c.relations)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import re
 import zipfile
@@ -15,7 +16,9 @@ from pyspark.sql import functions as F
 ENCODINGS = ("utf-8-sig", "gbk", "latin-1")
 #: Rows that are handed on at a time.
 CHUNK_ROWS = 50_000
-CELLS = "source string, row_index int, cells array<string>"
+CELLS = "source string, row_index int, cells array<string>, path string"
+#: The longest cell of a CSV file.
+CELL_CHARS = 1 << 30
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
@@ -27,41 +30,53 @@ def listing(spark: SparkSession, folder: str, pattern: str = "*.{csv,tsv,xlsx}")
     return files.where(~name.rlike(r"^[.~]")).select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("size"))
 
 
-def sheets(spark: SparkSession, folder: str, pattern: str = "*.{csv,tsv,xlsx}") -> DataFrame:
-    """(source, row_index, cells) of all files below a folder, one task per file; a file that cannot be read has no rows.
+def read(spark: SparkSession, folder: str, pattern: str = "*.{csv,tsv,xlsx}") -> DataFrame:
+    """(source, row_index, cells, path) of all files below a folder, one task per file.
 
+    A file that cannot be read has one row: source null, row_index -1, the error in cells.
     A sheet's source is the file's stem, with the sheet's name unless that is Sheet1 or the stem.
-    Sheets whose name begins with # are skipped, as are sheets of one column.
+    Sheets whose name begins with # are skipped, as are sheets of one column and, in CSV files, blank lines.
+    Rows keep their own number of cells.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
     name = F.element_at(F.split("path", "/"), -1)
     return files.where(~name.rlike(r"^[.~]")).select("path", "content").mapInPandas(_rows, CELLS)
 
 
+def sheets(spark: SparkSession, folder: str, pattern: str = "*.{csv,tsv,xlsx}") -> DataFrame:
+    """The rows of ``read`` of all files that can be read."""
+    return read(spark, folder, pattern).where("source is not null")
+
+
+def unreadable(spark: SparkSession, folder: str, pattern: str = "*.{csv,tsv,xlsx}") -> DataFrame:
+    """(path, error) of the files that cannot be read."""
+    return read(spark, folder, pattern).where("source is null").select("path", F.get("cells", F.lit(0)).alias("error"))
+
+
 def _rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             stem, _, kind = path.rsplit("/", 1)[-1].rpartition(".")
             try:
                 tables = list(_workbook(stem, content)) if kind.lower() == "xlsx" else [(stem, _delimited(content, "\t" if kind.lower() == "tsv" else ","))]
-            except (ValueError, KeyError, zipfile.BadZipFile, ElementTree.ParseError):
+            except (ValueError, KeyError, IndexError, csv.Error, zipfile.BadZipFile, ElementTree.ParseError) as e:
+                yield pd.DataFrame({"source": [None], "row_index": [-1], "cells": [[f"{type(e).__name__}: {e}"]], "path": [path]})
                 continue
             for source, rows in tables:
                 if rows and max(map(len, rows)) > 1:
                     for k in range(0, len(rows), CHUNK_ROWS):
                         part = rows[k : k + CHUNK_ROWS]
-                        yield pd.DataFrame({"source": source, "row_index": range(k, k + len(part)), "cells": part})
+                        yield pd.DataFrame({"source": source, "row_index": range(k, k + len(part)), "cells": part, "path": path})
 
 
-def _delimited(content: bytes, separator: str) -> list[list[str | None]]:
+def _delimited(content: bytes, separator: str) -> list[list[str]]:
+    csv.field_size_limit(CELL_CHARS)
     for encoding in ENCODINGS:
         try:
-            frame = pd.read_csv(io.BytesIO(content), sep=separator, header=None, dtype=str, encoding=encoding, keep_default_na=False)
+            text = content.decode(encoding)
         except UnicodeDecodeError:
             continue
-        except pd.errors.EmptyDataError:
-            return []
-        return frame.values.tolist()
+        return [row for row in csv.reader(io.StringIO(text, newline=""), delimiter=separator) if row]
     return []
 
 

@@ -10,6 +10,7 @@ from keelson.functions.vocabulary import TYPE_WORDS
 from keelson.operators import assets as A, bridge, discovery as D, graph as G, profile as P, retrieval as R
 from keelson.plans.catalog import Catalog
 from keelson.plans.queries import SHEETS
+from keelson.sources import feedback
 from keelson.streaming.incremental import file_changes, refreshed
 
 EDGE = "from_table string, from_column string, to_table string, to_column string, relation_type string, confidence double, discovery_method string, evidence string"
@@ -94,9 +95,45 @@ def test_fusion_and_pruning(spark):
 
 
 def test_feedback(spark):
-    rel = edges(spark, ("a", "x", "b", "y", 0.6, "containment"), ("c", "x", "b", "y", 0.6, "containment"))
-    said = spark.createDataFrame([("b.y->a.x", "rejected"), ("c.x->b.y", "confirmed")], "relation_key string, status string")
-    assert keys(D.with_feedback(rel, said)) == {("c", "x", "b", "y"): 1.0}
+    rel = edges(spark, ("a", "x", "b", "y", 0.6, "containment"), ("c", "x", "b", "y", 0.6, "containment"), ("d", "x", "b", "y", 0.6, "containment"), ("e", "x", "b", "y", 0.6, "containment"))
+    said = spark.createDataFrame([("b.y->a.x", "rejected"), ("c.x->b.y", "confirmed"), ("b.y->d.x", "confirmed")], "relation_key string, status string")
+    assert keys(D.with_feedback(rel, said)) == {("c", "x", "b", "y"): 1.0, ("d", "x", "b", "y"): 1.0, ("e", "x", "b", "y"): 0.6}
+
+
+def test_feedback_store(spark, tmp_path):
+    """The last word on a relation counts."""
+    rel = edges(spark, ("a", "x", "b", "y", 0.6, "c"), ("c", "x", "b", "y", 0.6, "c"), ("d", "x", "b", "y", 0.6, "c"))
+    path = str(tmp_path / "said")
+    feedback.say(rel.where("from_table <> 'd'"), "confirmed", path, 1.0)
+    feedback.say(rel.where("from_table = 'c'"), "rejected", path, 2.0)
+    assert {r.from_table: r.status for r in feedback.check(rel, feedback.said(spark, path)).collect()} == {"a": "confirmed", "c": "rejected", "d": "unknown"}
+    assert {k[0]: v for k, v in keys(D.with_feedback(rel, feedback.said(spark, path))).items()} == {"a": 1.0, "d": 0.6}
+    with pytest.raises(ValueError):
+        feedback.say(rel, "maybe", path)
+
+
+def test_acyclic(spark):
+    """Of two tables one relation stays; b>c goes from a>b>c>a, and d>a, behind c>d by name, from a>b>c>d>a."""
+    rel = edges(spark, ("a", "x", "b", "y", 0.9, "c"), ("b", "x", "a", "y", 0.8, "c"), ("b", "x", "c", "y", 0.7, "c"), ("c", "x", "a", "y", 0.8, "c"), ("c", "x", "d", "y", 0.6, "c"), ("d", "x", "a", "y", 0.6, "c"), ("e", "x", "a", "y", 0.4, "c"))
+    assert {(r.from_table, r.to_table): r.confidence for r in G.acyclic(rel).collect()} == {("a", "b"): 0.9, ("c", "a"): 0.8, ("c", "d"): 0.6}
+    assert G.acyclic(rel.limit(0)).count() == 0
+
+
+def test_paths_between_words(spark):
+    rel = edges(spark, ("hero_a", "x", "mid", "y", 0.9, "c"), ("mid", "x", "item_a", "y", 0.9, "c"), ("item_a", "x", "item_b", "y", 0.9, "c"))
+    assert {(r.src, r.dst, r.hops) for r in G.paths(rel, 3, 0.0, ends=("hero", "item")).collect()} == {("hero_a", "item_a", 2)}
+    assert {(r.src, r.dst, r.hops) for r in G.paths(rel, 3, 0.0, ends=("hero", "item_b")).collect()} == {("hero_a", "item_b", 3)}
+
+
+def test_abbreviated_with_hits(spark):
+    """A mined abbreviation finds a relation where values fit, an enumeration its like in another table."""
+    hero = spark.createDataFrame([(i, f"h{i}", "abc"[i % 3]) for i in range(1, 301)], "id int, name string, camp string")
+    log = spark.createDataFrame([(i + 9000, i % 40 + 1, "abc"[i % 3]) for i in range(300)], "id int, hr int, camp string")
+    other = spark.createDataFrame([(i + 5000, i % 40 + 1) for i in range(300)], "id int, hr_id int")
+    c = Catalog(spark, {"hero": hero, "fight": log, "other": other})
+    known = edges(spark, ("other", "hr_id", "hero", "id", 0.9, "containment"))
+    assert ("fight", "hr", "hero", "id") in keys(D.abbreviated(c.columns, c.tables, c.norm, known))
+    assert [(r.column, r.tables, r.shared, r.shared_values) for r in A.enum_cross_ref(c.cells, c.columns).collect()] == [("camp", "fight,hero", 3, "a,b,c")]
 
 
 def test_transitive(spark):

@@ -23,6 +23,7 @@ def test_sheets(spark, tmp_path):
     assert got == {
         ("a", 0): ["id", "名称"], ("a", 1): ["1", "x"], ("b", 0): ["id", "name"], ("b", 1): ["1", "y, z"], ("c", 0): ["key", None, "2.5"], ("c_more", 0): ["key", None, "2.5"],
     }
+    assert [r.path.rsplit("/", 1)[-1] for r in files.unreadable(spark, str(tmp_path)).collect()] == ["bad.xlsx"]
     assert {r.path.rsplit("/", 1)[-1] for r in files.listing(spark, str(tmp_path)).collect()} == {"a.csv", "b.tsv", "bad.xlsx", "c.xlsx"}
     assert [tuple(r) for r in files.table(files.sheets(spark, str(tmp_path)), "a", 1, ["id", "name"]).collect()] == [("1", "x")]
 
