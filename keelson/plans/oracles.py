@@ -360,3 +360,55 @@ ORACLES["critical_path"] = chained(
     free AS MATERIALIZED (SELECT t FROM (SELECT x AS t FROM arcs UNION SELECT y FROM arcs) WHERE t NOT IN (SELECT x FROM reach WHERE x = y) AND t NOT IN (SELECT y FROM reach WHERE x IN (SELECT x FROM reach WHERE x = y))),
     long(p) AS (SELECT [t] FROM free UNION ALL SELECT list_append(p, y) FROM long JOIN arcs ON x = p[-1] WHERE y IN (SELECT t FROM free))""",
 )
+
+
+def _communities(rounds: int = 30) -> str:
+    """Label propagation with a common table per round."""
+    parts = [
+        "arcs AS MATERIALIZED (SELECT DISTINCT from_table AS x, to_table AS y FROM relations)",
+        "voters AS MATERIALIZED (SELECT x, y FROM arcs UNION ALL SELECT y, x FROM arcs UNION ALL SELECT tbl, tbl FROM tabs)",
+        "l0 AS MATERIALIZED (SELECT tbl, tbl AS label FROM tabs)",
+    ]
+    for k in range(1, rounds + 1):
+        votes = f"(SELECT x, label, count(*) AS n FROM voters JOIN l{k - 1} ON y = tbl GROUP BY x, label)"
+        parts.append(f"l{k} AS MATERIALIZED (SELECT x AS tbl, arg_min(label, (-n, label)) AS label FROM {votes} GROUP BY x)")
+    select = f'SELECT tbl AS "table", community FROM (SELECT tbl, count(*) OVER (PARTITION BY label) AS n, min(tbl) OVER (PARTITION BY label) AS community FROM l{rounds}) WHERE n > 1'
+    return chained(select, ",\n".join(parts))
+
+
+ORACLES["communities"] = _communities()
+ORACLES["changelog"] = chained("""SELECT "table", 'schema_changed' AS change_type, string_agg(change || ' ' || col, '; ' ORDER BY change || ' ' || col) AS details FROM (
+    SELECT coalesce(a.tbl, b.tbl) AS "table", coalesce(a.col, b.col) AS col, CASE WHEN b.col IS NULL THEN 'added' WHEN a.col IS NULL THEN 'removed' ELSE 'type_changed' END AS change, a.dtype AS now, b.dtype AS before
+    FROM typed a FULL JOIN (SELECT tbl, col, CASE WHEN col = 'o_totalprice' THEN 'str' ELSE dtype END AS dtype FROM typed WHERE col <> 'p_size' UNION ALL SELECT 'nation', 'n_comment', 'str') b ON a.tbl = b.tbl AND a.col = b.col)
+    WHERE now IS DISTINCT FROM before GROUP BY 1""")
+ORACLES["llm_chunks"] = chained("""SELECT tbl AS "table", '# ' || tbl || ' (' || domain || ', ' || row_count || ' rows)' || chr(10) || listed || coalesce(chr(10) || joined, '') AS chunk FROM tabs
+    JOIN (SELECT tbl, string_agg(col || ':' || dtype || CASE WHEN is_pk THEN ' PK' ELSE '' END || CASE WHEN is_fk THEN ' FK?' ELSE '' END || CASE WHEN is_enum THEN ' enum(' || uniq || ')' ELSE '' END, ', ' ORDER BY ord) AS listed
+      FROM cols WHERE ord < 25 GROUP BY tbl) USING (tbl)
+    LEFT JOIN (SELECT tbl, string_agg(line, chr(10) ORDER BY line) AS joined FROM (SELECT tbl, direction || ' ' || join_text || CASE WHEN confidence >= 0.8 THEN ' [certain]' ELSE ' [likely]' END AS line,
+      row_number() OVER (PARTITION BY tbl, direction ORDER BY confidence DESC, join_text) AS r FROM seen WHERE confidence >= 0.65) WHERE r <= 10 GROUP BY tbl) USING (tbl)""")
+ORACLES["build_context"] = f"""SELECT 'chunk' AS kind, chunk AS text FROM ({ORACLES["llm_chunks"]}) WHERE "table" IN ('nation', 'region', 'customer') UNION ALL
+    SELECT 'join', 'JOIN ' || from_table || '.' || from_column || ' = ' || to_table || '.' || to_column FROM ({ORACLES["final_relations"]})
+    WHERE confidence >= 0.7 AND from_table IN ('nation', 'region', 'customer') AND to_table IN ('nation', 'region', 'customer')"""
+ORACLES["table_detail"] = chained("""SELECT 'column' AS kind, col AS item, detail FROM (SELECT col FROM cols WHERE tbl = 'nation')
+    LEFT JOIN (SELECT col, string_agg(value, ',' ORDER BY value) AS detail FROM ranked WHERE tbl = 'nation' AND rank <= 10 GROUP BY col) USING (col) UNION ALL
+    SELECT 'relation', join_text, direction FROM (SELECT join_text, direction FROM seen WHERE tbl = 'nation' AND confidence >= 0.6 ORDER BY confidence DESC, join_text LIMIT 20)""")
+ORACLES["rank_tables"] = f"""WITH profile AS MATERIALIZED ({ORACLES["table_profile"]}), central AS MATERIALIZED ({ORACLES["centrality"]}), modules AS MATERIALIZED ({ORACLES["communities"]})
+    SELECT p."table", floor((coalesce(score, 0.0::DOUBLE) * 1.5::DOUBLE / 100 + CASE WHEN row_count <= 200 THEN 0.5::DOUBLE ELSE 0 END
+      + CASE WHEN community IN (SELECT community FROM modules WHERE "table" = 'nation') THEN 1.0::DOUBLE ELSE 0 END) * 10000 + 0.5) / 10000 AS score
+    FROM profile p LEFT JOIN central c ON c."table" = p."table" LEFT JOIN modules m ON m."table" = p."table" ORDER BY 2 DESC, 1 LIMIT 10"""
+ORACLES["table_profiles"] = chained("""SELECT tbl AS "table", '{"domain":"' || domain || '","row_count":' || row_count || coalesce(',"primary_key":"' || pk || '"', '') || ',"columns":[' || told || '],"relations":[' || coalesce(met, '') || ']}' AS profile,
+    array_to_string(list_filter(found, lambda w, i: list_position(found, w) = i), ' ') AS searchable_text FROM (
+      SELECT *, [tbl] || string_split(tbl, '_') || [domain] || listed || coalesce(beside, []) || [CASE WHEN row_count < 500 THEN 'small' WHEN row_count < 5000 THEN 'medium' ELSE 'large' END] AS found FROM tabs
+      JOIN (SELECT tbl, list(col ORDER BY ord) AS listed, string_agg('{"ordinal":' || ord || ',"column":"' || col || '","dtype":"' || dtype || '","is_pk":' || is_pk || ',"is_fk_candidate":' || is_fk || ',"is_enum":' || is_enum || '}', ',' ORDER BY ord) AS told
+        FROM cols GROUP BY tbl) USING (tbl)
+      LEFT JOIN (SELECT tbl, list(neighbour ORDER BY -confidence, direction, neighbour, join_text) AS beside,
+        string_agg('{"order":' || (-confidence) || ',"direction":"' || direction || '","neighbour":"' || neighbour || '","join_text":"' || join_text || '"}', ',' ORDER BY -confidence, direction, neighbour, join_text) AS met
+        FROM seen WHERE confidence >= 0.5 GROUP BY tbl) USING (tbl))""")
+ORACLES["analysis"] = f"""SELECT 'cycle' AS kind, cycle AS item, n_tables::DOUBLE AS score FROM ({ORACLES["cycles"]}) UNION ALL SELECT 'centrality', "table", score FROM ({ORACLES["centrality"]}) UNION ALL
+    SELECT 'module', string_agg("table", ',' ORDER BY "table"), count(*) FROM ({ORACLES["communities"]}) GROUP BY community UNION ALL SELECT 'orphan', "table", 0 FROM ({ORACLES["orphans"]}) UNION ALL
+    SELECT 'critical_path', path, hops + 1 FROM ({ORACLES["critical_path"]})"""
+_SECTIONS = "(VALUES ('cycle', 0, 'Cycles', 5), ('centrality', 1, 'Central tables', 5), ('module', 2, 'Modules', 5), ('orphan', 3, 'Tables without relations', 10), ('critical_path', 4, 'Longest chain', 1)) AS v(kind, section, heading, most)"
+ORACLES["analysis_summary"] = f"""WITH told AS MATERIALIZED ({ORACLES["analysis"]}), named AS (SELECT * FROM {_SECTIONS})
+    SELECT section::INT AS section, 0 AS place, heading || ': ' || (SELECT count(*) FROM told t WHERE t.kind = named.kind) AS text FROM named UNION ALL
+    SELECT section::INT, r::INT, CASE WHEN kind = 'orphan' THEN item ELSE item || ' (' || regexp_replace(CAST(score AS VARCHAR), '\\.0$', '') || ')' END
+    FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY score DESC, item) AS r FROM told) JOIN named USING (kind) WHERE r <= most"""
