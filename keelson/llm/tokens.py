@@ -3,11 +3,14 @@
 A batch holds signed rows: an insert adds a document's counts, a delete takes them
 away, a revision does both.  It is summed by source, language and tokenizer version before it is
 stored, under its batch id; a batch that is there already is not stored again, so a
-commit can be repeated after any failure.  Totals are the sum over batches.
+commit can be repeated after any failure.  Totals are the sum over batches; a fold stores the sum so far,
+so that they need not be read again.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -78,8 +81,22 @@ def revised(before: DataFrame, after: DataFrame) -> DataFrame:
     return signed(before, -1).unionByName(signed(after, 1))
 
 
+def _summed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*KEYS).agg(*(F.sum(c).cast("bigint").alias(c) for c in SUMS))
+
+
+def _literal(path: str) -> str:
+    """A path in which no character is a wildcard."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 class Rollup:
-    """Totals in a folder, one sub-folder for each committed batch."""
+    """Totals in a folder: a sub-folder for each batch, in it one for each attempt at storing it, and folds of many batches.
+
+    What Spark has written whole bears its _SUCCESS mark, and only that is read.  Of several attempts at one
+    batch the first to be finished counts, so writers that meet do not mix and nothing is renamed.
+    A batch id stands for one content.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -87,33 +104,62 @@ class Rollup:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
+    def _finished(self, pattern: str) -> list[str]:
+        """Folders that bear the mark, the first to be finished first."""
+        marks = self._fs.globStatus(self._path(f"{_literal(self.path)}/{pattern}/*/_SUCCESS")) or ()
+        return [folder for _, folder in sorted((m.getModificationTime(), m.getPath().getParent().toString()) for m in marks)]
+
+    def _stored(self) -> dict[str, str]:
+        """The folder of each batch."""
+        out: dict[str, str] = {}
+        for folder in self._finished("batch-*"):
+            out.setdefault(folder.rsplit("/", 2)[1].removeprefix("batch-"), folder)
+        return out
+
     def batches(self) -> list[str]:
-        if not self._fs.exists(self._path(self.path)):
-            return []
-        names = (s.getPath().getName() for s in self._fs.listStatus(self._path(self.path)))
-        return sorted(n.removeprefix("batch-") for n in names if n.startswith("batch-"))
+        return sorted(self._stored())
+
+    def _write(self, rows: DataFrame, place: str) -> None:
+        folder = f"{self.path}/{place}/{uuid.uuid4().hex}"
+        rows.select("batch_id", *KEYS, *SUMS).write.parquet(folder)
+        if not self._fs.exists(self._path(f"{folder}/_SUCCESS")):
+            raise ValueError("mapreduce.fileoutputcommitter.marksuccessfuljobs must be on")
 
     def commit(self, batch_id: str, deltas: DataFrame) -> bool:
-        """Stores a batch; False if it is there already.  A batch shows up whole, by a rename, or not at all."""
+        """Stores a batch; False if it is there already.  A batch shows up whole or not at all."""
         if not batch_id or "/" in batch_id:
             raise ValueError("a batch id must be a file name")
-        done, part = self._path(f"{self.path}/batch-{batch_id}"), self._path(f"{self.path}/_part-{batch_id}")
-        if self._fs.exists(done):
+        if batch_id in self._stored():
             return False
-        summed = deltas.groupBy(*KEYS).agg(*(F.sum(c).cast("bigint").alias(c) for c in SUMS))
-        summed.select(F.lit(batch_id).alias("batch_id"), *KEYS, *SUMS).write.mode("overwrite").parquet(part.toString())
-        return bool(self._fs.rename(part, done))
+        self._write(_summed(deltas).withColumn("batch_id", F.lit(batch_id)), f"batch-{batch_id}")
+        return True
+
+    def _rows(self) -> tuple[DataFrame, list[str]]:
+        """The rows of the last fold and of the batches that it does not cover, and the ids of both."""
+        read = lambda folders: self.spark.read.schema(STORED).parquet(*map(_literal, folders))
+        rows, stored, covered = self.spark.createDataFrame([], STORED), self._stored(), set()
+        if last := self._finished("fold")[-1:]:
+            rows = read(last)
+            covered = {r["batch_id"] for r in rows.where("batch_id is not null").select("batch_id").collect()}  # ids, as in the listing
+        if new := [folder for b, folder in stored.items() if b not in covered]:
+            rows = rows.unionByName(read(new))
+        return rows, sorted(covered | set(stored))
+
+    def fold(self) -> None:
+        """Stores the sums of all batches so far with their ids: later totals read them and newer batches only."""
+        rows, ids = self._rows()
+        names = self.spark.createDataFrame([(b,) for b in ids], "batch_id string")
+        nothing = [F.lit(None).cast("string").alias(k) for k in KEYS] + [F.lit(0).cast("bigint").alias(c) for c in SUMS]
+        self._write(_summed(rows).withColumn("batch_id", F.lit(None).cast("string")).unionByName(names.select("batch_id", *nothing)), "fold")
 
     def totals(self) -> DataFrame:
         """One row per source, language and tokenizer version whose sums are not all zero; null keys are groups of their own."""
-        paths = [f"{self.path}/batch-{b}" for b in self.batches()]
-        rows = self.spark.read.schema(STORED).parquet(*paths) if paths else self.spark.createDataFrame([], STORED)
         some = reduce(lambda a, b: a | b, (F.col(c) != 0 for c in SUMS))
-        return rows.groupBy(*KEYS).agg(*(F.sum(c).cast("bigint").alias(c) for c in SUMS)).where(some)
+        return _summed(self._rows()[0]).where(some)
 
 
 def token_totals(docs: DataFrame, labels: DataFrame, vocabulary: str, newer: str, version: str, newer_version: str) -> DataFrame:
-    """Totals after four commits: all documents, withdrawal of toxic ones, recount of other languages, and a repeat.
+    """Totals after four commits and a fold: all documents, withdrawal of toxic ones, recount of other languages, and a repeat.
 
     ``load`` inserts every document; ``withdraw`` deletes those labelled toxic; ``recount`` moves
     what remains of other languages than English (lang not null) to the newer tokenizer version;
@@ -129,6 +175,7 @@ def token_totals(docs: DataFrame, labels: DataFrame, vocabulary: str, newer: str
     rollup = Rollup(spark, f"{work.root}/totals")
     rollup.commit("load", signed(load, 1))
     rollup.commit("withdraw", signed(load.join(toxic, "doc_id", "left_semi"), -1))
+    rollup.fold()
     rollup.commit("recount", revised(load.where(other).join(toxic, "doc_id", "left_anti"), newly))
     rollup.commit("load", signed(load, 1))
     return rollup.totals()

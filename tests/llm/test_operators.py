@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import shutil
 import zlib
 
 import numpy as np
@@ -335,6 +336,29 @@ def test_rollup_commits_once(spark, tmp_path):
     assert rollup.commit("c", tokens.signed(rows.withColumn("n_tokens", F.lit(7).cast("bigint")), -1)) and rollup.totals().collect() == []
 
 
+def test_rollup_folds(spark, tmp_path):
+    rollup = tokens.Rollup(spark, f"file://{tmp_path}/r[1]")
+    rows = spark.createDataFrame([(1, "s", "l", "t", 1, 5, 9), (2, None, None, None, 1, 2, 3)], tokens.COUNTED)
+    read = lambda: sorted((tuple(x) for x in rollup.totals().collect()), key=str)
+    rollup.fold()
+    assert read() == []
+    assert rollup.commit("a", tokens.signed(rows, 1))
+    rollup.fold()
+    once = [("s", "l", "t", 1, 5, 9), (None, None, None, 1, 2, 3)]
+    assert read() == sorted(once, key=str) and not rollup.commit("a", tokens.signed(rows, 1))
+    assert rollup.commit("b", tokens.signed(rows, 1)) and rollup.batches() == ["a", "b"]
+    twice = sorted([("s", "l", "t", 2, 10, 18), (None, None, None, 2, 4, 6)], key=str)
+    assert read() == twice
+    rollup.fold()
+    assert read() == twice
+    # the folded batch is not read again, an attempt without a mark or behind another does not count
+    shutil.rmtree(tmp_path / "r[1]" / "batch-a")
+    part = next((tmp_path / "r[1]" / "batch-b").iterdir())
+    shutil.copytree(part, part.with_name("late"))
+    shutil.copytree(part, tmp_path / "r[1]" / "batch-c" / "torn", ignore=shutil.ignore_patterns("*_SUCCESS*"))
+    assert read() == twice and rollup.batches() == ["b"]
+
+
 def _all(spark, docs):
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     items = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
