@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fertility, licenses, lines, pieces, quality, recompression, simhash, substrings, tokens
+from . import decontaminate, fertility, licenses, lines, minhash, phrases, pieces, quality, recompression, simhash, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +65,14 @@ def op8_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.judge(_table(spark, sf_dir, "documents"), _model("piece_bpe_32k.model"))
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_sets(_table(spark, sf_dir, "documents"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontamination": op2_decontamination,
@@ -76,6 +84,13 @@ QUERIES: dict[str, Query] = {
     "op8_fertility_rules": op8_fertility_rules,
     "op9_recompression_dedup": op9_recompression_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_minhash_near_dedup": op11_minhash_near_dedup,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
-ORACLES: dict[str, str] = {"op3_license_digests": licenses.ORACLE, "op9_recompression_dedup": recompression.ORACLE}
+ORACLES: dict[str, str] = {
+    "op3_license_digests": licenses.ORACLE,
+    "op9_recompression_dedup": recompression.ORACLE,
+    "op11_minhash_near_dedup": minhash.ORACLE,
+    "op13_phrase_collocations": phrases.ORACLE,
+}
