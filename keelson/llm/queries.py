@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fertility, licenses, lines, minhash, phrases, pieces, quality, recompression, simhash, substrings, tokens
+from . import decontaminate, fertility, hard_negatives, licenses, lines, minhash, phrases, pieces, quality, recompression, simhash, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +69,10 @@ def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_sets(_table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(_table(spark, sf_dir, "documents"))
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op9_recompression_dedup": op9_recompression_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_minhash_near_dedup": op11_minhash_near_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
 
@@ -92,5 +97,6 @@ ORACLES: dict[str, str] = {
     "op3_license_digests": licenses.ORACLE,
     "op9_recompression_dedup": recompression.ORACLE,
     "op11_minhash_near_dedup": minhash.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
     "op13_phrase_collocations": phrases.ORACLE,
 }
