@@ -340,7 +340,7 @@ def hard_negatives(embeddings: DataFrame, every: int = 100, percent: tuple[int,
     """
     work = Workspace(embeddings.sparkSession, "negatives")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10).otherwise(F.col("label"))
-    rows = embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("label"), F.col("embedding").cast("array<double>").alias("vector"))
+    rows = embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"), label.cast("int").alias("label"), F.col("embedding").cast("array<double>").alias("vector"))
     rows = rows.where("vec_id is not null and label is not null and vector is not null")
     dims = rows.agg(F.max(F.size("vector")).alias("d")).first()["d"]
     shape = "anchor_id bigint, positive_id bigint, rank int, negative_id bigint, positive_score bigint, negative_score bigint"
@@ -351,7 +351,7 @@ def hard_negatives(embeddings: DataFrame, every: int = 100, percent: tuple[int,
     fits = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) * 256 < most))
     scaled = F.transform("vector", lambda x: F.floor(x * 256).cast("int"))
     filled = F.slice(F.concat(scaled, F.array_repeat(F.lit(0), dims)), 1, dims)
-    rows = work.put(rows.where(F.coalesce(fits, F.lit(False))).select("vec_id", label.cast("int").alias("label"), filled.alias("vector")).distinct(), "rows")
+    rows = work.put(rows.where(F.coalesce(fits, F.lit(False))).select("vec_id", "label", filled.alias("vector")).distinct(), "rows")
     if not rows.limit(1).count():
         return embeddings.sparkSession.createDataFrame([], shape)
     index = Index(rows, dims, work)

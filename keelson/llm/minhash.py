@@ -1,16 +1,15 @@
 """MinHash near-dedup with tensored banding, exact verification and union-find.
 
-A document's set holds its distinct shingles of two words.  Two collections of ``SKETCHES`` sketches,
-each of ``ROWS`` minhashes, are made of it; a table's key is a sketch of the first collection with one of
-the second, so 2 * 8 * 2 = 32 minhashes serve 64 tables of 4 rows, where tables on their own
-would take 256.  Documents of similarity s meet in some table with probability
-(1 - (1 - s**ROWS)**SKETCHES)**2: 0.9994 at 0.8.
+A document's set holds its distinct shingles of two words.  ``SKETCHES`` small collections of
+``ROWS`` minhashes are made of it, and each pair of collections is a table's key: 13 * 2 = 26 minhashes serve
+78 tables of 4 rows, where tables on their own would take 312.  Documents share a table if two of their
+13 collections are equal; at a similarity of 0.8, each is with probability 0.8**2, so two are with probability 0.99996.
 
 Documents with equal sets are one node.  Table keys with their nodes are put in order over all
 tasks, so a key with very many nodes is spread over several.  A short run of one key gives the pairs whose
-signatures agree in half of their rows (a pair of similarity 0.8 fails that with probability 0.00003).
+signatures agree in 12 of 26 rows (a pair of similarity 0.8 fails that with probability 0.00001).
 A longer run, or one at the end of a task, is not expanded: each node is compared with the run's first,
-the first ones of a key's parts with each other, and what that leaves in several components is compared tile by tile.
+the first ones of a key's parts with each other, and components that still meet in a run after that are compared tile by tile.
 Every pair is confirmed on the full sets before it is a link.
 """
 
@@ -32,10 +31,10 @@ from .workspace import Workspace
 SHINGLE = 2
 #: Sets link if 100 * intersection >= 80 * union.
 PERCENT = 80
-SKETCHES, ROWS = 8, 2
-HASHES = 2 * SKETCHES * ROWS
+SKETCHES, ROWS = 13, 2
+HASHES, TABLES = SKETCHES * ROWS, SKETCHES * (SKETCHES - 1) // 2
 #: Rows of the signatures that have to agree for an exact comparison.
-AGREE = 16
+AGREE = 12
 #: A run of more nodes is not expanded into pairs.
 GROUP = 32
 #: Pairs, and bytes of texts, that a task compares at a time; nodes and bytes of a tile.
@@ -105,14 +104,15 @@ def minhashes(h: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def table_keys(rows: np.ndarray) -> np.ndarray:
-    """Keys of all tables (rows) of each set (columns): every sketch of one collection with every one of the other."""
-    sketch = np.empty((2 * SKETCHES, rows.shape[1]), U64)
-    for s in range(2 * SKETCHES):
+    """Keys of all tables (rows) of each set (columns): every two of its small collections of minhashes."""
+    sketch = np.empty((SKETCHES, rows.shape[1]), U64)
+    for s in range(SKETCHES):
         key = np.full(rows.shape[1], U64(s))
         for row in rows[s * ROWS : (s + 1) * ROWS]:
             key = mix(key * _STEP + row.astype(U64))
         sketch[s] = key
-    return mix((sketch[:SKETCHES, None] * _STEP) ^ sketch[None, SKETCHES:]).reshape(SKETCHES * SKETCHES, -1)
+    one, other = np.triu_indices(SKETCHES, 1)
+    return mix((sketch[one] * _STEP) ^ sketch[other])
 
 
 def signature(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -152,19 +152,28 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The table keys of each node, with its label."""
+    for batch in batches:
+        if batch.num_rows:
+            rows = np.frombuffer(b"".join(batch.column("rows").to_pylist()), np.uint32).reshape(-1, HASHES).T
+            columns = [table_keys(rows).ravel().view(np.int64), np.tile(batch.column("label").to_numpy(), TABLES)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "label"])
+
+
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The table keys and the signature of each node."""
     for batch in batches:
         if not batch.num_rows:
             continue
         rows = np.frombuffer(b"".join(batch.column("rows").to_pylist()), np.uint32).reshape(-1, HASHES).T
-        tables = SKETCHES * SKETCHES
-        columns = [table_keys(rows).ravel(), *(np.tile(x, tables) for x in (batch.column("node").to_numpy(), *signature(rows)))]
+        columns = [table_keys(rows).ravel(), *(np.tile(x, TABLES) for x in (batch.column("node").to_numpy(), *signature(rows)))]
         yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in columns], names=[c.split()[0] for c in ENTRY.split(", ")])
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of entries in order of key and node: pairs (a, b) of short runs; (key, a) for each node a of other runs, whose pairs have the run's first node."""
+    """Of entries in order of key and node: pairs (a, b) of short runs; of other runs pairs of their first node with the rest (``lead``),
+    (a) for each node that does not agree with it, and (key, a) for the first node a of a part that may not be all of its run."""
 
     def found(key, a, b, lead) -> pa.RecordBatch:
         key = pa.nulls(len(a), pa.int64()) if key is None else pa.array(key.view(np.int64))
@@ -185,14 +194,15 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = (np.concatenate(x) if x else np.zeros(0, U64) for x in (a, b))
         return found(None, a, b, np.zeros(len(a), bool)) if len(a) else None
 
-    def open_run(cols, head) -> tuple[list[pa.RecordBatch], tuple]:
-        """Part of a run that is not expanded; ``head`` is the first of the run in this task, if it was seen before."""
+    def open_run(cols, head, part: bool) -> tuple[list[pa.RecordBatch], tuple]:
+        """A run, or part of one, that is not expanded; ``head`` is its first node in this task, if that was seen before."""
         key, node, s1, s2 = cols
-        head = (node[0], s1[0], s2[0]) if head is None else head
-        lead = node == head[0]
-        near = ~lead & (agreeing(s1 ^ head[1], s2 ^ head[2]) >= AGREE)
-        b = node[near]
-        return [found(key, node, None, lead), found(None, np.full(len(b), head[0]), b, np.zeros(len(b), bool))], head
+        new = head is None
+        head = (node[0], s1[0], s2[0]) if new else head
+        near = agreeing(s1 ^ head[1], s2 ^ head[2]) >= AGREE
+        b, stray = node[near & (node != head[0])], node[~near]
+        out = [found(None, np.full(len(b), head[0]), b, np.ones(len(b), bool)), found(None, stray, None, np.ones(len(stray), bool))]
+        return out + ([found(key[:1], node[:1], None, np.ones(1, bool))] if new and part else []), head
 
     def whole_runs(held, cuts, size) -> Iterator[pa.RecordBatch]:
         """All runs but the last one."""
@@ -203,7 +213,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if out is not None:
                 yield out
         for k in np.flatnonzero((size > GROUP) & ended).tolist():
-            yield from open_run([x[cuts[k] : cuts[k] + size[k]] for x in held], None)[0]
+            yield from open_run([x[cuts[k] : cuts[k] + size[k]] for x in held], None, False)[0]
 
     held, head, key_open, first = None, None, None, True
     for batch in batches:
@@ -216,7 +226,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if first:  # may have begun in the task before
                 key_open, first = key[0], False
             if key_open is not None and key[0] == key_open:
-                out, head = open_run([x[: size[0]] for x in held], head)
+                out, head = open_run([x[: size[0]] for x in held], head, True)
                 yield from out
                 held = [x[size[0] :] for x in held]
                 continue
@@ -231,7 +241,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = held[0]
         cuts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         yield from whole_runs(held, cuts, np.diff(np.append(cuts, len(key))))
-        yield from open_run([x[cuts[-1] :] for x in held], None)[0]  # may go on in the next task
+        yield from open_run([x[cuts[-1] :] for x in held], None, True)[0]  # may go on in the next task
 
 
 def _sets(texts: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
@@ -297,7 +307,7 @@ def _verified(_, pairs: pa.Table, members: pa.Table) -> pa.Table:
 
 
 def _tile(group: pa.Table) -> pa.Table:
-    """Links that join components within a tile: all agreeing pairs of a row outside its key's main component with another row, unless connected by then."""
+    """Links that join components within a tile: all agreeing pairs of a row outside the tile's component with another row, unless connected by then."""
     node, labels = group.column("node").to_pylist(), group.column("label").to_pylist()
     rest = group.column("rest").to_numpy(zero_copy_only=False).astype(bool)
     rows = np.frombuffer(b"".join(group.column("rows").to_pylist()), np.uint32).reshape(-1, HASHES).T
@@ -325,29 +335,37 @@ def _compared(pairs: DataFrame, texts: DataFrame, work: Workspace, name: str) ->
 
 def _connected(found: DataFrame, texts: DataFrame, work: Workspace) -> DataFrame:
     """(node, component) of nodes that are linked: first by pairs and runs' first nodes, then by what that leaves apart in runs that were not expanded."""
-    posted = found.where("key is not null").select("key", F.col("a").alias("node"), "lead")
-    leads = posted.where("lead").groupBy("key").agg(F.min("node").alias("a"))
-    between = posted.where("lead").join(leads, "key").where("node <> a").select("a", F.col("node").alias("b"))
+    parts = found.where("key is not null").select("key", F.col("a").alias("node"))
+    first = parts.groupBy("key").agg(F.min("node").alias("a"))
+    between = parts.join(first, "key").where("node <> a").select("a", F.col("node").alias("b"))
     pairs = found.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(between).distinct()
     pairs = work.put(pairs, "pairs")
     # A node's pairs meet where those of its least partner do, unless that one has very many.
     least = pairs.groupBy("b").agg(F.min("a").alias("near"))
-    wide = least.groupBy("near").agg(F.count("*").alias("n")).where(F.col("n") > GROUP).select(F.col("near").alias("a"), F.lit(True).alias("wide"))
-    near = pairs.join(least, "b").join(wide, "a", "left").select("a", "b", F.when(F.col("wide"), F.col("b")).otherwise(F.col("near")).alias("near"))
+    wide = least.groupBy("near").agg(F.count("*").alias("n")).where(F.col("n") > GROUP).select("near", F.lit(True).alias("wide"))
+    near = pairs.join(least.join(wide, "near", "left"), "b").select("a", "b", F.when(F.col("wide"), F.col("b")).otherwise(F.col("near")).alias("near"))
     label = work.put(components(_compared(work.put(near, "near"), texts, work, "links"), work, "connected"), "labels")
 
-    placed = posted.join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
-    counted = placed.groupBy("key", "label").agg(F.count("*").alias("n"))
-    main = counted.groupBy("key").agg(F.max_by("label", "n").alias("main"), F.sum("n").alias("n"), F.max("n").alias("most")).where("most < n").select("key", "main")
-    open_ = placed.join(main, "key").withColumn("outside", F.col("label") != F.col("main"))
-    open_ = work.put(open_.join(texts, "node").select("key", "node", "label", "text", "rows", "outside"), "open")
+    # Runs that were not expanded and still hold several components: the nodes of such runs are compared with those of the run's
+    # largest component, once for all the runs that two components meet in.
+    crowd = found.where("lead").select(F.explode(F.array("a", "b")).alias("node")).where("node is not null").distinct()
+    crowd = crowd.join(label, "node", "left").select("node", F.coalesce("component", "node").alias("label"))
+    crowd = work.put(crowd.join(texts, "node").select("node", "label", "text", "rows"), "crowd")
+    counted = work.put(crowd.select("label", "rows").mapInArrow(_labels, "key bigint, label bigint").groupBy("key", "label").agg(F.count("*").alias("n")), "counted")
+    main = counted.groupBy("key").agg(F.max_by("label", "n").alias("main"), F.sum("n").alias("n"), F.max("n").alias("most")).where("most < n")
+    main = main.join(parts.select("key", F.lit(True).alias("part")).distinct(), "key", "left").where((F.col("n") > GROUP) | F.col("part")).select("key", "main")
+    meet = work.put(counted.join(main, "key").where("label <> main").select("main", "label").distinct(), "meet")
+    inside = crowd.join(meet.select(F.col("main").alias("label")).distinct(), "label", "left_semi").withColumns({"main": F.col("label"), "outside": F.lit(False)})
+    outside = crowd.join(meet, "label").withColumn("outside", F.lit(True))
+    columns = ["main", "node", "label", "text", "rows", "outside"]
+    open_ = work.put(inside.select(*columns).unionByName(outside.select(*columns)), "open")
     n = lambda which: F.greatest(F.ceil(F.sum(which.cast("int")) / TILE), F.ceil(F.sum(F.when(which, F.octet_length("text"))) / TILE_BYTES)).cast("int")
-    sizes = open_.groupBy("key").agg(n(F.col("outside")).alias("rests"), n(F.lit(True)).alias("tiles"))
-    tiled = open_.join(sizes, "key").withColumn("place", F.xxhash64("node", "key"))
+    sizes = open_.groupBy("main").agg(n(F.col("outside")).alias("rests"), n(F.lit(True)).alias("tiles"))
+    tiled = open_.join(sizes, "main").withColumn("place", F.xxhash64("node", "main"))
     one = tiled.withColumns({"rest": F.lit(False), "y": F.pmod("place", "tiles"), "x": F.explode(F.sequence(F.lit(0), F.col("rests") - 1))})
     two = tiled.where("outside").withColumns({"rest": F.lit(True), "x": F.pmod("place", "rests"), "y": F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))})
-    columns = ["key", "x", "y", "node", "label", "text", "rows", "rest"]
-    tiles = work.put(one.select(*columns).unionByName(two.select(*columns)).groupBy("key", "x", "y").applyInArrow(_tile, "a bigint, b bigint"), "tiles")
+    columns = ["main", "x", "y", "node", "label", "text", "rows", "rest"]
+    tiles = work.put(one.select(*columns).unionByName(two.select(*columns)).groupBy("main", "x", "y").applyInArrow(_tile, "a bigint, b bigint"), "tiles")
 
     joined = tiles
     for side in ("a", "b"):

@@ -1,7 +1,8 @@
 """Phrase collocation mining by growing contiguous patterns from frequent prefixes.
 
-A first pass counts words.  A second one projects: each occurrence of a word becomes a pointer that carries
-the words behind it in its piece.  Tasks put the occurrences they see in order, so equal pointers travel once with their
+A first pass counts words; only frequent ones are grown.  Which those are, a second pass sees in a bitmap of fixed
+size, in which a rare word may be taken for a frequent one but not the reverse.  It projects: each occurrence of a word
+becomes a pointer that carries the words behind it in its piece.  Tasks put the occurrences they see in order, so equal pointers travel once with their
 number, and deal them by the prefix and its next word: no prefix, however common, is one
 task's.  The task that holds a prefix grows it to the right, depth first: it counts what
 follows, keeps the extensions that are frequent, and grows each of them on the pointers that are left.
@@ -27,10 +28,12 @@ LEAST, LONGEST, REPORT = 10, 3, 2000
 #: A phrase is dropped if a longer one that holds it has half of its occurrences.
 ABSORBED = 50
 #: Bytes of text a bucket of prefixes stands for, and occurrences that a task puts in order at a time.
-BUCKET_BYTES, OCCURRENCES = 4 << 20, 2_000_000
+BUCKET_BYTES, OCCURRENCES = 4 << 20, 1_000_000
+#: Bits of the map of frequent words, by name: 4 MB however many words there are.
+FREQUENT_BITS = 1 << 25
 PREFIXES = 64
 WORDS = "name bigint, lang string, word string, n bigint"
-PACKED = "bucket bigint, names binary, codes binary"
+PACKED = "bucket bigint, names binary, wide boolean, codes binary"
 GROWN = "w bigint, x bigint, y bigint, a bigint"
 
 _BREAK, _GAP = np.zeros(256, bool), np.zeros(256, bool)
@@ -81,17 +84,32 @@ def _counted(seed: int):
     return run
 
 
-def _projected(seed: int, buckets: int):
-    """Pointers to the occurrences of each word that has one behind it, packed by bucket."""
+def _frequent(words: DataFrame, least: int) -> np.ndarray:
+    """The map of frequent words: FREQUENT_BITS bits, one of which each name has."""
+    bit = (F.pmod("name", F.lit(FREQUENT_BITS)) + 1).alias("bit")  # numbers from 1 on
+    rows = words.where(F.col("n") >= least).select(bit).groupBy(F.bitmap_bucket_number("bit").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    out = np.zeros(FREQUENT_BITS // 8, np.uint8)
+    for k, bits in rows.toLocalIterator():  # parts of 4 KB, 1024 at most
+        out[(k - 1) * 4096 : k * 4096] = np.frombuffer(bits, np.uint8)
+    return out
+
+
+def _projected(seed: int, buckets: int, frequent):
+    """Pointers to the occurrences of each frequent word that has one behind it, packed by bucket."""
 
     def packed(names: list[np.ndarray], behind: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         name, at = np.concatenate(names), np.concatenate(behind)
-        known, place = np.unique(name, return_inverse=True)
-        first = np.flatnonzero(at)
+        bit = (name.view(np.int64) % FREQUENT_BITS).astype(np.int64)
+        some = np.append((frequent.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1, np.zeros(LONGEST, np.uint8)).astype(bool)
+        first = np.flatnonzero((at > 0) & some[: len(at)] & some[1 : len(at) + 1])
+        if not len(first):
+            return
+        known, place = np.unique(name[some[: len(name)]], return_inverse=True)
+        place = np.append(place, 0)[np.cumsum(some[: len(name)]) - 1]  # of frequent words
         x = first + 1
-        y = np.where(at[first] > 1, place[np.minimum(first + 2, len(place) - 1)] + 1, 0)
+        y = np.where((at[first] > 1) & some[first + 2], place[np.minimum(first + 2, len(place) - 1)] + 1, 0)
         bits = U64(max(1, int(len(known)).bit_length()))
-        assert 3 * int(bits) <= 64  # some 2,000,000 words are numbered
+        assert 3 * int(bits) <= 64  # as many as OCCURRENCES words are numbered
         code = (place[first].astype(U64) << (U64(2) * bits)) | (place[x].astype(U64) << bits) | y.astype(U64)
         code, n = np.unique(code, return_counts=True)
         mask = (U64(1) << bits) - U64(1)
@@ -100,13 +118,15 @@ def _projected(seed: int, buckets: int):
         order = np.argsort(bucket, kind="stable")
         bucket, w, x, y, n = bucket[order], w[order], x[order], y[order], n[order]
         cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-        number, dictionaries, codes = np.zeros(len(known) + 1, np.uint32), [], []
+        number, dictionaries, wide, codes = np.zeros(len(known) + 1, np.uint32), [], [], []
         for s, e in zip(cuts.tolist(), np.append(cuts[1:], len(bucket)).tolist()):
             own = np.unique(np.concatenate((w[s:e], x[s:e], y[s:e][y[s:e] > 0] - 1)))
             number[own + 1] = np.arange(1, len(own) + 1)
             dictionaries.append(known[own].tobytes())
-            codes.append(np.concatenate((number[w[s:e] + 1], number[x[s:e] + 1], np.where(y[s:e] > 0, number[y[s:e]], 0), n[s:e])).astype(np.uint32).tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts]), pa.array(dictionaries, pa.binary()), pa.array(codes, pa.binary())], names=[c.split()[0] for c in PACKED.split(", ")])
+            code = np.concatenate((number[w[s:e] + 1], number[x[s:e] + 1], np.where(y[s:e] > 0, number[y[s:e]], 0), n[s:e]))
+            wide.append(int(code.max()) >= 1 << 16)
+            codes.append(code.astype(np.uint32 if wide[-1] else np.uint16).tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts]), pa.array(dictionaries, pa.binary()), pa.array(wide), pa.array(codes, pa.binary())], names=[c.split()[0] for c in PACKED.split(", ")])
 
     def parts(name: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """A long text in parts; what follows a part's end comes along without pointers of its own."""
@@ -171,8 +191,8 @@ def _mined(least: int):
         names = [np.frombuffer(x.as_py(), U64) for x in group.column("names")]
         known, place = np.unique(np.concatenate(names), return_inverse=True)
         off, parts = bounds_of(np.array([len(x) for x in names])), []
-        for k, x in enumerate(group.column("codes")):
-            code = np.frombuffer(x.as_py(), np.uint32).reshape(4, -1)
+        for k, (x, wide) in enumerate(zip(group.column("codes"), group.column("wide").to_pylist())):
+            code = np.frombuffer(x.as_py(), np.uint32 if wide else np.uint16).reshape(4, -1)
             own = np.append(0, place[off[k] : off[k + 1]] + 1)
             parts.append(np.stack((own[code[0]], own[code[1]], own[code[2]], code[3].astype(np.int64))))
         w, x, y, n = np.concatenate(parts, axis=1)
@@ -215,7 +235,8 @@ def collocations(docs: DataFrame, least: int = LEAST, report: int = REPORT, abso
             break
         seed += 1
     buckets = max(1, text_bytes(docs) // BUCKET_BYTES)
-    projected = docs.mapInArrow(_projected(seed, buckets), PACKED)
+    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(words, least))
+    projected = docs.mapInArrow(_projected(seed, buckets, frequent), PACKED)
     grams = work.put(projected.groupBy("bucket").applyInArrow(_mined(least), GROWN), "grams")
 
     single = words.where(F.col("n") >= least).select("name", "lang", "word", F.col("n").alias("f"))
