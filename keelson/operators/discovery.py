@@ -12,13 +12,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import values as V
-from ..functions.vocabulary import ABBREVIATIONS, COMPOUND_ENDINGS, GENERIC_NAMES, ID_WORDS, NOISE_WORDS, REFERENCE_ENDINGS, TARGET_NAMES
+from ..functions.vocabulary import ABBREVIATIONS, GENERIC_NAMES, ID_WORDS, NOISE_WORDS, REFERENCE_ENDINGS, TARGET_NAMES
 from ..plans.store import stored
 from .bridge import bridged
 
 CONTAINMENT, ID_CONTAINMENT, OVERLAP = 0.80, 0.70, 0.80
 MIN_SHARED, MIN_SHARED_ID, MIN_VALUES = 5, 3, 3
 HOT_COLUMNS, PER_TABLE, PER_PAIR = 200, 80, 2
+#: Sets of hot values that one array of a column numbers.
+HOT_PART = 1 << 16
 WEAK, FINAL, SMALL_KEY = 0.30, 0.50, 50
 RELATION = ("from_table", "from_column", "to_table", "to_column", "relation_type", "confidence", "discovery_method", "evidence")
 
@@ -27,11 +29,11 @@ RELATION = ("from_table", "from_column", "to_table", "to_column", "relation_type
 
 
 def normalised(values: DataFrame) -> DataFrame:
-    """(table, column, value): distinct values in one form; columns named as compound ones are taken apart."""
-    compound = reduce(lambda a, b: a | b, (F.lower("column").endswith(e) for e in COMPOUND_ENDINGS))
-    members = F.explode(F.when(compound, V.parts(F.col("value"))).otherwise(F.array("value")))
-    rows = values.where("value is not null").select("table", "column", members.alias("raw")).select("table", "column", V.normalise(F.col("raw")).alias("value"))
-    return rows.where("value is not null").distinct()
+    """(table, column, value): distinct values in one form; columns named as compound ones are taken apart, whole, before anything else."""
+    some = values.where("value is not null")
+    lists = some.where(V.is_compound(F.col("column"))).select("table", "column", F.explode(V.parts(F.col("value"))).alias("raw"))
+    rows = some.where(~V.is_compound(F.col("column"))).select("table", "column", F.col("value").alias("raw")).unionByName(lists)
+    return V.in_one_form(rows, F.col("raw")).select("table", "column", "value").where("value is not null").distinct()
 
 
 def candidates(columns: DataFrame, norm: DataFrame) -> DataFrame:
@@ -61,34 +63,58 @@ def inverted_index(norm: DataFrame, columns: DataFrame) -> DataFrame:
     return norm.join(columns.select("table", "column"), ["table", "column"], "left_semi").groupBy("value").agg(F.count("*").alias("n_columns"))
 
 
-def overlaps(norm: DataFrame, columns: DataFrame, changed: tuple[str, ...] | None = None) -> DataFrame:
+PAIR = ("table_a", "column_a", "table_b", "column_b")
+
+
+def overlaps(norm: DataFrame, columns: DataFrame, changed: tuple[str, ...] | None = None, known: DataFrame | None = None) -> DataFrame:
     """(table_a, column_a, table_b, column_b, shared, gated): values that two columns of different tables share.
 
-    ``gated`` leaves out values of over 200 columns.  A value's columns stand in one array, which is bounded by
-    the number of candidate columns; pairs are counted before they are shuffled.  ``changed``
-    keeps pairs with one of these tables at least.
+    ``gated`` leaves out values of over 200 columns, and pairs that share no other value are left out with them.  The columns of
+    a value stand in one array; equal arrays are counted once, and those of at most 200 columns give the pairs.  What
+    the pairs share beyond that comes from the hot values of each column (see ``_hot``), so a value in very many columns never
+    makes pairs.  ``changed`` keeps pairs with one of these tables at least; pairs of ``known`` (table_a, column_a,
+    table_b, column_b) are not counted.
     """
-    tagged = norm.join(F.broadcast(columns.select("table", "column")), ["table", "column"], "left_semi").select("value", F.struct("table", "column").alias("c"))
+    tagged = norm.join(columns.select("table", "column"), ["table", "column"], "left_semi").select("value", F.struct("table", "column").alias("c"))
     if changed is not None:  # only values of these tables can make such a pair
         tagged = tagged.join(tagged.where(F.col("c.table").isin(*changed)).select("value").distinct(), "value", "left_semi")
     sets = tagged.groupBy("value").agg(F.sort_array(F.collect_set("c")).alias("cs")).where("size(cs) > 1")
-    # Values found in the same columns are counted once for all of them.
-    sets = sets.groupBy("cs").agg(F.count("*").alias("n"))
-    a = sets.select("cs", "n", F.posexplode("cs").alias("i", "a"))
-    pairs = a.select("n", "a", (F.size("cs") <= HOT_COLUMNS).alias("cool"), F.explode(F.slice("cs", F.col("i") + 2, F.size("cs"))).alias("b"))
-    pairs = pairs.where("a.table <> b.table")
+    sets = stored(sets.groupBy("cs").agg(F.count("*").alias("n")), "value-columns")
+    a = sets.where(F.size("cs") <= HOT_COLUMNS).select("cs", "n", F.posexplode("cs").alias("i", "a"))
+    pairs = a.select("n", "a", F.explode(F.slice("cs", F.col("i") + 2, F.size("cs"))).alias("b")).where("a.table <> b.table")
     if changed is not None:
         pairs = pairs.where(F.col("a.table").isin(*changed) | F.col("b.table").isin(*changed))
-    return pairs.groupBy(
-        F.col("a.table").alias("table_a"), F.col("a.column").alias("column_a"), F.col("b.table").alias("table_b"), F.col("b.column").alias("column_b")
-    ).agg(F.sum("n").alias("shared"), F.coalesce(F.sum(F.when(F.col("cool"), F.col("n"))), F.lit(0)).alias("gated"))
+    pairs = pairs.select("n", F.col("a.table").alias("table_a"), F.col("a.column").alias("column_a"), F.col("b.table").alias("table_b"), F.col("b.column").alias("column_b"))
+    if known is not None:
+        pairs = pairs.join(known.select(*PAIR).distinct(), list(PAIR), "left_anti")
+    gated = pairs.groupBy(*PAIR).agg(F.sum("n").alias("gated"))
+    hot = sets.where(F.size("cs") > HOT_COLUMNS)
+    if not hot.limit(1).count():
+        return gated.select(*PAIR, F.col("gated").alias("shared"), "gated")
+    gated = stored(gated, "gated")
+    return gated.join(_hot(gated, hot), list(PAIR), "left").select(*PAIR, (F.col("gated") + F.coalesce("hot", F.lit(0))).alias("shared"), "gated")
+
+
+def _hot(pairs: DataFrame, hot: DataFrame) -> DataFrame:
+    """(table_a, column_a, table_b, column_b, hot): how many values of very many columns the given pairs share.
+
+    hot: (cs, n), n values in the same columns.  Each column gets the numbers of its sets in arrays, HOT_PART of them at most, whose intersections are summed.
+    """
+    numbered = stored(hot.select(F.monotonically_increasing_id().alias("id"), "n", "cs"), "hot")
+    parts = max(1, -(-numbered.count() // HOT_PART))
+    each = numbered.select("id", "n", F.pmod(F.xxhash64("id"), F.lit(parts)).alias("part"), F.explode("cs").alias("c"))
+    of = stored(each.groupBy("c", "part").agg(F.sort_array(F.collect_list(F.struct("id", "n"))).alias("ids")), "hot-columns")
+    side = lambda s: of.select(F.col("c.table").alias(f"table_{s}"), F.col("c.column").alias(f"column_{s}"), "part", F.col("ids").alias(f"ids_{s}"))
+    met = pairs.select(*PAIR).join(side("a"), ["table_a", "column_a"]).join(side("b"), ["table_b", "column_b", "part"])
+    common = F.aggregate(F.array_intersect("ids_a", "ids_b"), F.lit(0).cast("bigint"), lambda s, x: s + x["n"])
+    return met.groupBy(*PAIR).agg(F.sum(common).alias("hot"))
 
 
 def _sides(pairs: DataFrame, columns: DataFrame) -> DataFrame:
     keep = ("dtype", "row_count", "unique_values", "is_id_like", "is_pk", "min_val", "max_val")
     for side in ("a", "b"):
         named = columns.select(F.col("table").alias(f"table_{side}"), F.col("column").alias(f"column_{side}"), *(F.col(c).alias(f"{c}_{side}") for c in keep))
-        pairs = pairs.join(F.broadcast(named), [f"table_{side}", f"column_{side}"])
+        pairs = pairs.join(named, [f"table_{side}", f"column_{side}"])
     return pairs
 
 
@@ -209,7 +235,7 @@ def expanded_names(names: DataFrame) -> DataFrame:
     """(column, expansion): what a column name without its ending may stand for, itself included."""
     known = abbreviations(names.sparkSession)
     stems = names.select("column").distinct().withColumn("stem", V.lookup_stem(F.col("column")))
-    full = stems.join(F.broadcast(known), stems["stem"] == known["abbreviation"]).select("column", F.col("full_name").alias("expansion"))
+    full = stems.join(known, stems["stem"] == known["abbreviation"]).select("column", F.col("full_name").alias("expansion"))
     return full.unionByName(stems.select("column", F.col("stem").alias("expansion"))).distinct()
 
 
@@ -229,7 +255,7 @@ def references(columns: DataFrame, tables: DataFrame) -> DataFrame:
     split = F.split("prefix", "_")
     exact = base.select("table", "column", "ending", F.lit(1).alias("step"), F.lit(0).alias("place"), F.col("prefix").alias("name"), F.lit(1).alias("least"))
     known = abbreviations(spark)
-    full = base.join(F.broadcast(known), V.lookup_stem(F.col("column")) == known["abbreviation"]).select(
+    full = base.join(known, V.lookup_stem(F.col("column")) == known["abbreviation"]).select(
         "table", "column", "ending", F.lit(2).alias("step"), "place", F.col("full_name").alias("name"), F.lit(1).alias("least")
     )
     stem = base.select("table", "column", "ending", F.lit(2).alias("step"), F.lit(99).alias("place"), V.lookup_stem(F.col("column")).alias("name"), F.lit(1).alias("least"))
@@ -238,10 +264,10 @@ def references(columns: DataFrame, tables: DataFrame) -> DataFrame:
     single = each.select("table", "column", "ending", F.lit(3).alias("step"), (F.col("i") * 2 + 1).alias("place"), F.col("part").alias("name"), F.lit(3).alias("least"))
     asked = reduce(DataFrame.unionByName, (exact, full, stem, runs, single)).where(F.length("name") >= F.col("least"))
     names = tables.select(F.col("table").alias("to_table"), F.lower("table").alias("name"))
-    found = asked.join(F.broadcast(names), "name").select("table", "column", "to_table", F.struct("ending", "step", "place").alias("rank"))
+    found = asked.join(names, "name").select("table", "column", "to_table", F.struct("ending", "step", "place").alias("rank"))
     first = F.split(names["name"], "_")[0]
     stems = names.where(F.length(first) >= 3).groupBy(first.alias("last")).agg(F.min(F.struct(F.length("to_table").alias("n"), F.col("to_table"))).alias("t"))
-    near = base.where(~F.col("column").rlike("[\\u4e00-\\u9fff]")).withColumn("last", F.element_at(split, -1)).join(F.broadcast(stems), "last").where(F.lower("t.to_table") != F.col("prefix"))
+    near = base.where(~F.col("column").rlike("[\\u4e00-\\u9fff]")).withColumn("last", F.element_at(split, -1)).join(stems, "last").where(F.lower("t.to_table") != F.col("prefix"))
     near = near.select("table", "column", F.col("t.to_table").alias("to_table"), F.struct("ending", F.lit(4).alias("step"), F.lit(0).alias("place")).alias("rank"))
     # A column with a Chinese name, that no other rule takes, refers to the table of its last entity.
     chinese = columns.select("table", "column").join(bridged(columns, tables), "column").select(
@@ -292,7 +318,7 @@ def mined_abbreviations(relations: DataFrame, tables: DataFrame) -> DataFrame:
     known = abbreviations(spark).where(F.length("abbreviation").between(2, 5))
     names = tables.select(F.col("table").alias("to_table"), F.lower("table").alias("low"))
     exact = known.join(names, F.col("full_name") == F.col("low")).withColumn("r", F.struct("place", F.lit(0).alias("k"), F.length("to_table").alias("n"), "to_table"))
-    begun = known.join(F.broadcast(names), F.col("low").startswith(F.concat("full_name", F.lit("_")))).withColumn("r", F.struct("place", F.lit(1).alias("k"), F.length("to_table").alias("n"), "to_table"))
+    begun = known.join(names, F.col("low").startswith(F.concat("full_name", F.lit("_")))).withColumn("r", F.struct("place", F.lit(1).alias("k"), F.length("to_table").alias("n"), "to_table"))
     seeds = exact.unionByName(begun).groupBy("abbreviation").agg(F.min_by("to_table", "r").alias("to_table"))
     clean = V.clean_name(F.col("from_column"))
     mined = relations.where("confidence >= 0.8").select(clean.alias("abbreviation"), "to_table").where(F.length("abbreviation").between(2, 4)).where(
@@ -310,7 +336,7 @@ def abbreviated(columns: DataFrame, tables: DataFrame, norm: DataFrame, relation
     patterns = mined_abbreviations(relations, tables).withColumnRenamed("confidence", "base")
     named = columns.select("table", "column", V.clean_name(F.col("column")).alias("abbreviation"))
     keys = tables.where("primary_key is not null").select(F.col("table").alias("to_table"), F.col("primary_key").alias("to_column"))
-    edges = named.join(F.broadcast(patterns), "abbreviation").join(F.broadcast(keys), "to_table").where("table <> to_table")
+    edges = named.join(patterns, "abbreviation").join(keys, "to_table").where("table <> to_table")
     known = relations.select(*_pair(*RELATION[:4])).distinct()
     edges = edges.select("*", *_pair("table", "column", "to_table", "to_column")).join(known, ["k1", "k2"], "left_anti")
     held = containments(edges.select("table", "column", "to_table", "to_column"), norm).where("containment >= 0.3")

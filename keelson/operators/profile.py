@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.values import as_text, number
+from ..functions.values import as_text, is_compound, number
 from ..functions.vocabulary import DOMAIN_RULES, DOMAIN_WORDS, KEY_ENDINGS, KEY_NAMES
 
 ENUM_VALUES, ENUM_SHARE = 50, 0.05
@@ -18,12 +18,13 @@ CELLS = "table string, ordinal int, column string, value string, n bigint"
 def cells(tables: dict[str, DataFrame]) -> DataFrame:
     """(table, ordinal, column, value, n): distinct values of every column that is not nested, null included.
 
-    Each table is unpivoted and counted in one pass; counting before the shuffle leaves a row per value.
+    Each table is unpivoted and counted in one pass; counting before the shuffle leaves a row per value.  Long texts stand as
+    digests, but for columns named as compound ones, which are taken apart later.
     """
     parts = []
     for name, df in sorted(tables.items()):
         fields = [(k, f) for k, f in enumerate(df.schema.fields) if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))]
-        rows = F.array(*(F.struct(F.lit(k).alias("ordinal"), F.lit(f.name).alias("column"), as_text(F.col(f"`{f.name}`"), f.dataType).alias("value")) for k, f in fields))
+        rows = F.array(*(F.struct(F.lit(k).alias("ordinal"), F.lit(f.name).alias("column"), as_text(F.col(f"`{f.name}`"), f.dataType, is_compound(f.name)).alias("value")) for k, f in fields))
         parts.append(df.select(F.lit(name).alias("table"), F.inline(rows)))
     return reduce(DataFrame.unionByName, parts).groupBy("table", "ordinal", "column", "value").agg(F.count("*").alias("n"))
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.values import as_text
+from ..functions.values import as_text, is_compound
 from ..functions.vocabulary import TYPE_WORDS
 from ..operators import analysis as N
 from ..operators import assets as A
@@ -78,7 +78,8 @@ class SheetCatalog(Catalog):
     def cells(self) -> DataFrame:
         each = self.data.select("table", "cells", F.posexplode("names").alias("ordinal", "column"))
         value = F.get("cells", F.col("ordinal"))
-        text = as_text(F.when(F.trim(value) != "", value), T.StringType())
+        some = F.when(F.trim(value) != "", value)
+        text = F.when(is_compound(F.col("column")), some).otherwise(as_text(some, T.StringType()))
         return self._keep(each.groupBy("table", "ordinal", "column", text.alias("value")).agg(F.count("*").alias("n")))
 
     @cached_property

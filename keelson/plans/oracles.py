@@ -39,12 +39,16 @@ def _any_in(text: str, words) -> str:
     return "(" + " OR ".join(f"contains({text}, {_q(w)})" for w in words) + ")"
 
 
+def _trim(column: str) -> str:
+    return f"trim({column}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+
+
 def _text(column: str, kind: str) -> str:
     return {
         "i": f"CAST({column} AS VARCHAR)",
         "f": f"CASE WHEN {column} = floor({column}) AND abs({column}) < 1e15 THEN CAST(CAST({column} AS BIGINT) AS VARCHAR) ELSE CAST({column} AS VARCHAR) END",
         "t": f"strftime({column}, '%Y-%m-%dT%H:%M:%S.%f')",
-        "s": f"CASE WHEN length({column}) > 256 THEN 'md5:' || md5({column}) ELSE {column} END",
+        "s": f"CASE WHEN length({_trim(column)}) > 256 THEN 'md5:' || md5({_trim(column)}) || CASE WHEN length({_trim(column)}) < length({column}) THEN '+' || md5({column}) ELSE '' END ELSE {column} END",
     }[kind]
 
 
@@ -64,7 +68,7 @@ _G = "CASE WHEN {x} < 0 THEN '-' ELSE '' END || regexp_replace(CAST(CAST(floor(a
 
 def normalised(value: str) -> str:
     """A value in one form; numbers of under a million and over a ten-thousandth, as in the driver tables, need no exponent."""
-    s = f"regexp_replace({value}, '^\\s+|\\s+$', '', 'g')"
+    s = f"regexp_replace({_trim(value)}, '^(md5:[0-9a-f]{{32}})\\+[0-9a-f]{{32}}$', '\\1')"
     x = f"(CASE WHEN regexp_matches({s}, {NUMBER}) THEN TRY_CAST({s} AS DOUBLE) END)"
     g = _G.format(x=x, p=f"CAST(floor(log10(abs({x}))) AS INT)")
     return f"""CASE WHEN {s} = '' OR lower({s}) IN ('none', 'nan', 'null', 'na', 'nat') THEN NULL
@@ -123,7 +127,7 @@ CHAIN: list[tuple[str, str]] = [
     ("held", "SELECT n.* FROM norm n SEMI JOIN cand c ON n.tbl = c.tbl AND n.col = c.col"),
     ("wide", "SELECT value, count(*) AS k FROM held GROUP BY value"),
     ("pairs", """SELECT a.tbl AS tbl_a, a.col AS col_a, b.tbl AS tbl_b, b.col AS col_b, count(*) AS shared, count(*) FILTER (k <= 200) AS gated
-       FROM held a JOIN held b USING (value) JOIN wide USING (value) WHERE a.tbl < b.tbl GROUP BY ALL"""),
+       FROM held a JOIN held b USING (value) JOIN wide USING (value) WHERE a.tbl < b.tbl GROUP BY ALL HAVING count(*) FILTER (k <= 200) > 0"""),
     ("scored", f"""SELECT *, CASE WHEN shared / na >= thr AND na <= nb * 0.95 THEN 'a_to_b' WHEN shared / nb >= thr AND nb <= na * 0.95 THEN 'b_to_a' WHEN j >= 0.8 THEN 'unknown' END AS direction,
        CASE WHEN shared / na >= thr AND na <= nb * 0.95 THEN shared / na * 0.7 + j * 0.2 + na / nb * 0.1 + bonus
             WHEN shared / nb >= thr AND nb <= na * 0.95 THEN shared / nb * 0.7 + j * 0.2 + nb / na * 0.1 + bonus WHEN j >= 0.8 THEN j * 0.8 + bonus END AS score
@@ -242,8 +246,10 @@ ORACLES: dict[str, str] = {
     "schema_diff": chained("""SELECT 'part' AS "table", 'p_size' AS "column", 'added' AS change FROM cols WHERE col = 'p_size' UNION ALL SELECT 'nation', 'n_comment', 'removed'
       UNION ALL SELECT tbl, col, 'type_changed' FROM cols WHERE col = 'o_totalprice' AND dtype <> 'str'"""),
     "normalized_values": chained('SELECT tbl AS "table", col AS "column", count(*) AS n_values, min(value) AS first_value, max(value) AS last_value FROM norm GROUP BY 1, 2'),
-    "compound_values": """SELECT * FROM (VALUES ('101|102|103', '101'), ('101|102|103', '102'), ('101|102|103', '103'), ('200', '200'), ('1,2,3', '1'), ('1,2,3', '2'), ('1,2,3', '3'), ('hello', 'hello'),
-      ('1||2', '1||2'), ('a、b', 'a'), ('a、b', 'b'), ('1;2', '1'), ('1;2', '2'), ('|', '|'), (' 7 ', '7'), ('-5', '5'), ('1e3', '1000'), ('3.14159265', '3.14159')) AS v(raw, value)""",
+    "compound_values": """WITH listed AS (SELECT o_custkey, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) AS ids FROM orders GROUP BY o_custkey),
+      forms AS (SELECT CASE WHEN o_custkey % 3 = 0 THEN replace(ids, ',', '|') || '||' ELSE replace(ids, ',', ';') END AS v FROM listed),
+      members AS (SELECT CASE WHEN ends_with(v, '|') THEN [v] ELSE string_split(v, ';') END AS m FROM forms)
+      SELECT DISTINCT w AS value, length(w) AS n_chars FROM (SELECT CASE WHEN length(x) > 256 THEN 'md5:' || md5(x) ELSE x END AS w FROM (SELECT unnest(m) AS x FROM members))""",
     "expand_column_names": chained(
         f"""SELECT DISTINCT "column", expansion FROM (SELECT c AS "column", {_strip('c', W.LOOKUP_ENDINGS)} AS expansion FROM (SELECT DISTINCT col AS c FROM cols UNION SELECT unnest(['sid', 'tid_id', 'mid']))
         UNION ALL SELECT c, full_name FROM (SELECT DISTINCT col AS c FROM cols UNION SELECT unnest(['sid', 'tid_id', 'mid'])) JOIN known ON abbreviation = {_strip('c', W.LOOKUP_ENDINGS)})"""

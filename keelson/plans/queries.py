@@ -129,8 +129,11 @@ def normalized_values(c):
 
 @query
 def compound_values(c):
-    raw = c.spark.createDataFrame([(x,) for x in ("101|102|103", "200", "1,2,3", "hello", "1||2", "a、b", "1;2", "|", " 7 ", "-5", "1e3", "3.14159265")], "value string")
-    return raw.select(F.col("value").alias("raw"), F.explode(V.parts(F.col("value"))).alias("p")).select("raw", V.normalise(F.col("p")).alias("value")).where("value is not null").distinct()
+    """The lists that the orders of a customer make: over 256 characters long for many, which are taken apart before they are cut."""
+    listed = c.sources["orders"].groupBy("o_custkey").agg(F.array_join(F.array_sort(F.collect_list("o_orderkey")), "|").alias("order_ids"))
+    listed = listed.withColumn("order_ids", F.when(F.col("o_custkey") % 3 == 0, F.concat("order_ids", F.lit("||"))).otherwise(F.translate("order_ids", "|", ";")))
+    taken = D.normalised(P.cells({"buyer": listed})).where("column = 'order_ids'")
+    return taken.select("value", F.length("value").cast("bigint").alias("n_chars"))
 
 
 @query

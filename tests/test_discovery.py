@@ -178,10 +178,48 @@ def test_hot_values_do_not_count_for_the_gate(spark, monkeypatch):
     monkeypatch.setattr(D, "HOT_COLUMNS", 2)
     norm = spark.createDataFrame([(t, "k", v) for t in "abc" for v in ("1", "2")] + [("a", "k", "3"), ("b", "k", "3")], "table string, column string, value string")
     found = {(r.table_a, r.table_b): (r.shared, r.gated) for r in D.overlaps(norm, norm.select("table", "column").distinct()).collect()}
-    assert found == {("a", "b"): (3, 1), ("a", "c"): (2, 0), ("b", "c"): (2, 0)}
+    assert found == {("a", "b"): (3, 1)}  # pairs that share hot values only cannot pass the gate
 
 
 def test_file_changes(spark):
     at = lambda *rows: spark.createDataFrame(list(rows), "path string, s double").select("path", F.col("s").cast("timestamp").alias("modified"))
     got = {r.path: r.change for r in file_changes(at(("a", 1.0), ("b", 1.0), ("c", 1.0)), at(("a", 1.5), ("b", 9.0), ("d", 1.0))).collect()}
     assert got == {"a": "unchanged", "b": "updated", "c": "deleted", "d": "new"}
+
+
+def test_values_of_very_many_columns(spark):
+    """A value in 5,000 columns is counted for the pairs that pass without it, and makes no pairs of its own."""
+    wide = spark.range(5000).select(F.concat(F.lit("t"), F.col("id").cast("string")).alias("table"), F.lit("x_id").alias("column"), F.explode(F.array(F.lit("0"), F.lit("1"), F.concat(F.lit("own"), "id"))).alias("value"))
+    more = spark.createDataFrame([(t, "y_id", v) for t in ("p", "q") for v in ("0", "1", "7", "8", "9")] + [("p", "y_id", "z")], "table string, column string, value string")
+    norm = wide.unionByName(more)
+    got = [tuple(r) for r in D.overlaps(norm, norm.select("table", "column").distinct()).collect()]
+    assert got == [("p", "y_id", "q", "y_id", 5, 3)]
+
+
+def test_hot_values_in_parts(spark, monkeypatch):
+    """Counted part by part, what is shared equals a plain count."""
+    monkeypatch.setattr(D, "HOT_COLUMNS", 4)
+    monkeypatch.setattr(D, "HOT_PART", 3)
+    r = random.Random(2)
+    rows = {(f"t{k % 7}", f"c{k}", str(v)) for k in range(14) for v in r.sample(range(60), 30)}
+    norm = spark.createDataFrame(sorted(rows), "table string, column string, value string")
+    of, times = {}, {}
+    for t, c, v in rows:
+        of.setdefault((t, c), set()).add(v)
+        times[v] = times.get(v, 0) + 1
+    want = {(*a, *b): (len(of[a] & of[b]), sum(times[v] <= 4 for v in of[a] & of[b])) for a in of for b in of if a < b and a[0] != b[0]}
+    got = {tuple(x)[:4]: tuple(x)[4:] for x in D.overlaps(norm, norm.select("table", "column").distinct()).collect()}
+    assert got == {k: v for k, v in want.items() if v[1]} and got
+
+
+def test_known_pairs_are_not_counted(spark, catalog):
+    known = catalog.overlaps.limit(1)
+    assert D.overlaps(catalog.norm, catalog.candidates, known=known).count() == catalog.overlaps.count() - 1
+    assert D.overlaps(catalog.norm, catalog.candidates, known=catalog.overlaps).count() == 0
+
+
+def test_long_lists_are_taken_apart(spark):
+    """Cells of over 256 characters are split before they are cut to a digest."""
+    ids = "|".join(str(100000 + k) for k in range(90))
+    c = Catalog(spark, {"t": spark.createDataFrame([(1, ids), (2, "100001|5"), (3, " " + ids)], "id int, item_ids string")})
+    assert {r.value for r in c.norm.where("column = 'item_ids'").collect()} == {*ids.split("|"), "5"}

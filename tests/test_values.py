@@ -1,9 +1,14 @@
 """Value and name expressions on the micro-fixtures."""
 
+import hashlib
+import re
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keelson.functions import values as V
+from keelson.operators import discovery as D
 
 NORMALISED = {
     "1": "1", "1.0": "1", "001": "1", " 1 ": "1", "3.14": "3.14", "nan": None, "NA": None, "NaT": None, "Null": None, "hello": "hello", "": None, "-5": "5", "-1.0": "1",
@@ -12,8 +17,28 @@ NORMALISED = {
 
 
 def test_normalise(spark):
-    rows = spark.createDataFrame([(k,) for k in NORMALISED] + [(None,)], "v string").select("v", V.normalise(F.col("v")).alias("n")).collect()
-    assert {r.v: r.n for r in rows} == NORMALISED | {None: None}
+    long = "x" * 300
+    expected = NORMALISED | {None: None, "1e20": "1e+20", ".5": "0.5", "+.": "+.", "5.": "5", "\x0b7\f": "7", long: "md5:" + hashlib.md5(long.encode()).hexdigest()}
+    rows = V.in_one_form(spark.createDataFrame([(k,) for k in expected], "v string"), F.col("v"), "n").collect()
+    assert {r.v: r.n for r in rows} == expected
+
+
+def test_long_texts_differ_by_their_white_space_only_as_cells(spark):
+    long = "x" * 300
+    cells = spark.createDataFrame([(long,), (f" {long}\n",), (long[:250] + " " * 20,)], "v string").select(V.as_text(F.col("v"), T.StringType()).alias("v"))
+    assert cells.distinct().count() == 3
+    assert {r.n for r in V.in_one_form(cells, F.col("v"), "n").collect()} == {"md5:" + hashlib.md5(long.encode()).hexdigest(), long[:250]}
+
+
+def test_generated_methods_are_small(spark):
+    """HotSpot compiles methods of up to 8,000 bytes only."""
+    rows = spark.range(10).select(F.lit("t").alias("table"), F.lit("c").alias("column"), F.col("id").cast("string").alias("value"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else there is no code before the plan runs
+    rows = rows.repartition(2)  # so that nothing is folded into the literals
+    codegen = D.normalised(rows)._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", codegen)]
+    assert sizes and max(sizes) < 8000
 
 
 @pytest.mark.parametrize(("value", "expected"), [("101|102|103", ["101", "102", "103"]), ("1||2", ["1||2"]), ("a、b", ["a", "b"]), ("1;2", ["1", "2"]), ("|", ["|"]), ("hello", ["hello"])])
