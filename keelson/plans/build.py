@@ -19,6 +19,7 @@ from ..operators import discovery as D
 from ..operators import graph as G
 from ..operators import profile as P
 from ..sources import files, graph_store
+from ..sources.versions import Versions
 from .catalog import Catalog
 
 
@@ -51,12 +52,12 @@ class SheetCatalog(Catalog):
 
     @cached_property
     def rows(self) -> DataFrame:
-        """(table, row_index, cells), the header's row included."""
-        return self.read.join(self._first, "source").where("path = first").select(F.col("source").alias("table"), "row_index", "cells")
+        """(table, row_index, row, cells), the header's row included."""
+        return self.read.join(self._first, "source").where("path = first").select(F.col("source").alias("table"), "row_index", "row", "cells")
 
     @cached_property
     def headers(self) -> DataFrame:
-        """(table, names, header_rows): the names of all columns, and the rows to skip behind the first."""
+        """(table, names, header_rows, start): the names of all columns, the rows to skip behind the first, and the number of the first row of data in the sheet."""
         width = self.rows.groupBy("table").agg(F.max(F.size("cells")).alias("width"))
         top = self.rows.where("row_index = 0").join(width, "table")
         at = F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("ordinal")
@@ -67,12 +68,16 @@ class SheetCatalog(Catalog):
         names = cells.groupBy("table").agg(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "name"))), lambda x: x["name"]).alias("names"))
         below = self.rows.where("row_index > 0").select(F.col("table").alias("source"), (F.col("row_index") - 1).alias("row_index"), "cells")
         skipped = P.header_rows(below, TYPE_WORDS).withColumnRenamed("source", "table")
-        return self._keep(names.join(skipped, "table", "left").select("table", "names", F.coalesce("header_rows", F.lit(0)).cast("int").alias("header_rows")))
+        known = names.join(skipped, "table", "left").select("table", "names", F.coalesce("header_rows", F.lit(0)).cast("int").alias("header_rows"))
+        top = self.rows.where("row_index <= 10").join(known, "table").groupBy("table").agg(
+            F.coalesce(F.min(F.when(F.col("row_index") > F.col("header_rows"), F.col("row"))), F.max("row") + 1).cast("bigint").alias("start")
+        )
+        return self._keep(known.join(top, "table"))
 
     @cached_property
     def data(self) -> DataFrame:
-        """(table, names, row, cells): rows of data; ``row`` is the place in the sheet, counted from 1."""
-        return self.rows.join(self.headers, "table").where("row_index > header_rows").select("table", "names", (F.col("row_index") + 1).cast("bigint").alias("row"), "cells")
+        """(table, names, row, cells): rows of data; ``row`` is the number of the row in its sheet, from 1."""
+        return self.rows.join(self.headers, "table").where("row_index > header_rows").select("table", "names", F.col("row").cast("bigint").alias("row"), "cells")
 
     @cached_property
     def cells(self) -> DataFrame:
@@ -88,7 +93,7 @@ class SheetCatalog(Catalog):
 
     @cached_property
     def starts(self) -> DataFrame:
-        return self.headers.select("table", (F.col("header_rows") + 2).cast("bigint").alias("data_start_row"))
+        return self.headers.select("table", F.col("start").alias("data_start_row"))
 
     @cached_property
     def rows_by_key(self) -> DataFrame:
@@ -102,6 +107,8 @@ class SheetCatalog(Catalog):
 #: The assets in the order in which they are written.
 ASSETS: dict[str, Callable[[Catalog], DataFrame]] = {
     "schema_summary": lambda c: A.schema_summary(c.tables),
+    "summary_text": lambda c: A.summary_text(c.tables, c.relations, c.analysis),
+    "chunks_text": lambda c: A.chunks_text(c.tables, c.columns, c.relations),
     "llm_chunks": lambda c: A.llm_chunks(c.tables, c.columns, c.relations),
     "column_index": lambda c: A.column_index(c.columns),
     "column_index_cn": lambda c: A.cn_segments(c.columns),
@@ -123,15 +130,25 @@ ASSETS: dict[str, Callable[[Catalog], DataFrame]] = {
 }
 
 
+#: Assets that are texts, with the order of their lines.
+TEXTS = {"summary_text": ("section", "place"), "chunks_text": ("table", "place")}
+
+
 def export(catalog: Catalog, folder: str) -> DataFrame:
-    """(asset, error): writes every asset as JSON lines below a folder.  One that fails leaves its error and does not stop the others."""
-    done = []
+    """(asset, error): writes every asset below a folder, as JSON lines or text, as a new version of all of them.
+
+    One that fails leaves its error, does not stop the others, and stays what it was in the version before.
+    """
+    store = Versions(catalog.spark, folder)
+    draft, done = store.begin(), []
     for name, make in ASSETS.items():
         try:
-            graph_store.write_lines(make(catalog), f"{folder}/{name}")
+            draft.put_lines(name, make(catalog), TEXTS.get(name, ()))
             done.append((name, None))
         except (PySparkException, Py4JError) as e:
             done.append((name, str(e).splitlines()[0]))
+    draft.commit()
+    store.prune()
     return catalog.spark.createDataFrame(done, "asset string, error string")
 
 

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import csv
 import io
-import re
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
@@ -13,99 +11,82 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ENCODINGS = ("utf-8-sig", "gbk", "latin-1")
-#: Rows that are handed on at a time.
-CHUNK_ROWS = 50_000
-CELLS = "source string, row_index int, cells array<string>, path string"
-#: The longest cell of a CSV file.
-CELL_CHARS = 1 << 30
-_NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
-_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+from . import delimited, workbook
 
+#: Rows of a sheet that are handed on at a time.
+CHUNK_ROWS = 20_000
+PATTERN = "*.{csv,tsv,xlsx}"
+CELLS = "source string, row_index int, row int, cells array<string>, path string"
 
-def listing(spark: SparkSession, folder: str, pattern: str = "*.{csv,tsv,xlsx}") -> DataFrame:
+
+def listing(spark: SparkSession, folder: str, pattern: str = PATTERN) -> DataFrame:
     """(path, modified, size) of the files below a folder; hidden and lock files are left out."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.where(~name.rlike(r"^[.~]")).select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("size"))
+    name = F.element_at(F.split("_metadata.file_path", "/"), -1)
+    return files.where(~name.rlike(r"^[.~]")).select(F.col("_metadata.file_path").alias("path"), F.col("modificationTime").alias("modified"), F.col("length").alias("size"))
 
 
-def read(spark: SparkSession, folder: str, pattern: str = "*.{csv,tsv,xlsx}") -> DataFrame:
-    """(source, row_index, cells, path) of all files below a folder, one task per file.
+def read(spark: SparkSession, where: str | list[str]) -> DataFrame:
+    """(source, row_index, row, cells, path) of all CSV, TSV and XLSX files below a folder, or of those named.
 
+    CSV and TSV files are read by blocks of lines (see ``delimited``), workbooks by one task each.
+    ``row_index`` counts the rows that there are, from 0; ``row`` is the number of the row in its sheet, from 1, where rows without a cell leave gaps.
     A file that cannot be read has one row: source null, row_index -1, the error in cells.
     A sheet's source is the file's stem, with the sheet's name unless that is Sheet1 or the stem.
     Sheets whose name begins with # are skipped, as are sheets of one column and, in CSV files, blank lines.
     Rows keep their own number of cells.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.where(~name.rlike(r"^[.~]")).select("path", "content").mapInPandas(_rows, CELLS)
-
-
-def sheets(spark: SparkSession, folder: str, pattern: str = "*.{csv,tsv,xlsx}") -> DataFrame:
+    rows = delimited.records(spark, where, "*.{csv,tsv,CSV,TSV}")
+    wide = rows.groupBy("path").agg(F.max(F.size("cells")).alias("width")).where("width > 1").select("path")
+    stem = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
+    texts = rows.join(wide, "path").select(stem.alias("source"), "row_index", (F.col("row_index") + 1).alias("row"), "cells", "path")
+    books = where if isinstance(where, str) else [x for x in where if x.lower().endswith(".xlsx")]
+    if not books:
+        return texts
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{xlsx,XLSX}").load(books)
+    name = F.element_at(F.split("_metadata.file_path", "/"), -1)
+    books = files.where(~name.rlike(r"^[.~]")).select(F.col("_metadata.file_path").alias("path"), "content").mapInPandas(_rows, CELLS)
+    return texts.unionByName(books)
+
+
+def sheets(spark: SparkSession, folder: str) -> DataFrame:
     """The rows of ``read`` of all files that can be read."""
-    return read(spark, folder, pattern).where("source is not null")
+    return read(spark, folder).where("source is not null")
 
 
-def unreadable(spark: SparkSession, folder: str, pattern: str = "*.{csv,tsv,xlsx}") -> DataFrame:
+def unreadable(spark: SparkSession, folder: str) -> DataFrame:
     """(path, error) of the files that cannot be read."""
-    return read(spark, folder, pattern).where("source is null").select("path", F.get("cells", F.lit(0)).alias("error"))
+    return read(spark, folder).where("source is null").select("path", F.get("cells", F.lit(0)).alias("error"))
 
 
 def _rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
-            stem, _, kind = path.rsplit("/", 1)[-1].rpartition(".")
+            out: list[pd.DataFrame] = []
             try:
-                tables = list(_workbook(stem, content)) if kind.lower() == "xlsx" else [(stem, _delimited(content, "\t" if kind.lower() == "tsv" else ","))]
-            except (ValueError, KeyError, IndexError, csv.Error, zipfile.BadZipFile, ElementTree.ParseError) as e:
-                yield pd.DataFrame({"source": [None], "row_index": [-1], "cells": [[f"{type(e).__name__}: {e}"]], "path": [path]})
-                continue
-            for source, rows in tables:
-                if rows and max(map(len, rows)) > 1:
-                    for k in range(0, len(rows), CHUNK_ROWS):
-                        part = rows[k : k + CHUNK_ROWS]
-                        yield pd.DataFrame({"source": source, "row_index": range(k, k + len(part)), "cells": part, "path": path})
-
-
-def _delimited(content: bytes, separator: str) -> list[list[str]]:
-    csv.field_size_limit(CELL_CHARS)
-    for encoding in ENCODINGS:
-        try:
-            text = content.decode(encoding)
-        except UnicodeDecodeError:
-            continue
-        return [row for row in csv.reader(io.StringIO(text, newline=""), delimiter=separator) if row]
-    return []
-
-
-def _workbook(stem: str, content: bytes) -> Iterator[tuple[str, list[list[str | None]]]]:
-    book = zipfile.ZipFile(io.BytesIO(content))
-    read = lambda name: ElementTree.fromstring(book.read(name))
-    shared = []
-    if "xl/sharedStrings.xml" in book.namelist():
-        shared = ["".join(t.text or "" for t in item.iter(f"{{{_NS['m']}}}t")) for item in read("xl/sharedStrings.xml").findall("m:si", _NS)]
-    targets = {r.get("Id"): r.get("Target") for r in read("xl/_rels/workbook.xml.rels")}
-    for sheet in read("xl/workbook.xml").findall("m:sheets/m:sheet", _NS):
-        name = sheet.get("name", "")
-        if name.startswith("#"):
-            continue
-        target = targets[sheet.get(_REL)].lstrip("/")
-        rows = list(_sheet(read(target if target.startswith("xl/") else f"xl/{target}"), shared))
-        yield (stem if name in ("Sheet1", stem) else f"{stem}_{name}"), rows
-
-
-def _sheet(root: ElementTree.Element, shared: list[str]) -> Iterator[list[str | None]]:
-    for row in root.findall("m:sheetData/m:row", _NS):
-        out: list[str | None] = []
-        for cell in row.findall("m:c", _NS):
-            letters = re.match("[A-Z]*", cell.get("r", ""))[0]
-            at = sum((ord(c) - 64) * 26**k for k, c in enumerate(reversed(letters))) - 1 if letters else len(out)
-            value = cell.find("m:v", _NS)
-            text = value.text if value is not None else "".join(t.text or "" for t in cell.iter(f"{{{_NS['m']}}}t")) or None
-            out += [None] * (at - len(out)) + [shared[int(text)] if cell.get("t") == "s" and text else text]
-        yield out
+                # A book whose later sheets are broken gives none of them, so a file is either read or an error.
+                for source, rows in workbook.sheets(path.rsplit("/", 1)[-1].rpartition(".")[0], io.BytesIO(content)):
+                    out += _chunks(source, rows, path)
+            except (ValueError, KeyError, IndexError, zipfile.BadZipFile, ElementTree.ParseError) as e:
+                out = [pd.DataFrame({"source": [None], "row_index": [-1], "row": [-1], "cells": [[f"{type(e).__name__}: {e}"]], "path": [path]})]
+            yield from out
+
+
+def _chunks(source: str, rows: Iterator[tuple[int, list[str | None]]], path: str) -> list[pd.DataFrame]:
+    out, held, wide, at = [], [], False, 0
+    for number, cells in rows:
+        held.append((number, cells))
+        wide = wide or len(cells) > 1
+        if len(held) == CHUNK_ROWS:
+            out.append(_chunk(source, at, held, path))
+            at, held = at + len(held), []
+    if held:
+        out.append(_chunk(source, at, held, path))
+    return out if wide else []
+
+
+def _chunk(source: str, at: int, rows: list[tuple[int, list[str | None]]], path: str) -> pd.DataFrame:
+    return pd.DataFrame({"source": source, "row_index": range(at, at + len(rows)), "row": [n for n, _ in rows], "cells": [c for _, c in rows], "path": path})
 
 
 def table(rows: DataFrame, source: str, offset: int, names: list[str]) -> DataFrame:

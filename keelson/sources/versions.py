@@ -87,17 +87,14 @@ class Draft:
         self.parts[name] = f"{self.folder}/{name}"
         return self.store.spark.read.schema(df.schema).parquet(self.parts[name])
 
-    def put_lines(self, name: str, df: DataFrame, order: list[str] | None = None) -> None:
-        """df as JSON lines, or a single text column as lines of text; in one file, in this order."""
-        ordered = df.orderBy(*order) if order else df
-        ordered = ordered.coalesce(1) if not order else ordered.repartitionByRange(1, *order).sortWithinPartitions(*order)
-        plain = df.columns == ["text"] or (order and set(df.columns) - set(order) == {"text"})
-        (ordered.select("text").write.text if plain else ordered.write.json)(f"{self.folder}/{name}")
+    def put_lines(self, name: str, df: DataFrame, order: tuple[str, ...] = ()) -> None:
+        """df as JSON lines in one file, in this order; with an order, the column ``text`` alone as lines of text."""
+        one = df.repartition(1).sortWithinPartitions(*order).select("text") if order else df.coalesce(1)
+        (one.write.text if order else one.write.json)(f"{self.folder}/{name}")
         self.parts[name] = f"{self.folder}/{name}"
 
-    def commit(self, more: dict | None = None, only: bool = False) -> int:
-        """The number of the new version; parts not written are those of the one before, unless ``only`` what was written counts."""
+    def commit(self, more: dict | None = None) -> int:
+        """The number of the new version; parts that were not written are those of the one before."""
         number = self.before["number"] + 1
-        parts = {k: v for k, v in self.parts.items() if v.startswith(self.folder)} if only else self.parts
-        self.store.commit(number, parts, more or {})
+        self.store.commit(number, self.parts, more or {})
         return number

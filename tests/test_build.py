@@ -7,6 +7,7 @@ import pytest
 
 from keelson.__main__ import main
 from keelson.plans.build import ASSETS, SheetCatalog, build
+from keelson.sources.versions import Versions
 
 
 @pytest.fixture(scope="module")
@@ -39,7 +40,8 @@ def test_build(spark, folder, tmp_path, capsys):
     assert stats[("skill", "id")] == ("int", 302, 0, 302) and stats[("skill", "hero_id")] == ("int", 90, 1, 302) and stats[("skill", "Unnamed: 3")] == ("str", 1, 301, 302)
     assert stats[("hero", "id")] == ("int", 100, 0, 100) and ("hero", "Unnamed: 2") not in stats
     assert {(r.from_table, r.from_column, r.to_table, r.to_column) for r in catalog.relations.collect()} == {("skill", "hero_id", "hero", "id")}
-    lines = lambda name: [json.loads(x) for p in Path(out, "assets", name).glob("part-*.json") for x in p.read_text("utf-8").splitlines()]
+    stored = Versions(spark, str(out / "assets")).pointer()
+    lines = lambda name: [json.loads(x) for p in Path(stored["parts"][name]).glob("part-*.json") for x in p.read_text("utf-8").splitlines()]
     assert {(x["table"], x["column"]): x["data_start_row"] for x in lines("cell_locator")}[("hero", "id")] == 4
     assert {x["key"]: x["row"] for x in lines("row_locator") if x["table"] == "hero"}["1"] == 4
     assert lines("relation_evidence") == [{"from_table": "skill", "from_column": "hero_id", "to_table": "hero", "to_column": "id", "shared": 90, "examples": "1,10,11,12,13"}]
