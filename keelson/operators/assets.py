@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,6 +95,36 @@ def schema_summary(tables: DataFrame) -> DataFrame:
     return tables.groupBy("domain").agg(F.count("*").alias("n_tables"), F.array_join(F.sort_array(F.collect_list("table")), ",").alias("tables"))
 
 
+def summary_text(tables: DataFrame, relations: DataFrame, found: DataFrame) -> DataFrame:
+    """(section, place, text): the lines of the summary for readers: tables by domain, then what the analysis found."""
+    line = lambda df, section, text, place=F.lit("").alias("place"): df.select(F.lit(section).alias("section"), place, text.alias("text"))
+    n = tables.agg(F.count("*").alias("t")).crossJoin(relations.agg(F.count("*").alias("r")))
+    parts = [line(n, 0, F.concat(F.lit("# Schema Summary — "), "t", F.lit(" tables, "), "r", F.lit(" relations")))]
+    fixed = tables.sparkSession.createDataFrame([(1, ""), (2, "可用配置表（按业务域分组）："), (4, ""), (5, "## 分析洞察")], "section int, text string")
+    parts.append(fixed.select("section", F.lit("").alias("place"), "text"))
+    parts.append(line(schema_summary(tables), 3, F.concat(F.lit("["), "domain", F.lit("] "), F.replace("tables", F.lit(","), F.lit(", "))), F.col("domain").alias("place")))
+    names = lambda kind, text, order, most: (
+        found.where(F.col("kind") == kind).withColumn("r", F.row_number().over(Window.partitionBy("kind").orderBy(*order)))
+        .groupBy("kind").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("r") <= most, F.struct("r", text.alias("x"))))), lambda s: s["x"]), ", ").alias("first"), F.count("*").alias("n"))
+    )
+    score = F.concat("item", F.lit("("), F.format_number("score", "0.0"), F.lit(")"))
+    parts.append(line(names("centrality", score, [F.desc("score"), "item"], 5), 6, F.concat(F.lit("核心枢纽表 Top5: "), "first")))
+    parts.append(line(names("orphan", F.col("item"), ["item"], 15), 7, F.concat(F.lit("孤立表("), "n", F.lit("): "), "first", F.when(F.col("n") > 15, "...").otherwise(""))))
+    counts = found.agg(F.count(F.when(F.col("kind") == "cycle", 1)).alias("cycles"), F.count(F.when(F.col("kind") == "module", 1)).alias("modules"))
+    parts.append(line(counts, 8, F.concat(F.lit("循环依赖: "), F.when(F.col("cycles") > 0, F.concat("cycles", F.lit(" 个"))).otherwise("无"))))
+    parts.append(line(counts.where("modules > 0"), 9, F.concat(F.lit("业务模块数: "), "modules")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def chunks_text(tables: DataFrame, columns: DataFrame, relations: DataFrame) -> DataFrame:
+    """(table, place, text): the chunks as lines of markdown, a heading first and a blank line before each table."""
+    n = tables.agg(F.count("*").alias("t")).crossJoin(relations.agg(F.count("*").alias("r")))
+    head = F.array(F.lit("# Schema Graph LLM Export"), F.concat(F.lit("# "), "t", F.lit(" tables, "), "r", F.lit(" relations")))
+    first = n.select(F.lit("").alias("table"), F.posexplode(head).alias("place", "text"))
+    lines = F.concat(F.array(F.lit("")), F.split(F.concat(F.lit("#"), "chunk"), "\n"))
+    return first.unionByName(llm_chunks(tables, columns, relations).select("table", F.posexplode(lines).alias("place", "text")))
+
+
 def table_description(tables: DataFrame) -> DataFrame:
     """(table, description): a sentence of name, domain, size and key."""
     names = F.create_map(*(F.lit(x) for d, n in DOMAIN_NAMES.items() for x in (d, n[0])))

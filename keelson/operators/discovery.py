@@ -276,8 +276,11 @@ def references(columns: DataFrame, tables: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, (found, near, chinese)).groupBy("table", "column").agg(F.min_by("to_table", F.struct("rank", "to_table")).alias("to_table"))
 
 
-def naming(columns: DataFrame, tables: DataFrame, norm: DataFrame, base: float = 0.70, changed: tuple[str, ...] | None = None) -> DataFrame:
-    """Relations from column names; confidence from types and from how far the values are contained."""
+def naming(columns: DataFrame, tables: DataFrame, norm: DataFrame, base: float = 0.70, changed: tuple[str, ...] | None = None, known: DataFrame | None = None) -> DataFrame:
+    """Relations from column names; confidence from types and from how far the values are contained.
+
+    ``known`` (table, column, to_table, to_column, containment) holds shares that need no comparison of values.
+    """
     found = references(columns, tables).where("table <> to_table")
     if changed is not None:
         found = found.where(F.col("table").isin(*changed) | F.col("to_table").isin(*changed))
@@ -288,8 +291,9 @@ def naming(columns: DataFrame, tables: DataFrame, norm: DataFrame, base: float =
     edges = stored(found.join(targets, "to_table"), "naming")
     dtype = lambda t, c, name: columns.select(F.col("table").alias(t), F.col("column").alias(c), F.col("dtype").alias(name))
     edges = edges.join(dtype("table", "column", "d1"), ["table", "column"]).join(dtype("to_table", "to_column", "d2"), ["to_table", "to_column"], "left")
-    held = containments(edges.select("table", "column", "to_table", "to_column"), norm)
-    edges = edges.join(held, ["table", "column", "to_table", "to_column"], "left")
+    ends = ["table", "column", "to_table", "to_column"]
+    held = containments(edges.select(*ends) if known is None else edges.select(*ends).join(known, ends, "left_anti"), norm)
+    edges = edges.join(held if known is None else held.unionByName(known.select(*ends, "containment")), ends, "left")
     share = F.col("containment")
     confidence = F.lit(base) + F.when(F.col("d1") == F.col("d2"), 0.1).otherwise(0.0)
     confidence = confidence + F.when(share >= 0.5, 0.15).when(share >= 0.2, 0.05).when(share == 0, -0.2).otherwise(0.0)

@@ -39,6 +39,15 @@ def refreshed(known: DataFrame, columns: DataFrame, tables: DataFrame, norm: Dat
     return kept.unionByName(found).unionByName(D.naming(columns, tables, norm, changed=changed))
 
 
+def keep_fresh(spark: SparkSession, refresh: Callable[[], DataFrame], checkpoint: str, seconds: int = 3) -> StreamingQuery:
+    """Calls ``refresh`` (as ``Library.refresh``) again and again: listings show changed and deleted files, which a file source does not report.
+
+    A call that fails ends the stream; the version before it stays, and a new stream goes on from there.
+    """
+    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load()
+    return ticks.writeStream.foreachBatch(lambda _, __: refresh()).option("checkpointLocation", checkpoint).trigger(processingTime=f"{seconds} seconds").start()
+
+
 def on_change(spark: SparkSession, folder: str, schema: str, rebuild: Callable[[list[str]], None], checkpoint: str, pattern: str = "*.parquet") -> StreamingQuery:
     """Calls ``rebuild`` with the files that arrived, at most every three seconds.
 
