@@ -107,7 +107,7 @@ def summary_text(tables: DataFrame, relations: DataFrame, found: DataFrame) -> D
         found.where(F.col("kind") == kind).withColumn("r", F.row_number().over(Window.partitionBy("kind").orderBy(*order)))
         .groupBy("kind").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("r") <= most, F.struct("r", text.alias("x"))))), lambda s: s["x"]), ", ").alias("first"), F.count("*").alias("n"))
     )
-    score = F.concat("item", F.lit("("), F.format_number("score", "0.0"), F.lit(")"))
+    score = F.concat("item", F.lit("("), (F.floor(F.col("score") * 10 + 0.5) / 10).cast("decimal(10,1)").cast("string"), F.lit(")"))
     parts.append(line(names("centrality", score, [F.desc("score"), "item"], 5), 6, F.concat(F.lit("核心枢纽表 Top5: "), "first")))
     parts.append(line(names("orphan", F.col("item"), ["item"], 15), 7, F.concat(F.lit("孤立表("), "n", F.lit("): "), "first", F.when(F.col("n") > 15, "...").otherwise(""))))
     counts = found.agg(F.count(F.when(F.col("kind") == "cycle", 1)).alias("cycles"), F.count(F.when(F.col("kind") == "module", 1)).alias("modules"))

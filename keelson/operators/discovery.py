@@ -33,7 +33,9 @@ def normalised(values: DataFrame) -> DataFrame:
     some = values.where("value is not null")
     lists = some.where(V.is_compound(F.col("column"))).select("table", "column", F.explode(V.parts(F.col("value"))).alias("raw"))
     rows = some.where(~V.is_compound(F.col("column"))).select("table", "column", F.col("value").alias("raw")).unionByName(lists)
-    return V.in_one_form(rows, F.col("raw")).select("table", "column", "value").where("value is not null").distinct()
+    found = V.in_one_form(rows, F.col("raw")).groupBy("table", "column", "value").agg(F.count("*").alias("n"))
+    # Bound to the count, the condition stays behind the aggregation: before it, it would hold the steps of the form once for each use of each.
+    return found.where(F.when(F.col("value").isNotNull(), F.col("n")) > 0).select("table", "column", "value")
 
 
 def candidates(columns: DataFrame, norm: DataFrame) -> DataFrame:
