@@ -28,6 +28,8 @@ SIMILARITY = 0.8
 WALKS, TABLES, SAMPLES = 4, 24, 2
 #: Items that a task holds at a time; a larger benchmark is matched block by block.
 BLOCK_BYTES = 16 << 20
+#: Proposals, and windows of them, that are looked at together; words after which a text that repeats itself is not looked at again.
+PROPOSED, WINDOWS, PERIOD = 1 << 19, 4096, 8
 HITS = "doc_id bigint, item_id bigint, distance int, item_words int, start_word bigint, end_word bigint"
 
 #: A-Z lower-cased, ASCII punctuation a separator.
@@ -94,26 +96,52 @@ class Items:
             out[:, w * TABLES : (w + 1) * TABLES] = key
         return out
 
-    def seeds(self, texts_words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, item, start) of windows proposed by words in a row that an item has too; distinct."""
-        word, woff = texts_words
+    def seeds(self, word: np.ndarray, woff: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(text, item, start) of windows proposed by words in a row that an item has too; some places of the texts at a time, in order, each time distinct."""
         of = np.repeat(np.arange(len(woff) - 1), np.diff(woff))
-        found = []
+        # All windows that a word far inside a repetition proposes repeat earlier ones.
+        span, every = int((self.n + self.n // 5).max(initial=0)), np.arange(len(word))
+        first = ~_again(word, woff, of, every - span, every + span)
+        asked = []
         for q, (gram, item, place) in self.grams.items():
-            at = np.flatnonzero(np.arange(len(word)) + q <= woff[of + 1])
+            at = np.flatnonzero(first & (every + q <= woff[of + 1]))
             key = sequence_hash(word, at, q)
             maybe = np.zeros(1 << 20, bool)
             maybe[gram >> U64(44)] = True
             near = np.flatnonzero(maybe[key >> U64(44)])
             at, key = at[near], key[near]
             low, high = np.searchsorted(gram, key, "left"), np.searchsorted(gram, key, "right")
-            hit = np.repeat(low, high - low) + ragged(high - low)
-            at = np.repeat(at, high - low)
-            found.append(np.stack([of[at], item[hit], at - place[hit]]))
-        if not found:
-            return (np.zeros(0, np.int64),) * 3
-        text, item, start = np.unique(np.concatenate(found, axis=1), axis=1)
-        return text, item, start
+            asked.append((at, low, high - low, item, place))
+        n = np.zeros(len(word) + 1, np.int64)
+        for at, _, times, _, _ in asked:
+            n[at + 1] += times
+        total = np.cumsum(n)  # proposals of all words before a place
+        begin = 0
+        while begin < len(word) and total[-1] > total[begin]:
+            end = max(begin + 1, int(np.searchsorted(total, total[begin] + PROPOSED, "right")) - 1)
+            found = []
+            for at, low, times, item, place in asked:
+                some = slice(*np.searchsorted(at, (begin, end)))
+                hit = np.repeat(low[some], times[some]) + ragged(times[some])
+                here = np.repeat(at[some], times[some])
+                found.append(np.stack([of[here], item[hit], here - place[hit]]))
+            text, item, start = np.unique(np.concatenate(found, axis=1), axis=1)
+            if len(text):
+                yield text, item, start
+            begin = end
+
+
+def _again(word: np.ndarray, woff: np.ndarray, text: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Which runs [low, high) repeat, word for word, the run that begins up to PERIOD words before them in the same text."""
+    out = np.zeros(len(low), bool)
+    inside = (low >= woff[text]) & (high <= woff[text + 1])
+    for p in range(1, PERIOD + 1):
+        differs = np.zeros(len(word) + 1, np.int64)
+        differs[p + 1 :] = word[p:] != word[:-p]
+        differs = np.cumsum(differs)
+        some = np.flatnonzero(inside & ~out & (low - p >= woff[text]))
+        out[some] = differs[high[some]] == differs[low[some]]
+    return out
 
 
 def _distance(item: np.ndarray, segment: np.ndarray) -> tuple[int, int, int]:
@@ -136,24 +164,46 @@ def _distance(item: np.ndarray, segment: np.ndarray) -> tuple[int, int, int]:
     return int(cost[end]), int(origin[end]), end
 
 
+def _windows(items: Items, word: np.ndarray, woff: np.ndarray, best: dict) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Proposed windows, some at a time, without those of items that were found unchanged by then and those that repeat an earlier one."""
+    for text, item, start in items.seeds(word, woff):
+        for s in range(0, len(text), WINDOWS):
+            t, i, a = (x[s : s + WINDOWS] for x in (text, item, start))
+            exact = np.array([t_ * len(items.n) + i_ for (t_, i_), x in best.items() if x[0] == 0], np.int64)
+            reach = items.n[i] // 5
+            keep = ~np.isin(t * len(items.n) + i, exact) & ~_again(word, woff, t, a - reach, a + items.n[i] + reach)
+            if keep.any():
+                yield t[keep], i[keep], a[keep]
+
+
+def _longest(t, i, low, high, same, order) -> tuple[np.ndarray, ...]:
+    """Of the segments of a text and item that are the same in one end, the first in an order."""
+    at = np.lexsort((order, same, i, t))
+    t, i, low, high, same = t[at], i[at], low[at], high[at], same[at]
+    head = np.append(True, (t[1:] != t[:-1]) | (i[1:] != i[:-1]) | (same[1:] != same[:-1]))[: len(t)]
+    return t[head], i[head], low[head], high[head]
+
+
 def matches(items: Items, texts: Texts) -> list[tuple[int, int, int, int, int]]:
     """(text, item, distance, start, end in plain words), the best of each text and item."""
-    work = _words(texts)
-    word, woff = work
-    text, item, start = items.seeds(work)
+    word, woff = _words(texts)
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for s in range(0, len(text), 20_000):
-        t, i, a = (x[s : s + 20_000] for x in (text, item, start))
+    for t, i, a in _windows(items, word, woff, best):
         low, high = np.maximum(a, woff[t]), np.minimum(a + items.n[i] + items.n[i] // 5, woff[t + 1])
         close = (items.embedded(word, low, high, i, U64(1)) == items.keys[i]).any(axis=1)
-        reach = items.n[i[close]] // 5
-        for tt, ii, aa, k in zip(t[close].tolist(), i[close].tolist(), a[close].tolist(), reach.tolist()):
+        t, i, a = t[close], i[close], a[close]
+        reach = items.n[i] // 5
+        low, high = np.maximum(a - reach, woff[t]), np.minimum(a + items.n[i] + reach, woff[t + 1])
+        # Of segments that begin or end at the same place the longest holds what the others do.
+        t, i, low, high = _longest(t, i, low, high, low, -high)
+        t, i, low, high = _longest(t, i, low, high, high, low)
+        order = np.lexsort((low, i, t))
+        for tt, ii, first, last in zip(*(x[order].tolist() for x in (t, i, low, high))):
             if best.get((tt, ii), (1,))[0] == 0:
                 continue
-            first, last = max(aa - k, int(woff[tt])), min(aa + int(items.n[ii]) + k, int(woff[tt + 1]))
             d, b, e = _distance(items.word[items.off[ii] : items.off[ii + 1]], word[first:last])
             found = (d, first + b - int(woff[tt]), first + e - int(woff[tt]))
-            if d <= k and found < best.get((tt, ii), (1 << 60,)):
+            if d <= int(items.n[ii]) // 5 and found < best.get((tt, ii), (1 << 60,)):
                 best[tt, ii] = found
     return [(t, i, *x) for (t, i), x in sorted(best.items())]
 
@@ -187,6 +237,7 @@ def find_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     is found where its word edit distance to a run of the document is at most a fifth of its words;
     items of fewer than five words are found only unchanged.
 
+    Long texts are taken whole, some places at a time; a stretch that repeats itself after at most eight words is compared once.
     Null texts and texts without words find nothing and are not found; items without an id are ignored, equal items
     are each reported.  Rows keep their doc_id, null or repeated; other columns are ignored; empty tables give an empty result.
     """

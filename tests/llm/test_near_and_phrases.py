@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from keelson.llm import hard_negatives, minhash, phrases, queries
+from keelson.llm import decontaminate, hard_negatives, minhash, phrases, queries
 from keelson.llm.textbatch import Texts, bounds_of
 
 from . import brute
@@ -257,5 +257,25 @@ def test_empty_and_clashing(spark):
     assert sorted(map(tuple, hard_negatives.hard_negatives(got.withColumns({c: F.lit("x") for c in CLASH if c != "label"})).collect())) == plain
 
 
+def test_repeated_words_against_repeated_words(monkeypatch):
+    """Texts and items of one word, or of a few over and over, in bounded work; the result is that of every place looked at."""
+    cases = [" ".join(["a"] * 60), " ".join(["a", "b"] * 30), " ".join(["a"] * 40 + ["b"] * 20), "a b c d e " * 10, "b " * 9 + "a " * 3]
+    texts = ["a " * 110 + "b " * 25 + "c", "a b " * 50, "c a b " * 30 + "a " * 50, "a b c d e f g h i " * 12 + cases[0], "a " * 47]
+    items = decontaminate.Items(list(range(len(cases))), cases)
+    given = Texts(np.frombuffer("".join(texts).encode(), np.uint8), bounds_of(np.array([len(t) for t in texts])))
+    got = decontaminate.matches(items, given)
+    monkeypatch.setattr(decontaminate, "_again", lambda word, woff, text, low, high: np.zeros(len(low), bool))
+    monkeypatch.setattr(decontaminate, "PROPOSED", 1 << 40)
+    assert decontaminate.matches(items, given) == got
+    assert {(t, i) for t, i, *_ in got} >= {(0, 0), (0, 2), (1, 1), (3, 0)} and (4, 0) not in {(t, i) for t, i, *_ in got}
+    monkeypatch.undo()
+    many = decontaminate.Items(list(range(100)), [" ".join(["x"] * (60 - k % 7) + ["y"] * (k % 7)) for k in range(100)])
+    seen = []
+    embedded = decontaminate.Items.embedded
+    monkeypatch.setattr(decontaminate.Items, "embedded", lambda self, word, start, *rest: seen.append(len(start)) or embedded(self, word, start, *rest))
+    long = Texts(np.frombuffer(b"x " * 3000, np.uint8), np.array([0, 6000]))
+    assert len(decontaminate.matches(many, long)) == 100 and sum(seen) < 20_000
+
+
 def test_registered():
     assert {"op11_minhash_near_dedup", "op12_hard_negatives", "op13_phrase_collocations"} <= set(queries.QUERIES) & set(queries.ORACLES)
