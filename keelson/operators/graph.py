@@ -173,18 +173,32 @@ def critical_path(relations: DataFrame) -> DataFrame:
     return every.orderBy(F.desc("hops"), "path").limit(1)
 
 
-def communities(nodes: DataFrame, relations: DataFrame, rounds: int = 30) -> DataFrame:
-    """(table, community): label propagation with a table's own label in the vote and ties to the smallest label; groups of two or more."""
-    edges = links(relations)
+def communities(nodes: DataFrame, relations: DataFrame, rounds: int = 100) -> DataFrame:
+    """(table, community): asynchronous label propagation, ties to the smallest label; groups of two or more, named by their first table.
+
+    Tables take the most frequent label of their neighbours (those that refer to them and those they refer to; one that does both counts twice) one after the
+    other, in order of the MD5 of their names.  Tables of one level (no neighbour comes before, or all that do have lower levels)
+    are no neighbours of each other, so a whole level is done at once with the same outcome.  A change never lowers the
+    number of neighbours that agree, and lowers a label where it leaves it as it is, so a round without changes comes by itself.
+    """
+    edges = links(relations).where("from_table <> to_table")
     both = edges.select(F.col("from_table").alias("x"), F.col("to_table").alias("y")).union(edges.select(F.col("to_table").alias("x"), F.col("from_table").alias("y")))
-    both = cut(both.union(nodes.select(F.col("table").alias("x"), F.col("table").alias("y"))))
+    both = cut(both.join(nodes.select(F.col("table").alias("x")), "x", "left_semi").join(nodes.select(F.col("table").alias("y")), "y", "left_semi"))
+    before = cut(both.where(F.struct(F.md5("y"), "y") < F.struct(F.md5("x"), "x")))
+    open_, levels = both.select("x").distinct(), []
+    while not open_.isEmpty():
+        waits = before.join(open_.select(F.col("x").alias("y")), "y", "left_semi").select("x").distinct()
+        free = open_.join(waits, "x", "left_anti")
+        levels.append(cut(both.join(free, "x", "left_semi")))
+        open_ = cut(open_.join(waits, "x", "left_semi"))
     labels = cut(nodes.select("table", F.col("table").alias("label")))
     for _ in range(rounds):
-        votes = both.join(labels, both["y"] == labels["table"]).groupBy("x", "label").agg(F.count("*").alias("n"))
-        new = cut(votes.groupBy("x").agg(F.min(F.struct(-F.col("n"), F.col("label"))).alias("b")).select(F.col("x").alias("table"), F.col("b.label").alias("label")))
-        changed = new.join(labels, ["table", "label"], "left_anti").isEmpty()
-        labels = new
-        if changed:
+        start = labels
+        for level in levels:
+            votes = level.join(labels, level["y"] == labels["table"]).groupBy("x", "label").agg(F.count("*").alias("n"))
+            new = votes.groupBy("x").agg(F.min(F.struct(-F.col("n"), F.col("label"))).alias("b")).select(F.col("x").alias("table"), F.col("b.label").alias("new"))
+            labels = cut(labels.join(new, "table", "left").select("table", F.coalesce("new", "label").alias("label")))
+        if labels.join(start, ["table", "label"], "left_anti").isEmpty():
             break
     size = Window.partitionBy("label")
     named = labels.withColumn("n", F.count("*").over(size)).withColumn("community", F.min("table").over(size))

@@ -368,17 +368,22 @@ ORACLES["critical_path"] = chained(
 )
 
 
-def _communities(rounds: int = 30) -> str:
-    """Label propagation with a common table per round."""
+def _communities() -> str:
+    """Label propagation, one table after the other, in order of the MD5 of their names, until a round changes nothing."""
     parts = [
-        "arcs AS MATERIALIZED (SELECT DISTINCT from_table AS x, to_table AS y FROM relations)",
-        "voters AS MATERIALIZED (SELECT x, y FROM arcs UNION ALL SELECT y, x FROM arcs UNION ALL SELECT tbl, tbl FROM tabs)",
-        "l0 AS MATERIALIZED (SELECT tbl, tbl AS label FROM tabs)",
+        "arcs AS MATERIALIZED (SELECT DISTINCT from_table AS x, to_table AS y FROM relations WHERE from_table <> to_table)",
+        "voters AS MATERIALIZED (SELECT x, y FROM arcs UNION ALL SELECT y, x FROM arcs)",
+        "ord AS MATERIALIZED (SELECT tbl, row_number() OVER (ORDER BY md5(tbl), tbl) AS k FROM tabs)",
+        """graph AS MATERIALIZED (SELECT list(tbl ORDER BY k) AS names, list(beside ORDER BY k) AS beside, count(*) AS n FROM (
+           SELECT o.tbl, o.k, coalesce(list(p.k) FILTER (p.k IS NOT NULL), []) AS beside FROM ord o LEFT JOIN voters v ON v.x = o.tbl LEFT JOIN ord p ON p.tbl = v.y GROUP BY o.tbl, o.k))""",
+        """spread(step, i, labels, moved, done) AS (SELECT 0, 1::BIGINT, names, false, false FROM graph UNION ALL
+           SELECT step + 1, CASE WHEN i = n THEN 1 ELSE i + 1 END, list_transform(range(1, n + 1), lambda k: CASE WHEN k = i THEN best ELSE labels[k] END),
+             i < n AND (moved OR best <> labels[i]), i = n AND NOT (moved OR best <> labels[i])
+           FROM (SELECT *, CASE WHEN len(votes) = 0 THEN labels[i] ELSE list_sort(list_transform(list_distinct(votes), lambda v: {'n': -len(list_filter(votes, lambda w: w = v)), 'v': v}))[1].v END AS best
+             FROM (SELECT s.*, g.n, list_transform(g.beside[s.i], lambda k: s.labels[k]) AS votes FROM spread s, graph g WHERE NOT s.done)))""",
+        "settled AS MATERIALIZED (SELECT unnest(names) AS tbl, unnest(labels) AS label FROM (SELECT labels FROM spread ORDER BY step DESC LIMIT 1), graph)",
     ]
-    for k in range(1, rounds + 1):
-        votes = f"(SELECT x, label, count(*) AS n FROM voters JOIN l{k - 1} ON y = tbl GROUP BY x, label)"
-        parts.append(f"l{k} AS MATERIALIZED (SELECT x AS tbl, arg_min(label, (-n, label)) AS label FROM {votes} GROUP BY x)")
-    select = f'SELECT tbl AS "table", community FROM (SELECT tbl, count(*) OVER (PARTITION BY label) AS n, min(tbl) OVER (PARTITION BY label) AS community FROM l{rounds}) WHERE n > 1'
+    select = 'SELECT tbl AS "table", community FROM (SELECT tbl, count(*) OVER (PARTITION BY label) AS n, min(tbl) OVER (PARTITION BY label) AS community FROM settled) WHERE n > 1'
     return chained(select, ",\n".join(parts))
 
 
@@ -418,3 +423,30 @@ ORACLES["analysis_summary"] = f"""WITH told AS MATERIALIZED ({ORACLES["analysis"
     SELECT section::INT AS section, 0 AS place, heading || ': ' || (SELECT count(*) FROM told t WHERE t.kind = named.kind) AS text FROM named UNION ALL
     SELECT section::INT, r::INT, CASE WHEN kind = 'orphan' THEN item ELSE item || ' (' || regexp_replace(CAST(score AS VARCHAR), '\\.0$', '') || ')' END
     FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY score DESC, item) AS r FROM told) JOIN named USING (kind) WHERE r <= most"""
+ORACLES["summary_text"] = f"""WITH told AS MATERIALIZED ({ORACLES["analysis"]}), shown AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY CASE WHEN kind = 'orphan' THEN 0 ELSE score END DESC, item) AS r FROM told)
+    SELECT 0::INT AS section, '' AS place, '# Schema Summary — ' || (SELECT count(*) FROM ({ORACLES["table_profile"]})) || ' tables, ' || (SELECT count(*) FROM ({ORACLES["final_relations"]})) || ' relations' AS text
+    UNION ALL SELECT * FROM (VALUES (1, '', ''), (2, '', '可用配置表（按业务域分组）：'), (4, '', ''), (5, '', '## 分析洞察'))
+    UNION ALL SELECT 3, domain, '[' || domain || '] ' || replace(tables, ',', ', ') FROM ({ORACLES["schema_summary"]})
+    UNION ALL SELECT 6, '', '核心枢纽表 Top5: ' || string_agg(item || '(' || CAST(CAST(floor(score * 10 + 0.5) / 10 AS DECIMAL(10, 1)) AS VARCHAR) || ')', ', ' ORDER BY r) FROM shown WHERE kind = 'centrality' AND r <= 5 HAVING count(*) > 0
+    UNION ALL SELECT 7, '', '孤立表(' || count(*) || '): ' || string_agg(item, ', ' ORDER BY r) FILTER (r <= 15) || CASE WHEN count(*) > 15 THEN '...' ELSE '' END FROM shown WHERE kind = 'orphan' HAVING count(*) > 0
+    UNION ALL SELECT 8, '', '循环依赖: ' || CASE WHEN count(*) > 0 THEN count(*) || ' 个' ELSE '无' END FROM told WHERE kind = 'cycle'
+    UNION ALL SELECT 9, '', '业务模块数: ' || count(*) FROM told WHERE kind = 'module' HAVING count(*) > 0"""
+ORACLES["chunks_text"] = f"""WITH lines AS (SELECT "table", ['', '#' || string_split(chunk, chr(10))[1]] || string_split(chunk, chr(10))[2:] AS l FROM ({ORACLES["llm_chunks"]}))
+    SELECT '' AS "table", 0::INT AS place, '# Schema Graph LLM Export' AS text
+    UNION ALL SELECT '', 1, '# ' || (SELECT count(*) FROM ({ORACLES["table_profile"]})) || ' tables, ' || (SELECT count(*) FROM ({ORACLES["final_relations"]})) || ' relations'
+    UNION ALL SELECT "table", (generate_subscripts(l, 1) - 1)::INT, unnest(l) FROM lines"""
+
+
+def _sheet_chain(select: str) -> str:
+    """The chain over what ``library_refresh`` leaves of four tables written as sheets: all cells are texts."""
+    kept = {"nation": "nation", "customer": "customer", "supplier": "supplier", "client": "(SELECT * FROM customer WHERE c_custkey % 2 = 0)"}
+    cells = []
+    for table, source in kept.items():
+        for k, c in enumerate(SOURCES["customer" if table == "client" else table].split()):
+            name, kind = c.split(":")
+            cells.append(f"SELECT '{table}' AS tbl, {k} AS ord, '{name}' AS col, 'str' AS kind, {_text(name, kind)} AS value, count(*) AS n FROM {source} GROUP BY ALL")
+    parts = [f"{n} AS MATERIALIZED ({BODY[n] if n != 'cells' else chr(10) + ' UNION ALL '.join(cells)})" for n in _needed(select)]
+    return "WITH " + ",\n".join(parts) + "\n" + select
+
+
+ORACLES["library_refresh"] = _sheet_chain(f"SELECT {EDGE} FROM relations")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -16,6 +17,7 @@ from ..operators import discovery as D
 from ..operators import graph as G
 from ..operators import profile as P
 from ..operators import retrieval as R
+from ..sources import files
 from .catalog import Catalog
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -463,3 +465,39 @@ def report_nodes(c):
 @query
 def report_edges(c):
     return A.report_edges(c.relations)
+
+
+@query
+def summary_text(c):
+    return A.summary_text(c.tables, c.relations, c.analysis)
+
+
+@query
+def chunks_text(c):
+    return A.chunks_text(c.tables, c.columns, c.relations)
+
+
+@query
+def library_refresh(c):
+    """The relations of a folder of sheets after some of them changed, went and came: what one build of the last state gives.
+
+    The sheets are written from the given tables: first nation without some rows, customer and region; then nation whole, supplier and
+    a sheet of every other customer come, and region goes.
+    """
+    from ..sources.versions import Versions
+    from .library import Library
+    from .store import shared_folder
+
+    folder = f"{shared_folder(c.spark)}/library-{uuid.uuid4().hex[:12]}"
+    lib = Library(c.spark, f"{folder}/sheets", f"{folder}/store")
+    put = lambda name, df: files.write_sheet(df, f"{folder}/sheets/{name}.csv")
+    put("nation", c.sources["nation"].where("n_nationkey < 20"))
+    put("customer", c.sources["customer"])
+    put("region", c.sources["region"])
+    lib.refresh()
+    put("nation", c.sources["nation"])
+    put("supplier", c.sources["supplier"])
+    put("client", c.sources["customer"].where("c_custkey % 2 = 0"))
+    Versions(c.spark, folder).remove(f"{folder}/sheets/region.csv")
+    lib.refresh()
+    return lib.catalog.relations.select(*EDGE)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
@@ -11,7 +12,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.values import as_text
 from . import delimited, workbook
+from .versions import Versions
 
 #: Rows of a sheet that are handed on at a time.
 CHUNK_ROWS = 20_000
@@ -89,6 +92,15 @@ def _chunk(source: str, at: int, rows: list[tuple[int, list[str | None]]], path:
     return pd.DataFrame({"source": source, "row_index": range(at, at + len(rows)), "row": [n for n, _ in rows], "cells": [c for _, c in rows], "path": path})
 
 
+def write_sheet(df: DataFrame, path: str) -> None:
+    """A table as one CSV file with a row of names; values as texts, as profiles have them.  A file that is there is replaced."""
+    store, part = Versions(df.sparkSession, path.rsplit("/", 1)[0]), f"{path.rsplit('/', 1)[0]}/.part-{uuid.uuid4().hex}"
+    texts = df.select(*(as_text(F.col(f"`{f.name}`"), f.dataType, whole=True).alias(f.name) for f in df.schema.fields))
+    texts.coalesce(1).write.option("header", True).option("escape", '"').option("emptyValue", "").csv(part)
+    store.move(store.found(f"{part}/part-*")[0], path)
+    store.remove(part)
+
+
 def table(rows: DataFrame, source: str, offset: int, names: list[str]) -> DataFrame:
     """One source's rows behind its header as a table of text columns."""
     data = rows.where((F.col("source") == source) & (F.col("row_index") >= offset))

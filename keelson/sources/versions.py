@@ -62,6 +62,20 @@ class Versions:
         none = self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0)
         context.rename(context.makeQualified(draft), context.makeQualified(self._at(self._pointer(number))), none)
 
+    def remove(self, path: str) -> None:
+        self._files.delete(self._at(path), True)
+
+    def move(self, source: str, target: str) -> None:
+        """Renames a file; what is at the target is replaced."""
+        files = self._files
+        files.mkdirs(self._at(target).getParent())
+        files.delete(self._at(target), False)
+        if not files.rename(self._at(source), self._at(target)):
+            raise OSError(f"cannot rename {source} to {target}")
+
+    def found(self, pattern: str) -> list[str]:
+        return [x.getPath().toString() for x in self._files.globStatus(self._at(pattern)) or []]
+
     def prune(self, keep: int = 2) -> None:
         """Removes all but the latest ``keep`` versions, and the data that none of those names.  Not while another writes."""
         numbers = self._numbers()
