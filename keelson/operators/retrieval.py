@@ -10,10 +10,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vocabulary import DOMAIN_RULES
+from ..plans.store import stored
 from .assets import relation_graph
 
 #: Vectors, and queries, that are compared in one group.
 VECTOR_ROWS, VECTOR_QUERIES = 20_000, 1000
+#: Vectors that an inverted file is fitted on.
+SAMPLED = 16_384
 STOP = " ,.?!的了是和与在"
 
 
@@ -104,6 +107,88 @@ def _nearest(k: int):
     return run
 
 
+class VectorIndex:
+    """An inverted file: vectors in lists by the nearest of some centroids, searched list by list with exact similarities.
+
+    Centroids, and the number of lists to look into, are fitted on a sample (SAMPLED rows by a hash of their key, at most): as many lists as
+    hold ``target`` of the k nearest of the sample's own vectors, which lie farther apart than all vectors do.  Every vector is in a list.
+    """
+
+    def __init__(self, vectors: DataFrame, key: str, vector: str, k: int = 10, target: float = 0.97):
+        rows = vectors.select(F.col(key).cast("bigint").alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("v")).where("id is not null and v is not null")
+        rows = rows.where(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x) > 0)
+        self.key, self.k = key, k
+        some = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLED).toArrow()
+        lists = [np.array(x.as_py()) for x in some.column("v")]
+        sizes = np.array([len(x) for x in lists], int)
+        self.dims = int(np.bincount(sizes).argmax()) if len(sizes) else 0
+        unit = np.stack([x / np.sqrt(x @ x) for x in lists if len(x) == self.dims]) if len(sizes) else np.zeros((0, 0))
+        self.centroids = _centroids(unit, max(1, int(len(unit) ** 0.5) // 2))
+        self.probes = _probes(unit, self.centroids, k, target)
+        self.rows = stored(rows.mapInArrow(_listed(self.dims, self.centroids, 1), "id bigint, v array<double>, list int"), "vector-lists")
+
+    def nearest(self, every: int = 100) -> DataFrame:
+        """(query, key, similarity): for each vector whose key ``every`` divides, the k nearest that its lists hold, by cosine, in six decimals; ties by key."""
+        asked = self.rows.where(F.col("id") % every == 0).select("id", "v").mapInArrow(_listed(self.dims, self.centroids, self.probes), "id bigint, v array<double>, list int")
+        sizes = self.rows.groupBy("list").agg(F.count("*").alias("n")).select("list", F.greatest(F.lit(1), F.ceil(F.col("n") / VECTOR_ROWS)).cast("int").alias("parts"))
+        rows = self.rows.join(sizes, "list").select("id", "v", "list", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"))
+        asked = asked.join(sizes, "list").select("id", "v", "list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        blocks = max(1, -(-asked.count() // VECTOR_QUERIES // max(1, len(self.centroids))))
+        block = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int").alias("block")
+        rows = rows.select("id", "v", "list", "part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+        met = rows.groupBy("list", "part", "block").cogroup(asked.select("id", "v", "list", "part", block).groupBy("list", "part", "block"))
+        w = Window.partitionBy("query").orderBy(F.desc("similarity"), "id")
+        found = met.applyInArrow(_nearest(self.k), "query bigint, id bigint, similarity double").withColumn("r", F.row_number().over(w))
+        return found.where(F.col("r") <= self.k).select("query", F.col("id").alias(self.key), "similarity")
+
+
+def _centroids(unit: np.ndarray, n: int, rounds: int = 8) -> np.ndarray:
+    """Directions that vectors gather around."""
+    if not len(unit):
+        return np.zeros((1, 0))
+    out = unit[np.random.default_rng(1).choice(len(unit), n, replace=False)]
+    for _ in range(rounds):
+        near = (unit @ out.T).argmax(1)
+        sums = np.zeros_like(out)
+        np.add.at(sums, near, unit)
+        size = np.sqrt((sums * sums).sum(1))[:, None]
+        out = np.where(size > 0, sums / np.maximum(size, 1e-300), out)
+    return out
+
+
+def _probes(unit: np.ndarray, centroids: np.ndarray, k: int, target: float) -> int:
+    """Lists, nearest first, that hold ``target`` of the k nearest of some vectors of a sample."""
+    if len(unit) < 2:
+        return 1
+    asked = unit[:: max(1, len(unit) // 500)]
+    near = np.argsort(-(asked @ unit.T), axis=1, kind="stable")[:, 1 : k + 1]
+    of, order = (unit @ centroids.T).argmax(1), np.argsort(-(asked @ centroids.T), axis=1)
+    place = np.empty_like(order)
+    np.put_along_axis(place, order, np.arange(order.shape[1])[None], axis=1)
+    needed = np.sort(np.take_along_axis(place, of[near], axis=1).ravel())
+    return int(needed[min(len(needed) - 1, int(np.ceil(target * len(needed))) - 1)]) + 1
+
+
+def _listed(dims: int, centroids: np.ndarray, n: int):
+    """Each vector with each of the n lists nearest to it; those of another dimension with list -1."""
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            vectors = batch.column("v")
+            size = np.diff(vectors.offsets.to_numpy())
+            own = np.flatnonzero(size == dims)
+            m = vectors.take(pa.array(own)).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims) if dims else np.zeros((len(own), 0))
+            closest = np.argsort(-(m @ centroids.T), axis=1, kind="stable")[:, :n]
+            other = np.flatnonzero(size != dims)
+            at = np.concatenate((np.repeat(own, closest.shape[1]), other))
+            lists = np.concatenate((closest.ravel(), np.full(len(other), -1))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(at)), vectors.take(pa.array(at)), pa.array(lists)], names=["id", "v", "list"])
+
+    return run
+
+
 def recall_tables(tables: DataFrame, columns: DataFrame, question: str, near: DataFrame | None = None) -> DataFrame:
     """(table, route): tables by vector (1, if given), by column names (2), by words of their domain (3); the first route of each."""
     by_column = find_by_column(columns, question).select("table", F.lit(2).alias("route"))

@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -223,3 +224,19 @@ def test_long_lists_are_taken_apart(spark):
     ids = "|".join(str(100000 + k) for k in range(90))
     c = Catalog(spark, {"t": spark.createDataFrame([(1, ids), (2, "100001|5"), (3, " " + ids)], "id int, item_ids string")})
     assert {r.value for r in c.norm.where("column = 'item_ids'").collect()} == {*ids.split("|"), "5"}
+
+
+def test_inverted_file(spark):
+    """Of gathered vectors a few lists hold nearly all neighbours; what is found has exact similarities; every vector is in a list."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(20, 16))
+    rows = [(k, [float(x) for x in centres[k % 20] + rng.normal(size=16) * 0.3]) for k in range(3000)] + [(3000, [1.0, 2.0]), (3100, [2.0, 4.1]), (3200, None), (3300, [0.0] * 16)]
+    vectors = spark.createDataFrame(rows, "id long, v array<double>").repartition(3)
+    index = R.VectorIndex(vectors, "id", "v")
+    exact = {(r.query, r.id): r.similarity for r in R.vector_neighbours(vectors, "id", "v", 10).collect()}
+    found = {(r.query, r.id): r.similarity for r in index.nearest().collect()}
+    assert index.rows.count() == 3002 and index.probes < len(index.centroids) // 2
+    assert len(found.keys() & exact.keys()) >= 0.9 * len(exact) and all(exact[x] == found[x] for x in found.keys() & exact.keys())
+    assert found[(3000, 3100)] == exact[(3000, 3100)]
+    none = R.VectorIndex(vectors.where("id < 0"), "id", "v")
+    assert none.nearest().count() == 0
