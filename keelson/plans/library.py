@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import discovery as D
-from ..operators import profile as P
 from ..sources import files
 from ..sources.versions import Versions
 from ..streaming.incremental import file_changes
