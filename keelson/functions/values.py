@@ -118,11 +118,12 @@ def has_any(text: Column, words: tuple[str, ...]) -> Column:
 
 
 def excel_letter(index: Column) -> Column:
-    """A, B, ... Z, AA, ... for a column number from 0 (three letters at most)."""
-    i = index.cast("int")
-    letter = lambda k: F.char(65 + F.pmod(k, F.lit(26)))
-    return (
-        F.when(i < 26, letter(i))
-        .when(i < 702, F.concat(F.char(64 + F.floor(i / 26)), letter(i)))
-        .otherwise(F.concat(F.char(64 + F.floor((i - 26) / 676)), F.char(65 + F.pmod(F.floor((i - 26) / 26), F.lit(26))), letter(i)))
-    )
+    """A, B, ... Z, AA, ... for a column number from 0 (seven letters at most)."""
+
+    def further(state: Column, _: Column) -> Column:
+        n, s = state["n"] - 1, state["s"]
+        letter = F.char(65 + F.pmod(n, F.lit(26)))
+        return F.struct(F.floor((n - F.pmod(n, F.lit(26))) / 26).alias("n"), F.when(n < 0, s).otherwise(F.concat(letter, s)).alias("s"))
+
+    start = F.struct((index.cast("bigint") + 1).alias("n"), F.lit("").alias("s"))
+    return F.when(index.isNotNull(), F.aggregate(F.sequence(F.lit(1), F.lit(7)), start, further)["s"])

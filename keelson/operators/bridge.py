@@ -14,10 +14,17 @@ def entity_tables(tables: DataFrame) -> DataFrame:
     rows = [(e, k, n) for e, names in ENTITIES.items() for k, n in enumerate(names)]
     known = tables.sparkSession.createDataFrame(rows, "entity string, place int, name string")
     low, stem = F.lower("table"), without_ending(F.col("table"), STEM_ENDINGS)
-    how = F.when(low == F.col("name"), 0).when(stem == F.col("name"), 1).when(low.startswith(F.concat("name", F.lit("_"))), 2)
-    return tables.join(F.broadcast(known), low.startswith(F.col("name"))).withColumn("how", how).where("how is not null").select(
-        "entity", "table", F.struct("place", "how", F.length("table").alias("n"), "table").alias("rank")
-    )
+    cut = F.split(low, "_")
+    begun = F.transform(F.sequence(F.lit(1), F.size(cut)), lambda n: F.array_join(F.slice(cut, F.lit(1), n), "_"))
+    asked = tables.select("table", F.explode(F.array_distinct(F.concat(F.array(low, stem), begun))).alias("name"))
+    how = F.when(low == F.col("name"), 0).when(stem == F.col("name"), 1).otherwise(2)
+    return asked.join(known, "name").select("entity", "table", F.struct("place", how.alias("how"), F.length("table").alias("n"), "table").alias("rank"))
+
+
+def chinese_names(words: DataFrame, ending: str) -> DataFrame:
+    """(word, entity, column): what a Chinese sheet would call the column that refers to a word's table, one row for each entity that the word may stand for."""
+    rows = [(n, e) for e, names in ENTITIES.items() for n in names]
+    return words.join(words.sparkSession.createDataFrame(rows, "word string, entity string"), "word").withColumn("column", F.concat("entity", F.lit(ending)))
 
 
 def bridged(columns: DataFrame, tables: DataFrame) -> DataFrame:

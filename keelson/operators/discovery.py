@@ -233,6 +233,22 @@ def full_names(spark: SparkSession) -> DataFrame:
     return abbreviations(spark).groupBy("full_name").agg(F.array_join(F.array_sort(F.collect_set("abbreviation")), ",").alias("abbreviations"))
 
 
+def words(texts: DataFrame) -> DataFrame:
+    """(source, word, n_texts): words of letters and underscores in (source, text), in lower case, and how many of a source's texts hold each."""
+    found = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit("([A-Za-z_]+)"), 1), F.lower))
+    return texts.select("source", F.explode(found).alias("word")).groupBy("source", "word").agg(F.count("*").alias("n_texts"))
+
+
+def abbreviations_among(found: DataFrame) -> DataFrame:
+    """(source, word, place, full_name, n_texts): what the words that are abbreviations stand for."""
+    return found.join(abbreviations(found.sparkSession), F.col("word") == F.col("abbreviation")).select("source", "word", "place", "full_name", "n_texts")
+
+
+def full_names_among(found: DataFrame) -> DataFrame:
+    """(source, word, abbreviations, n_texts): how the words that have abbreviations are shortened."""
+    return found.join(full_names(found.sparkSession), F.col("word") == F.col("full_name")).select("source", "word", "abbreviations", "n_texts")
+
+
 def expanded_names(names: DataFrame) -> DataFrame:
     """(column, expansion): what a column name without its ending may stand for, itself included."""
     known = abbreviations(names.sparkSession)

@@ -226,6 +226,12 @@ def _walks(hops: int, least: float, where: str = "true") -> str:
 
 _SHORTEST = "SELECT src, dst, hops::BIGINT AS hops, path FROM (SELECT *, row_number() OVER (PARTITION BY src, dst ORDER BY hops, confidence DESC, path) AS r FROM walks) WHERE r = 1"
 
+_WORDS = "words(source, word, n_texts) AS (SELECT source, word, count(*) FROM (SELECT source, unnest(list_distinct(list_transform(regexp_extract_all(t, '[A-Za-z_]+'), lambda x: lower(x)))) AS word FROM (" + " UNION ALL ".join(
+    f"SELECT '{t}' AS source, {x} AS t FROM {t}" for t, x in (("documents", "text"), ("conversations", "text"), ("pages", "html"), ("part", "p_name"))
+) + " UNION ALL SELECT 'columns', col FROM cols)) GROUP BY 1, 2)"
+_LABELS = _WORDS + ", entities(entity, place, name) AS (VALUES " + ", ".join(f"('{e}', {k}, '{n}')" for e, names in W.ENTITIES.items() for k, n in enumerate(names)) + """),
+  labels(source, "column") AS (SELECT DISTINCT source, entity || '编号' FROM words JOIN entities ON word = name)"""
+
 ORACLES: dict[str, str] = {
     "column_stats": chained('SELECT tbl AS "table", col AS "column", uniq AS unique_count, nulls AS null_count, total AS total_count FROM stats'),
     "column_samples": chained('SELECT tbl AS "table", col AS "column", value, rank FROM ranked WHERE rank <= 20'),
@@ -242,7 +248,13 @@ ORACLES: dict[str, str] = {
         + ") AS v(k, d, w) WHERE contains(lower(tbl), w) ORDER BY length(w) DESC, k LIMIT 1) AS domain FROM tabs"
     ),
     "graph_stats": chained("SELECT (SELECT count(DISTINCT tbl) FROM cols) AS n_tables, (SELECT count(*) FROM cols) AS n_columns, (SELECT count(*) FROM relations) AS n_relations"),
-    "header_rows": "SELECT * FROM (VALUES ('a', 2::BIGINT), ('b', 3::BIGINT), ('c', 0::BIGINT), ('d', 2::BIGINT)) AS v(source, header_rows)",
+    "header_rows": """WITH rows AS (SELECT 'document:' || doc_id AS source, i - 1 AS k, string_split(lines[i], ' ') AS cells FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents), range(1, 6) AS r(i) WHERE i <= len(lines)
+        UNION ALL SELECT 'conversation:' || conv_id, turn, string_split(text, ' ') FROM conversations WHERE turn < 5),
+      filled AS (SELECT source, k, list_filter(list_transform(cells, lambda x: trim(x)), lambda x: x <> '') AS f FROM rows WHERE cells IS NOT NULL),
+      kinds AS (SELECT source, k, CASE WHEN len(f) = 0 THEN 'blank' WHEN len(list_filter(f, lambda x: list_contains([""" + ", ".join(f"'{w}'" for w in W.TYPE_WORDS) + """], lower(x)))) / len(f) > 0.7 THEN 'meta'
+        WHEN len(list_filter(f, lambda x: regexp_full_match(x, '[A-Za-z_][A-Za-z0-9_]*'))) / len(f) > 0.8 THEN 'meta' WHEN len(list_filter(f, lambda x: try_cast(x AS DOUBLE) IS NOT NULL)) / len(f) < 0.1 THEN 'text' ELSE 'data' END AS kind FROM filled),
+      told AS (SELECT source, k, row_number() OVER w - 1 AS place, kind IN ('meta', 'blank') OR (kind = 'text' AND coalesce(bool_or(kind = 'meta') OVER (PARTITION BY source ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false)) AS header FROM kinds WINDOW w AS (PARTITION BY source ORDER BY k))
+      SELECT source, coalesce(min(place) FILTER (NOT header), count(*))::BIGINT AS header_rows FROM told GROUP BY 1""",
     "schema_diff": chained("""SELECT 'part' AS "table", 'p_size' AS "column", 'added' AS change FROM cols WHERE col = 'p_size' UNION ALL SELECT 'nation', 'n_comment', 'removed'
       UNION ALL SELECT tbl, col, 'type_changed' FROM cols WHERE col = 'o_totalprice' AND dtype <> 'str'"""),
     "normalized_values": chained('SELECT tbl AS "table", col AS "column", count(*) AS n_values, min(value) AS first_value, max(value) AS last_value FROM norm GROUP BY 1, 2'),
@@ -254,12 +266,14 @@ ORACLES: dict[str, str] = {
         f"""SELECT DISTINCT "column", expansion FROM (SELECT c AS "column", {_strip('c', W.LOOKUP_ENDINGS)} AS expansion FROM (SELECT DISTINCT col AS c FROM cols UNION SELECT unnest(['sid', 'tid_id', 'mid']))
         UNION ALL SELECT c, full_name FROM (SELECT DISTINCT col AS c FROM cols UNION SELECT unnest(['sid', 'tid_id', 'mid'])) JOIN known ON abbreviation = {_strip('c', W.LOOKUP_ENDINGS)})"""
     ),
-    "abbrev_lookup": chained("SELECT abbreviation, place::BIGINT AS place, full_name FROM known"),
-    "full_name_lookup": chained("SELECT full_name, string_agg(DISTINCT abbreviation, ',' ORDER BY abbreviation) AS abbreviations FROM known GROUP BY 1"),
+    "abbrev_lookup": chained("SELECT source, word, place::BIGINT AS place, full_name, n_texts FROM words JOIN known ON abbreviation = word", _WORDS),
+    "full_name_lookup": chained("SELECT source, word, string_agg(DISTINCT abbreviation, ',' ORDER BY abbreviation) AS abbreviations, n_texts FROM words JOIN known ON full_name = word GROUP BY 1, 2, 4", _WORDS),
     "clean_columns": chained(f'SELECT tbl AS "table", col AS "column", {_strip("col", W.CLEAN_ENDINGS)} AS clean FROM cols'),
     "subsequence_match": chained("""SELECT DISTINCT col AS "column", t.tbl AS "table" FROM cols c, tabs t
       WHERE regexp_matches(t.tbl, '^.*' || array_to_string(list_transform(string_split(left(col, 4), ''), lambda x: regexp_escape(x)), '.*') || '.*$')"""),
-    "excel_letters": "SELECT i AS index, CASE WHEN i < 26 THEN chr((65 + i)::INT) WHEN i < 702 THEN chr((64 + i // 26)::INT) || chr((65 + i % 26)::INT) ELSE 'A' || chr((65 + (i - 702) // 26)::INT) || chr((65 + i % 26)::INT) END AS letter FROM range(800) AS t(i)",
+    "excel_letters": """WITH RECURSIVE sheets AS (SELECT doc_id, list_max(list_transform(string_split(text, chr(10)), lambda x: len(string_split(x, ' ')))) AS n_columns FROM documents),
+      named(doc_id, n_columns, n, letters) AS (SELECT doc_id, n_columns, n_columns, '' FROM sheets UNION ALL SELECT doc_id, n_columns, (n - 1) // 26, chr((65 + (n - 1) % 26)::INT) || letters FROM named WHERE n > 0)
+      SELECT doc_id, n_columns, CASE WHEN n_columns IS NOT NULL THEN letters END AS last_letter FROM named WHERE coalesce(n, 0) = 0""",
     "candidate_columns": chained('SELECT tbl AS "table", col AS "column", dtype, row_count, n AS unique_values, idlike AS is_id_like, is_pk, priority::BIGINT AS priority FROM cand'),
     "value_inverted_index": chained("SELECT value, k AS n_columns FROM wide"),
     "column_pair_overlap": chained("SELECT tbl_a AS table_a, col_a AS column_a, tbl_b AS table_b, col_b AS column_b, shared, gated FROM pairs"),
@@ -272,8 +286,12 @@ ORACLES: dict[str, str] = {
     "naming_relations": chained(f"SELECT {EDGE} FROM naming"),
     "abbrev_mining": chained("SELECT abbreviation, target AS to_table, base AS confidence FROM patterns"),
     "abbrev_relations": chained(f"SELECT {EDGE} FROM abbreviated"),
-    "column_index_cn": "SELECT * FROM (VALUES ('技能', 't'), ('英雄', 't'), ('奖励', 't')) AS v(segment, tables)",
-    "cn_bridge": "SELECT * FROM (VALUES ('英雄主动技能ID', 'skill'), ('英雄编号', 'hero')) AS v(\"column\", to_table)",
+    "column_index_cn": chained("""SELECT e.entity AS segment, string_agg(DISTINCT source, ',' ORDER BY source) AS tables FROM labels, (SELECT DISTINCT entity FROM entities) e
+      WHERE contains(regexp_replace("column", '[^\u4e00-\u9fff]', '', 'g'), e.entity) GROUP BY 1""", _LABELS),
+    "cn_bridge": chained(f"""SELECT "column", tbl AS to_table FROM (SELECT DISTINCT "column" FROM labels) JOIN (
+        SELECT entity, word AS tbl, place, CASE WHEN word = name THEN 0 WHEN {_strip('word', W.STEM_ENDINGS)} = name THEN 1 WHEN starts_with(word, name || '_') THEN 2 END AS how
+        FROM (SELECT DISTINCT word FROM words), entities WHERE starts_with(word, name)) ON how IS NOT NULL AND contains("column", entity)
+      QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY strpos(reverse("column"), reverse(entity)), length(entity) DESC, place, how, length(tbl), tbl) = 1""", _LABELS),
     "transitive_relations": chained(f"SELECT {EDGE}, evidence FROM transitive"),
     "feedback_apply": chained(f"""SELECT from_table, from_column, to_table, to_column, relation_type, CASE WHEN (from_column = 'c_nationkey' AND to_column = 'n_nationkey') OR (from_column = 'n_nationkey' AND to_column = 'c_nationkey') THEN 1.0::DOUBLE ELSE confidence END AS confidence, discovery_method
       FROM direct WHERE NOT (from_column = 'n_regionkey' AND to_column = 'r_regionkey') AND NOT (from_column = 'r_regionkey' AND to_column = 'n_regionkey')"""),

@@ -13,6 +13,7 @@ from ..functions import values as V
 from ..functions.vocabulary import TYPE_WORDS
 from ..operators import analysis as N
 from ..operators import assets as A
+from ..operators import bridge as B
 from ..operators import discovery as D
 from ..operators import graph as G
 from ..operators import profile as P
@@ -24,13 +25,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 EDGE = ("from_table", "from_column", "to_table", "to_column", "relation_type", "confidence", "discovery_method")
 
-#: Rows that the queries on untyped sources, feedback and old schemas start from.
-SHEETS = (
-    ("a", 0, ["id", "name"]), ("a", 1, ["int", "string"]), ("a", 2, ["1", "x y"]), ("b", 0, ["int", "string"]), ("b", 1, ["key of it", "what it is"]),
-    ("b", 2, ["", None]), ("b", 3, ["7", "8"]), ("c", 0, ["1", "2"]), ("d", 0, ["alpha", "beta"]), ("d", 1, ["gamma", "delta"]), ("d", 2, ["5", "x"]),
-)
+#: Columns of text whose words the lookups of names take.
+TEXTS = (("documents", "text"), ("conversations", "text"), ("pages", "html"), ("part", "p_name"))
+#: Feedback that relations are queried with.
 FEEDBACK = (("customer.c_nationkey->nation.n_nationkey", "confirmed"), ("region.r_regionkey->nation.n_regionkey", "rejected"))
-CN_TABLES, CN_COLUMNS = ("hero", "skill", "hero_level"), ("英雄主动技能ID", "英雄编号", "名称", "奖励_id")
+CN_ENDING = "编号"
 
 
 def query(f: Callable[[Catalog], DataFrame]) -> Callable[[Catalog], DataFrame]:
@@ -99,9 +98,20 @@ def graph_stats(c):
     return n.crossJoin(c.relations.agg(F.count("*").alias("n_relations")))
 
 
+def _words(c: Catalog) -> DataFrame:
+    """The words of the texts, and those that are names of columns."""
+    texts = (c.sources[t].select(F.lit(t).alias("source"), F.col(x).alias("text")) for t, x in TEXTS)
+    return D.words(reduce(DataFrame.union, texts, c.columns.select(F.lit("columns"), "column").toDF("source", "text")))
+
+
 @query
 def header_rows(c):
-    rows = c.spark.createDataFrame(list(SHEETS), "source string, row_index int, cells array<string>")
+    """Documents as sheets: a line is a row, its words are the cells; and conversations, where a turn is a row."""
+    of = lambda kind, key: F.concat_ws(":", F.lit(kind), key).alias("source")
+    cells = lambda text: F.split(text, " ").alias("cells")
+    lines = c.sources["documents"].select("doc_id", F.posexplode(F.split("text", "\n", 6)).alias("row_index", "line"))
+    turns = c.sources["conversations"].select(of("conversation", F.col("conv_id")), F.col("turn").cast("int").alias("row_index"), cells(F.col("text")))
+    rows = lines.select(of("document", F.col("doc_id")), "row_index", cells(F.col("line"))).union(turns)
     return P.header_rows(rows, TYPE_WORDS).withColumn("header_rows", F.col("header_rows").cast("bigint"))
 
 
@@ -146,12 +156,12 @@ def expand_column_names(c):
 
 @query
 def abbrev_lookup(c):
-    return D.abbreviations(c.spark).withColumn("place", F.col("place").cast("bigint"))
+    return D.abbreviations_among(_words(c)).withColumn("place", F.col("place").cast("bigint"))
 
 
 @query
 def full_name_lookup(c):
-    return D.full_names(c.spark)
+    return D.full_names_among(_words(c))
 
 
 @query
@@ -166,7 +176,10 @@ def subsequence_match(c):
 
 @query
 def excel_letters(c):
-    return c.spark.range(800).select(F.col("id").alias("index"), V.excel_letter(F.col("id")).alias("letter"))
+    """The last column that a document takes as a sheet with a row a line and a column a word."""
+    width = F.array_max(F.transform(F.split("text", "\n"), lambda line: F.size(F.split(line, " "))))
+    sheets = c.sources["documents"].select("doc_id", width.cast("bigint").alias("n_columns"))
+    return sheets.select("doc_id", "n_columns", V.excel_letter(F.col("n_columns") - 1).alias("last_letter"))
 
 
 @query
@@ -226,16 +239,14 @@ def abbrev_relations(c):
 
 @query
 def cn_bridge(c):
-    from ..operators.bridge import bridged
-
-    names = c.spark.createDataFrame([(n,) for n in CN_COLUMNS], "column string")
-    tables = c.spark.createDataFrame([(n,) for n in CN_TABLES], "table string")
-    return bridged(names, tables)
+    """Columns with Chinese names for the words in the texts, against tables named by the words."""
+    words = _words(c).select("word").distinct()
+    return B.bridged(B.chinese_names(words, CN_ENDING).select("column"), words.withColumnRenamed("word", "table"))
 
 
 @query
 def column_index_cn(c):
-    return A.cn_segments(c.spark.createDataFrame([("t", n) for n in CN_COLUMNS], "table string, column string"))
+    return A.cn_segments(B.chinese_names(_words(c), CN_ENDING).select(F.col("source").alias("table"), "column"))
 
 
 @query

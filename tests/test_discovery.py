@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from keelson.functions.vocabulary import TYPE_WORDS
 from keelson.operators import assets as A, bridge, discovery as D, graph as G, profile as P, retrieval as R
 from keelson.plans.catalog import Catalog
-from keelson.plans.queries import SHEETS
 from keelson.sources import feedback
 from keelson.streaming.incremental import file_changes, refreshed
 
@@ -164,6 +163,12 @@ def test_long_cycles_and_chains(spark):
     assert tuple(G.critical_path(edges(spark, *chain, *ring)).first()) == (">".join(f"t{k:02}" for k in range(19)), 18)
 
 
+SHEETS = (
+    ("a", 0, ["id", "name"]), ("a", 1, ["int", "string"]), ("a", 2, ["1", "x y"]), ("b", 0, ["int", "string"]), ("b", 1, ["key of it", "what it is"]),
+    ("b", 2, ["", None]), ("b", 3, ["7", "8"]), ("c", 0, ["1", "2"]), ("d", 0, ["alpha", "beta"]), ("d", 1, ["gamma", "delta"]), ("d", 2, ["5", "x"]),
+)
+
+
 def test_header_rows(spark):
     rows = spark.createDataFrame(list(SHEETS), "source string, row_index int, cells array<string>")
     assert {r.source: r.header_rows for r in P.header_rows(rows, TYPE_WORDS).collect()} == {"a": 2, "b": 3, "c": 0, "d": 2}
@@ -240,3 +245,19 @@ def test_inverted_file(spark):
     assert found[(3000, 3100)] == exact[(3000, 3100)]
     none = R.VectorIndex(vectors.where("id < 0"), "id", "v")
     assert none.nearest().count() == 0
+
+
+def test_words_and_what_they_are_called(spark):
+    texts = spark.createDataFrame([("a", "Hot hot GEAR, mail_box"), ("a", "gear source"), ("b", None), ("b", "")], "source string, text string")
+    words = D.words(texts)
+    assert {tuple(r) for r in words.collect()} == {("a", "hot", 1), ("a", "gear", 2), ("a", "mail_box", 1), ("a", "source", 1)}
+    assert {(r.word, r.full_name) for r in D.abbreviations_among(words).collect()} == {("hot", "heal_over_time")}
+    assert {(r.word, r.abbreviations) for r in D.full_names_among(words).collect()} == {("source", "src")}
+    named = bridge.chinese_names(words, "编号")
+    assert {(r.word, r.column) for r in named.collect()} == {("gear", "装备编号")}
+
+
+def test_tables_of_entities(spark):
+    tables = spark.createDataFrame([(t,) for t in ("mail", "mail_base", "Mail_box_x", "mailing", "item_data", "res_a_b")], "table string")
+    got = {(r.entity, r.table, r["rank"].how) for r in bridge.entity_tables(tables).collect()}
+    assert got == {("邮件", "mail", 0), ("邮件", "mail_base", 1), ("邮件", "Mail_box_x", 2), ("物品", "item_data", 1), ("道具", "item_data", 1), ("资源", "res_a_b", 2)}

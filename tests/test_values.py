@@ -49,6 +49,8 @@ def test_parts(spark, value, expected):
 def test_excel_letters(spark):
     got = {r.id: r.x for r in spark.range(0, 703).select("id", V.excel_letter(F.col("id")).alias("x")).collect()}
     assert [got[i] for i in (0, 25, 26, 701, 702)] == ["A", "Z", "AA", "ZZ", "AAA"]
+    far = spark.createDataFrame([(16383,), (18277,), (18278,), (None,)], "id long").select(V.excel_letter(F.col("id")).alias("x")).collect()
+    assert [r.x for r in far] == ["XFD", "ZZZ", "AAAA", None]
 
 
 def test_subsequence(spark):
