@@ -8,6 +8,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 from .operators import retrieval as R
+from .operators.settings import Settings
 from .plans.build import build
 from .sources import feedback, graph_store
 
@@ -19,13 +20,15 @@ def main(argv: list[str] | None = None) -> None:
     make.add_argument("folder")
     make.add_argument("out")
     make.add_argument("--feedback", help="table of confirmed and rejected relations")
+    make.add_argument("--settings", help="file of thresholds, lines of name: value")
     ask = todo.add_parser("query", help="tables with a word in their name, and their relations")
     ask.add_argument("out")
     ask.add_argument("word")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("keelson").getOrCreate()
     if args.command == "build":
-        catalog, assets = build(spark, args.folder, args.out, feedback.said(spark, args.feedback) if args.feedback else None)
+        said = feedback.said(spark, args.feedback) if args.feedback else None
+        catalog, assets = build(spark, args.folder, args.out, said, Settings.read(spark, args.settings) if args.settings else Settings())
         catalog.errors.show(truncate=False)
         assets.show(len(assets.columns) * 20, truncate=False)
     else:

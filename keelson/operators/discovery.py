@@ -15,13 +15,13 @@ from ..functions import values as V
 from ..functions.vocabulary import ABBREVIATIONS, GENERIC_NAMES, ID_WORDS, NOISE_WORDS, REFERENCE_ENDINGS, TARGET_NAMES
 from ..plans.store import stored
 from .bridge import bridged
+from .settings import Settings
 
-CONTAINMENT, ID_CONTAINMENT, OVERLAP = 0.80, 0.70, 0.80
-MIN_SHARED, MIN_SHARED_ID, MIN_VALUES = 5, 3, 3
-HOT_COLUMNS, PER_TABLE, PER_PAIR = 200, 80, 2
+#: Thresholds where none are given.
+USUAL = Settings()
+HOT_COLUMNS = 200
 #: Sets of hot values that one array of a column numbers.
 HOT_PART = 1 << 16
-WEAK, FINAL, SMALL_KEY = 0.30, 0.50, 50
 RELATION = ("from_table", "from_column", "to_table", "to_column", "relation_type", "confidence", "discovery_method", "evidence")
 
 
@@ -38,24 +38,24 @@ def normalised(values: DataFrame) -> DataFrame:
     return found.where(F.when(F.col("value").isNotNull(), F.col("n")) > 0).select("table", "column", "value")
 
 
-def candidates(columns: DataFrame, norm: DataFrame) -> DataFrame:
-    """Columns that may take part in a relation, the 80 of the highest priority of each table."""
+def candidates(columns: DataFrame, norm: DataFrame, by: Settings = USUAL) -> DataFrame:
+    """Columns that may take part in a relation, those of the highest priority of each table (80 usually)."""
     low = F.lower("column")
     x = V.number(F.col("value"))
     sized = norm.groupBy("table", "column").agg(F.count("*").alias("unique_values"), F.min(x).alias("min_val"), F.max(x).alias("max_val"))
     ratio = F.col("unique_values") / F.col("unique_count")
     id_like = V.has_any(low, ID_WORDS)
     rows = (
-        columns.where((F.col("unique_count") >= MIN_VALUES) & ~(V.has_any(low, NOISE_WORDS) & ~id_like))
+        columns.where((F.col("unique_count") >= by.min_values) & ~(V.has_any(low, NOISE_WORDS) & ~id_like))
         .join(sized, ["table", "column"])
-        .where(F.col("unique_values") >= MIN_VALUES)
+        .where(F.col("unique_values") >= by.min_values)
         .withColumn("is_id_like", id_like)
         .withColumn("unique_ratio", ratio)
         .where(F.col("is_id_like") | F.col("unique_ratio").between(0.3, 1.0))
         .withColumn("priority", F.when(F.col("is_id_like"), 3).otherwise(0) + F.when(ratio >= 0.95, 2).when(ratio >= 0.8, 1).otherwise(0))
     )
     w = Window.partitionBy("table").orderBy(F.desc("priority"), F.desc("unique_ratio"), "ordinal")
-    return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= PER_TABLE).select(
+    return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= by.per_table).select(
         "table", "column", "dtype", F.col("total_count").alias("row_count"), "unique_values", "unique_ratio", "is_id_like", "is_pk", "priority", "min_val", "max_val"
     )
 
@@ -120,19 +120,19 @@ def _sides(pairs: DataFrame, columns: DataFrame) -> DataFrame:
     return pairs
 
 
-def scores(pairs: DataFrame, columns: DataFrame) -> DataFrame:
+def scores(pairs: DataFrame, columns: DataFrame, by: Settings = USUAL) -> DataFrame:
     """Pairs that match, with match_type, direction and base score."""
     rows = _sides(pairs, columns)
-    least = F.when(F.col("is_id_like_a") | F.col("is_id_like_b"), MIN_SHARED_ID).otherwise(MIN_SHARED)
-    rows = rows.where((F.col("gated") >= least) & (F.col("shared") >= MIN_SHARED_ID))
+    least = F.when(F.col("is_id_like_a") | F.col("is_id_like_b"), by.min_shared_id).otherwise(by.min_shared)
+    rows = rows.where((F.col("gated") >= least) & (F.col("shared") >= by.min_shared_id))
     n, a, b = F.col("shared"), F.col("unique_values_a"), F.col("unique_values_b")
     key = (F.col("is_id_like_a") & F.col("is_pk_b")) | (F.col("is_id_like_b") & F.col("is_pk_a"))
-    limit = F.when(key, ID_CONTAINMENT).otherwise(CONTAINMENT)
+    limit = F.when(key, by.id_containment).otherwise(by.containment)
     j = n / (a + b - n)
     bonus = F.when(F.col("is_id_like_a") & F.col("is_id_like_b"), 0.05).otherwise(0.0)
     a_in_b = (n / a >= limit) & (a <= b * 0.95)
     b_in_a = (n / b >= limit) & (b <= a * 0.95)
-    overlap = j >= OVERLAP
+    overlap = j >= by.overlap
     direction = F.when(a_in_b, "a_to_b").when(b_in_a, "b_to_a").when(overlap, "unknown")
     score = (
         F.when(a_in_b, n / a * 0.7 + j * 0.2 + a / b * 0.1 + bonus)
@@ -162,13 +162,13 @@ def _named(a: str, b: str) -> Column:
     return F.exists(segments, lambda s: F.contains(F.lower(f"column_{a}"), s))
 
 
-def adjusted(scored: DataFrame) -> DataFrame:
+def adjusted(scored: DataFrame, by: Settings = USUAL) -> DataFrame:
     """Scores with what speaks for or against chance (column confidence); weak ones are dropped."""
     naming = _named("a", "b") | _named("b", "a")
     numeric = F.col("dtype_a").isin("int", "float") & F.col("dtype_b").isin("int", "float")
     no_id = ~(F.col("is_id_like_a") | F.col("is_id_like_b"))
     span = {s: F.col(f"max_val_{s}") - F.col(f"min_val_{s}") for s in "ab"}
-    small_key = {s: F.col(f"is_pk_{s}") & (F.col(f"unique_values_{s}") < SMALL_KEY) for s in "ab"}
+    small_key = {s: F.col(f"is_pk_{s}") & (F.col(f"unique_values_{s}") < by.small_key) for s in "ab"}
     key_size = F.when(small_key["a"], F.col("unique_values_a")).otherwise(F.col("unique_values_b"))
     generic = F.lower(F.trim(F.col("column_a"))).isin(*GENERIC_NAMES) & F.lower(F.trim(F.col("column_b"))).isin(*GENERIC_NAMES)
     # Each step adds to the confidence or scales it, so the steps do not nest in one another.
@@ -182,7 +182,7 @@ def adjusted(scored: DataFrame) -> DataFrame:
     c = ((F.col("score") + same_type) * chance + F.when(small & naming, -0.10).otherwise(none)) * counted * vague * tiny
     limit = F.when(naming, F.col("score") + 0.05).otherwise(F.lit(9.0))
     confidence = V.cents(F.greatest(F.lit(0.05), F.least(c + F.when(naming, 0.10).otherwise(none), limit)))
-    return scored.withColumn("confidence", confidence).where(F.col("confidence") >= WEAK)
+    return scored.withColumn("confidence", confidence).where(F.col("confidence") >= by.weak)
 
 
 def containment(adjusted_: DataFrame) -> DataFrame:
@@ -334,7 +334,7 @@ def containments(edges: DataFrame, norm: DataFrame) -> DataFrame:
 # Abbreviations
 
 
-def mined_abbreviations(relations: DataFrame, tables: DataFrame) -> DataFrame:
+def mined_abbreviations(relations: DataFrame, tables: DataFrame, least: float = USUAL.mined_from) -> DataFrame:
     """(abbreviation, to_table, confidence): from the vocabulary, and from strong relations whose column abbreviates its table."""
     spark = relations.sparkSession
     known = abbreviations(spark).where(F.length("abbreviation").between(2, 5))
@@ -343,7 +343,7 @@ def mined_abbreviations(relations: DataFrame, tables: DataFrame) -> DataFrame:
     begun = known.join(names, F.col("low").startswith(F.concat("full_name", F.lit("_")))).withColumn("r", F.struct("place", F.lit(1).alias("k"), F.length("to_table").alias("n"), "to_table"))
     seeds = exact.unionByName(begun).groupBy("abbreviation").agg(F.min_by("to_table", "r").alias("to_table"))
     clean = V.clean_name(F.col("from_column"))
-    mined = relations.where("confidence >= 0.8").select(clean.alias("abbreviation"), "to_table").where(F.length("abbreviation").between(2, 4)).where(
+    mined = relations.where(F.col("confidence") >= least).select(clean.alias("abbreviation"), "to_table").where(F.length("abbreviation").between(2, 4)).where(
         V.is_subsequence(F.col("abbreviation"), F.lower("to_table"))
     )
     mined = mined.groupBy("abbreviation", "to_table").agg(F.count("*").alias("n"))
@@ -353,9 +353,9 @@ def mined_abbreviations(relations: DataFrame, tables: DataFrame) -> DataFrame:
     return joined.select("abbreviation", "to_table", V.cents(confidence).alias("confidence"))
 
 
-def abbreviated(columns: DataFrame, tables: DataFrame, norm: DataFrame, relations: DataFrame) -> DataFrame:
+def abbreviated(columns: DataFrame, tables: DataFrame, norm: DataFrame, relations: DataFrame, by: Settings = USUAL) -> DataFrame:
     """Relations of columns whose clean name is an abbreviation of a table, where three tenths of their values fit."""
-    patterns = mined_abbreviations(relations, tables).withColumnRenamed("confidence", "base")
+    patterns = mined_abbreviations(relations, tables, by.mined_from).withColumnRenamed("confidence", "base")
     named = columns.select("table", "column", V.clean_name(F.col("column")).alias("abbreviation"))
     keys = tables.where("primary_key is not null").select(F.col("table").alias("to_table"), F.col("primary_key").alias("to_column"))
     edges = named.join(patterns, "abbreviation").join(keys, "to_table").where("table <> to_table")
@@ -377,7 +377,7 @@ def _pair(t1: str, c1: str, t2: str, c2: str) -> tuple[Column, Column]:
     return F.least(a, b).alias("k1"), F.greatest(a, b).alias("k2")
 
 
-def transitive(relations: DataFrame, least: float = 0.65, limit: int = 500) -> DataFrame:
+def transitive(relations: DataFrame, least: float = USUAL.chained, limit: int = 500) -> DataFrame:
     """Relations A to C from strong A to B and B to C, where A and C are not related; the best chain of each pair, 500 in all."""
     strong = relations.where(F.col("confidence") >= least).select(*RELATION[:4], "confidence")
     e1, e2 = strong.alias("e1"), strong.alias("e2")
@@ -419,7 +419,7 @@ def fused(relations: DataFrame) -> DataFrame:
     return grouped.select(*(F.col(f"best.{c}").alias(c) if c not in ("confidence", "evidence") else {"confidence": confidence, "evidence": evidence}[c].alias(c) for c in RELATION))
 
 
-def deduplicated(relations: DataFrame, per_pair: int = PER_PAIR) -> DataFrame:
+def deduplicated(relations: DataFrame, per_pair: int = USUAL.per_pair) -> DataFrame:
     """The surest relation of each column pair; of each table pair two, by method first and confidence second."""
     rows = relations.select("*", *_pair(*RELATION[:4]), F.least("from_table", "to_table").alias("t1"), F.greatest("from_table", "to_table").alias("t2"))
     method = F.when(F.col("discovery_method") == "naming_convention", 3).when(F.col("discovery_method") == "abbreviation", 2).when(F.col("discovery_method") == "containment", 1).otherwise(0)
@@ -429,7 +429,14 @@ def deduplicated(relations: DataFrame, per_pair: int = PER_PAIR) -> DataFrame:
     return once.withColumn("r", F.row_number().over(pair)).where(F.col("r") <= per_pair).select(*RELATION)
 
 
-def final(relations: DataFrame, feedback: DataFrame | None = None, least: float = FINAL) -> DataFrame:
+def final(relations: DataFrame, feedback: DataFrame | None = None, by: Settings = USUAL) -> DataFrame:
     """Feedback, fusion, deduplication, and the least confidence, in this order."""
     rows = with_feedback(relations, feedback) if feedback is not None else relations
-    return deduplicated(fused(rows)).where(F.col("confidence") >= least)
+    return deduplicated(fused(rows), by.per_pair).where(F.col("confidence") >= by.final)
+
+
+def enhanced(relations: DataFrame, found: DataFrame, feedback: DataFrame | None = None, by: Settings = USUAL) -> DataFrame:
+    """Relations of a graph with those that the strategies find on it again: as ``final``, but methods do not reinforce each other."""
+    rows = relations.unionByName(found)
+    rows = with_feedback(rows, feedback) if feedback is not None else rows
+    return deduplicated(rows, by.per_pair).where(F.col("confidence") >= by.final)

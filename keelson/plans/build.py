@@ -18,6 +18,7 @@ from ..operators import assets as A
 from ..operators import discovery as D
 from ..operators import graph as G
 from ..operators import profile as P
+from ..operators.settings import Settings
 from ..sources import files, graph_store
 from ..sources.versions import Versions
 from .catalog import Catalog
@@ -31,8 +32,8 @@ class SheetCatalog(Catalog):
     to unnamed columns.  Of several files of one stem the first by path counts.  All sheets are profiled in one job, however many they are.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, feedback: DataFrame | None = None):
-        super().__init__(spark, {}, feedback)
+    def __init__(self, spark: SparkSession, folder: str, feedback: DataFrame | None = None, settings: Settings = D.USUAL, isolated: bool = False):
+        super().__init__(spark, {}, feedback, settings, isolated)
         self.folder = folder
 
     @cached_property
@@ -152,8 +153,13 @@ def export(catalog: Catalog, folder: str) -> DataFrame:
     return catalog.spark.createDataFrame(done, "asset string, error string")
 
 
-def build(spark: SparkSession, folder: str, out: str, feedback: DataFrame | None = None) -> tuple[SheetCatalog, DataFrame]:
-    """The catalog of a folder of CSV, TSV and XLSX files, its graph and assets written below ``out``; and (asset, error)."""
-    catalog = SheetCatalog(spark, folder, feedback)
+def build(spark: SparkSession, folder: str, out: str, feedback: DataFrame | None = None, settings: Settings = D.USUAL) -> tuple[SheetCatalog, DataFrame]:
+    """The catalog of a folder of CSV, TSV and XLSX files, its graph and assets written below ``out``; and (asset, error).
+
+    A strategy that fails is a row of the second too, named ``strategy: ...``; what the others find is written.
+    """
+    catalog = SheetCatalog(spark, folder, feedback, settings, isolated=True)
     graph_store.save(catalog, f"{out}/graph")
-    return catalog, export(catalog, f"{out}/assets")
+    done = export(catalog, f"{out}/assets")
+    failed = [(f"strategy: {name}", error) for name, error in catalog.failures.items()]
+    return catalog, done.union(spark.createDataFrame(failed, "asset string, error string"))

@@ -6,8 +6,11 @@ parts start from it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property, reduce
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,7 @@ from ..operators import analysis as N
 from ..operators import assets as A
 from ..operators import discovery as D
 from ..operators import profile as P
+from ..operators.settings import Settings
 from .store import stored
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -22,8 +26,15 @@ _catalogs: dict[tuple[str, str], Catalog] = {}
 
 
 class Catalog:
-    def __init__(self, spark: SparkSession, sources: dict[str, DataFrame], feedback: DataFrame | None = None):
-        self.spark, self.sources, self.feedback = spark, sources, feedback
+    """Tables and what follows from them.
+
+    With ``isolated`` a strategy of discovery that fails adds its error to ``failures`` and no relations, and the others go on;
+    without it the error is raised.
+    """
+
+    def __init__(self, spark: SparkSession, sources: dict[str, DataFrame], feedback: DataFrame | None = None, settings: Settings = D.USUAL, isolated: bool = False):
+        self.spark, self.sources, self.feedback, self.settings, self.isolated = spark, sources, feedback, settings, isolated
+        self.failures: dict[str, str] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Catalog:
@@ -36,6 +47,16 @@ class Catalog:
     def _keep(self, df: DataFrame) -> DataFrame:
         return stored(df, "catalog")
 
+    def _strategy(self, name: str, find: Callable[[], DataFrame]) -> DataFrame:
+        """The relations that a strategy finds, written as they are found, so that its failures show here."""
+        try:
+            return self._keep(find())
+        except (PySparkException, Py4JError) as e:
+            if not self.isolated:
+                raise
+            self.failures[name] = str(e).splitlines()[0]
+            return self.spark.createDataFrame([], ", ".join(f"{c} {'double' if c == 'confidence' else 'string'}" for c in D.RELATION))
+
     @cached_property
     def cells(self) -> DataFrame:
         return self._keep(P.cells(self.sources))
@@ -58,7 +79,7 @@ class Catalog:
 
     @cached_property
     def candidates(self) -> DataFrame:
-        return self._keep(D.candidates(self.columns, self.norm))
+        return self._keep(D.candidates(self.columns, self.norm, self.settings))
 
     @cached_property
     def overlaps(self) -> DataFrame:
@@ -66,25 +87,25 @@ class Catalog:
 
     @cached_property
     def scores(self) -> DataFrame:
-        return self._keep(D.scores(self.overlaps, self.candidates))
+        return self._keep(D.scores(self.overlaps, self.candidates, self.settings))
 
     @cached_property
     def containment(self) -> DataFrame:
-        return self._keep(D.containment(D.adjusted(self.scores)))
+        return self._strategy("containment", lambda: D.containment(D.adjusted(self.scores, self.settings)))
 
     @cached_property
     def naming(self) -> DataFrame:
-        return self._keep(D.naming(self.columns, self.tables, self.norm))
+        return self._strategy("naming", lambda: D.naming(self.columns, self.tables, self.norm))
 
     @cached_property
     def direct(self) -> DataFrame:
         """Containment and naming relations, and the abbreviations that follow from them."""
         found = self._keep(self.containment.unionByName(self.naming))
-        return self._keep(found.unionByName(D.abbreviated(self.columns, self.tables, self.norm, found)))
+        return self._keep(found.unionByName(self._strategy("abbreviation", lambda: D.abbreviated(self.columns, self.tables, self.norm, found, self.settings))))
 
     @cached_property
     def transitive(self) -> DataFrame:
-        return self._keep(D.transitive(self.direct))
+        return self._strategy("transitive", lambda: D.transitive(self.direct, self.settings.chained))
 
     @cached_property
     def all_relations(self) -> DataFrame:
@@ -92,7 +113,7 @@ class Catalog:
 
     @cached_property
     def relations(self) -> DataFrame:
-        return self._keep(D.final(self.all_relations, self.feedback))
+        return self._keep(D.final(self.all_relations, self.feedback, self.settings))
 
     @cached_property
     def analysis(self) -> DataFrame:

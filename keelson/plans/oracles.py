@@ -210,8 +210,13 @@ def _needed(sql: str) -> list[str]:
     return [n for n in NAMES if n in wanted]
 
 
-def chained(select: str, extra: str = "") -> str:
-    parts = [f"{n} AS MATERIALIZED ({BODY[n]})" for n in _needed(select + " " + extra)]
+#: Bodies under the settings of ``strict_relations``.
+STRICT = BODY | {"chains": BODY["chains"].replace("0.65", "0.8"), "deduped": BODY["deduped"].replace("r <= 2", "r <= 1"), "relations": BODY["relations"].replace("0.5", "0.7")}
+
+
+def chained(select: str, extra: str = "", strict: bool = False) -> str:
+    body = STRICT if strict else BODY
+    parts = [f"{n} AS MATERIALIZED ({body[n]})" for n in _needed(select + " " + extra)]
     recursive = "RECURSIVE " if extra else ""
     return f"WITH {recursive}" + ",\n".join(parts + ([extra] if extra else [])) + "\n" + select
 
@@ -298,6 +303,13 @@ ORACLES: dict[str, str] = {
     "fuse_relations": chained(f"SELECT {EDGE} FROM fused"),
     "dedupe_relations": chained(f"SELECT {EDGE} FROM deduped"),
     "final_relations": chained(f"SELECT {EDGE} FROM relations"),
+    "strict_relations": chained(f"SELECT {EDGE} FROM relations", strict=True),
+    "enhanced_relations": chained(f"SELECT {EDGE} FROM kept_pairs WHERE r = 1 AND confidence >= 0.5", """again AS (SELECT from_table, from_column, to_table, to_column, relation_type, confidence, discovery_method FROM relations
+        UNION ALL SELECT from_table, from_column, to_table, to_column, relation_type, confidence, discovery_method FROM every),
+      once AS (SELECT * FROM again QUALIFY row_number() OVER (PARTITION BY least(from_table || '.' || from_column, to_table || '.' || to_column), greatest(from_table || '.' || from_column, to_table || '.' || to_column)
+        ORDER BY confidence DESC, from_table, from_column, to_table, to_column) = 1),
+      kept_pairs AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY least(from_table, to_table), greatest(from_table, to_table) ORDER BY CASE discovery_method WHEN 'naming_convention' THEN 3 WHEN 'abbreviation' THEN 2
+        WHEN 'containment' THEN 1 ELSE 0 END DESC, confidence DESC, from_table, from_column, to_table, to_column) <= 2 THEN 1 END AS r FROM once)"""),
     "orphans": chained('SELECT tbl AS "table" FROM tabs WHERE tbl NOT IN (SELECT tbl FROM seen)'),
     "table_degree": chained('SELECT t.tbl AS "table", count(s.tbl) AS degree FROM tabs t LEFT JOIN seen s ON s.tbl = t.tbl GROUP BY 1'),
     "join_paths": chained(_SHORTEST, _walks(2, 0.65)),

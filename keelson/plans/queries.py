@@ -18,6 +18,7 @@ from ..operators import discovery as D
 from ..operators import graph as G
 from ..operators import profile as P
 from ..operators import retrieval as R
+from ..operators.settings import Settings
 from ..sources import files
 from .catalog import Catalog
 
@@ -274,6 +275,19 @@ def final_relations(c):
     return c.relations.select(*EDGE)
 
 
+@query
+def strict_relations(c):
+    """The relations under settings of a file: one of two tables, of a confidence of 0.7 and more, and chains of links of 0.8 and more."""
+    strict = Catalog(c.spark, c.sources, settings=Settings(chained=0.8, final=0.7, per_pair=1))
+    strict.direct = c.direct  # does not depend on these settings
+    return strict.relations.select(*EDGE)
+
+
+@query
+def enhanced_relations(c):
+    return D.enhanced(c.relations, c.all_relations).select(*EDGE)
+
+
 @query
 def orphans(c):
     return G.orphans(c.nodes, c.relations)

@@ -5,7 +5,12 @@ from pathlib import Path
 
 import pytest
 
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
 from keelson.__main__ import main
+from keelson.operators import discovery as D
+from keelson.operators.settings import Settings
 from keelson.plans.build import ASSETS, SheetCatalog, build
 from keelson.sources.versions import Versions
 
@@ -49,3 +54,32 @@ def test_build(spark, folder, tmp_path, capsys):
     assert "Longest chain: 1" in {x["text"] for x in lines("analysis_summary")} and "Cycles: 0" in {x["text"] for x in lines("analysis_summary")}
     main(["query", str(out), "skill"])
     assert "skill.hero_id = hero.id" in capsys.readouterr().out
+
+
+def test_settings(spark, tmp_path):
+    file = tmp_path / "settings"
+    file.write_text("# thresholds\n\ncontainment: 0.95\nper_pair: 1\n")
+    got = Settings.read(spark, str(file))
+    assert (got.containment, got.per_pair, got.final) == (0.95, 1, 0.5)
+    for wrong in ("containmnt: 0.9", "per_pair: 1\nper_pair: 2", "final: much", "final"):
+        file.write_text(wrong)
+        with pytest.raises(ValueError):
+            Settings.read(spark, str(file))
+
+
+def test_settings_act(spark, folder):
+    found = lambda **by: {r.from_column for r in SheetCatalog(spark, str(folder), settings=Settings(**by)).containment.collect()}
+    assert found() == {"hero_id"}
+    assert found(min_shared=91, min_shared_id=91) == found(weak=1.5) == set()
+
+
+def test_a_strategy_that_fails(spark, folder, tmp_path, monkeypatch):
+    def broken(*_):
+        return spark.range(1).select(F.raise_error(F.lit("broken")).alias("from_table"))
+
+    monkeypatch.setattr(D, "containment", broken)
+    catalog, done = build(spark, str(folder), str(tmp_path / "out"))
+    assert {r.asset for r in done.where("error is not null").collect()} == {"strategy: containment"} and "broken" in catalog.failures["containment"]
+    assert {(r.from_column, r.discovery_method) for r in catalog.relations.collect()} == {("hero_id", "naming_convention")}
+    with pytest.raises(PySparkException):
+        SheetCatalog(spark, str(folder)).containment

@@ -59,7 +59,7 @@ def test_changes(spark, folder, tmp_path, monkeypatch):
 
     monkeypatch.setattr(files, "read", noted)
     scored = D.scores
-    monkeypatch.setattr(D, "scores", lambda pairs, columns: compared.append(pairs) or scored(pairs, columns))
+    monkeypatch.setattr(D, "scores", lambda pairs, *more: compared.append(pairs) or scored(pairs, *more))
     lib = Library(spark, str(folder), str(tmp_path / "store"))
     assert {r.change for r in lib.refresh().collect()} == {"new"}
     assert lib.catalog.relations.count() and read == [["bad.xlsx", "hero.csv", "item.tsv", "skill.csv"]]

@@ -9,7 +9,7 @@ from keelson.sources import graph_store
 from keelson.streaming.incremental import on_change
 
 SMALL = "/root/testdata/sf0.001"
-SOME = ("column_stats", "primary_keys", "column_pair_overlap", "containment_relations", "naming_relations", "final_relations", "join_paths", "value_index", "enum_cross_ref", "report_recall", "column_dtypes", "incremental_pairs", "vector_neighbours", "cell_locator", "locate_cell", "relation_evidence", "full_name_lookup", "query_columns", "report_path_search", "report_dag", "feedback_apply", "compound_values", "header_rows", "abbrev_lookup", "excel_letters", "cn_bridge", "column_index_cn", "communities", "chunks_text", "library_refresh")
+SOME = ("column_stats", "primary_keys", "column_pair_overlap", "containment_relations", "naming_relations", "final_relations", "join_paths", "value_index", "enum_cross_ref", "report_recall", "column_dtypes", "incremental_pairs", "vector_neighbours", "cell_locator", "locate_cell", "relation_evidence", "full_name_lookup", "query_columns", "report_path_search", "report_dag", "feedback_apply", "compound_values", "strict_relations", "enhanced_relations", "header_rows", "abbrev_lookup", "excel_letters", "cn_bridge", "column_index_cn", "communities", "chunks_text", "library_refresh")
 
 
 @pytest.mark.parametrize("name", SOME)
