@@ -1,9 +1,11 @@
 """Each operator against its plain version, with nulls, empty and very long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import hashlib
+import math
 import random
 import shutil
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -12,7 +14,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from keelson.llm import decontaminate, fertility, licenses, lines, pieces, quality, queries, recompression, repeats, simhash, substrings, tokens
+from keelson.llm import decontaminate, fertility, licenses, lines, pieces, quality, queries, recompression, repeats, simhash, substrings, textbatch, tokens
 from keelson.llm.components import components
 from keelson.llm.workspace import Workspace
 
@@ -231,6 +233,52 @@ def test_fertility(spark):
         assert x.kept == (x.doc_id not in (100, 101, 102, 103)), x
 
 
+def test_scripts():
+    texts = ["abc é 12", "Привет, мир ab", "漢字かな漢", "かなカナ字", "안녕 hello 하세요 여러분", "123 !?", "", "αβγ", "שלום", "𠀀𠀁a", "ab да", "नमस्ते"]
+    got = [x for _, _, t in textbatch.pieces(pa.array(texts)) for x in fertility.scripts(t)]
+    assert got == ["latin", "cyrillic", "han", "kana", "hangul", "none", "none", "greek", "hebrew", "han", "cyrillic", "devanagari"]
+
+
+def test_fertility_bands(spark):
+    """Bands and verdicts worked out again in plain Python: languages of 30 documents, scripts, all; a language called as a script is."""
+    r = random.Random(9)
+    vocabulary = {"en": "the of house water green letter walking under bridge morning".split(), "ru": "дом вода зелёный письмо мост утро под над идти".split()}
+    text = lambda v, noise: " ".join(r.choice(vocabulary[v]) if r.random() > noise else f"#{r.randint(0, 10**6)}" for _ in range(90))
+    rows = [(i, text("en", r.choice([0, 0.1, 0.9 * (i % 17 == 0)])), "en") for i in range(60)] + [(100 + i, text("ru", 0.05 * (i % 3)), "ru") for i in range(35)]
+    rows += [(200 + i, text("ru", 0.3 * i), r.choice([None, "xx", "cyrillic"])) for i in range(4)] + [(300 + i, " ".join("αβγδε"[i:] * 2 + str(k) for k in range(60)), "latin") for i in range(3)]
+    rows += [(400, text("en", 0), "junk"), (401, " ".join(f"X{k * 7919}###" for k in range(99)), "junk"), (404, " ".join(f"%{k}#" for k in range(99)), None), (402, "long text of words " * 30000 + text("en", 0), "en"), (403, None, None)]
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    names = ("low", "high")
+    measures, groups, failed = {}, {}, {}
+    for i, t, lang in rows:
+        ids, base = sp.encode(t or ""), brute.base_counts(t)
+        n = max(len(ids), 1)
+        entropy = math.log2(n) - sum(c * math.log2(c) for c in Counter(ids).values()) / n
+        measures[i] = {"chars_per_token": len(t or "") / n, "byte_share": sum(sp.is_byte(k) for k in ids) / n, "token_entropy": max(entropy, 0.0)}
+        script = "greek" if i in (300, 301, 302) else "cyrillic" if 100 <= i < 204 else "none" if i in (403, 404) else "latin"
+        failed[i] = base[0] < 50 or 100 * base[4] > 50 * base[0]
+        groups[i] = [*([("lang", lang)] if lang else []), ("script", script), ("all",)]
+    members = {}
+    for i in groups:
+        for g in groups[i] if not failed[i] else ():
+            members.setdefault(g, []).append(i)
+
+    def band(g, m):
+        v = sorted(math.floor(measures[i][m] * 1000) for i in members[g])
+        q1, q2, q3 = (v[-(-len(v) * k // 4) - 1] / 1000 for k in (1, 2, 3))
+        reach = (q3 - q1 + 0.001) * 3
+        return dict(zip(names, (min(q1 - reach, q2 * 0.95), max(q3 + reach, q2 * 1.05))))
+
+    got = {x.doc_id: x for x in fertility.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string"), MODEL).collect()}
+    for i in measures:
+        g = next(g for g in groups[i] if len(members.get(g, ())) >= 30 or g == ("all",))
+        x, m = got[i], measures[i]
+        assert x.script == groups[i][-2][1], x
+        inside = band(g, "chars_per_token")["low"] <= m["chars_per_token"] <= band(g, "chars_per_token")["high"] and m["byte_share"] <= band(g, "byte_share")["high"]
+        assert (x.base_failed, x.kept) == (failed[i], not failed[i] and inside and m["token_entropy"] >= band(g, "token_entropy")["low"]), x
+    assert not got[401].kept and got[400].kept and sum(not x.kept and not x.base_failed for x in got.values()) > 1
+
+
 def test_quality(spark):
     r = random.Random(9)
     good = lambda: " ".join(r.choice(["the", "of", "water", "house", "under", "bridge,"]) + r.choice(["", "s"]) for _ in range(60))
