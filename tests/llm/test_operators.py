@@ -244,7 +244,7 @@ def test_fertility_bands(spark):
     r = random.Random(9)
     vocabulary = {"en": "the of house water green letter walking under bridge morning".split(), "ru": "дом вода зелёный письмо мост утро под над идти".split()}
     text = lambda v, noise: " ".join(r.choice(vocabulary[v]) if r.random() > noise else f"#{r.randint(0, 10**6)}" for _ in range(90))
-    rows = [(i, text("en", r.choice([0, 0.1, 0.9 * (i % 17 == 0)])), "en") for i in range(60)] + [(100 + i, text("ru", 0.05 * (i % 3)), "ru") for i in range(35)]
+    rows = [(i, text("en", r.choice([0, 0.01, 0.9 * (i % 17 == 0)])), "en") for i in range(60)] + [(100 + i, text("ru", 0.05 * (i % 3)), "ru") for i in range(35)]
     rows += [(200 + i, text("ru", 0.3 * i), r.choice([None, "xx", "cyrillic"])) for i in range(4)] + [(300 + i, " ".join("αβγδε"[i:] * 2 + str(k) for k in range(60)), "latin") for i in range(3)]
     rows += [(400, text("en", 0), "junk"), (401, " ".join(f"X{k * 7919}###" for k in range(99)), "junk"), (404, " ".join(f"%{k}#" for k in range(99)), None), (402, "long text of words " * 30000 + text("en", 0), "en"), (403, None, None)]
     sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
