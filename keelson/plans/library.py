@@ -210,9 +210,14 @@ class Library:
 
     @staticmethod
     def _heat_changed(catalog: StoredCatalog, old: StoredCatalog) -> bool:
-        """Whether a value came to be in very many columns, or ceased to: what pairs share besides it changes with that, changed or not."""
-        moved = catalog.profiled.unionByName(old.profiled).groupBy("table", "column", "print").count().where("count = 1").select("table", "column").distinct()
-        values = catalog.norm.unionByName(old.norm).join(moved, ["table", "column"], "left_semi").select("value").distinct()
-        wide = lambda c: c.norm.join(values, "value", "left_semi").join(c.candidates.select("table", "column"), ["table", "column"], "left_semi").groupBy("value").count().where(F.col("count") > D.HOT_COLUMNS).select("value")
+        """Whether a value came to be in very many columns, or ceased to: what pairs share besides it changes with that, changed or not.
+
+        Each side is stored before they are compared: a join over unions of joins fails where their numbers of partitions come to differ.
+        """
+        if max(catalog.profiled.count(), old.profiled.count()) <= D.HOT_COLUMNS:
+            return False
+        moved = stored(catalog.profiled.unionByName(old.profiled).groupBy("table", "column", "print").count().where("count = 1").select("table", "column").distinct(), "moved")
+        values = stored(catalog.norm.unionByName(old.norm).join(moved, ["table", "column"], "left_semi").select("value").distinct(), "moved-values")
+        wide = lambda c: stored(c.norm.join(values, "value", "left_semi").join(c.candidates.select("table", "column"), ["table", "column"], "left_semi").groupBy("value").count().where(F.col("count") > D.HOT_COLUMNS).select("value"), "hot-values")
         now, then = wide(catalog), wide(old)
         return bool(now.join(then, "value", "left_anti").limit(1).count() or then.join(now, "value", "left_anti").limit(1).count())

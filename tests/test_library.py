@@ -113,6 +113,17 @@ def test_values_that_become_hot(spark, folder, tmp_path, monkeypatch):
     same_as_a_full_build(spark, lib, folder)
 
 
+def test_a_sheet_much_larger_than_the_others_comes(spark, folder, tmp_path, monkeypatch):
+    """Its values are joined in another way than those of the others, in one plan with them."""
+    monkeypatch.setattr(D, "HOT_COLUMNS", 6)  # of more columns, but no value is in more than 6
+    lib = Library(spark, str(folder), str(tmp_path / "store"))
+    lib.refresh()
+    write(folder / "skill.csv", "id,hero_id,kind\n" + "".join(f"{i + 500},{i % 55 + 1},k{i % 3}\n" for i in range(150)), 2000)
+    write(folder / "more.csv", "a_id,b_id\n" + "".join(f"{i + 500},{i + 500}\n" for i in range(4000)), 2000)
+    lib.refresh()
+    same_as_a_full_build(spark, lib, folder)
+
+
 def test_stream(spark, folder, tmp_path):
     lib = Library(spark, str(folder), str(tmp_path / "store"))
     stream = keep_fresh(spark, lib.refresh, str(tmp_path / "checkpoint"), 1)
