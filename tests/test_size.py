@@ -1,5 +1,6 @@
 """Work that must not gather in one task: what is shuffled by column holds no values."""
 
+from keelson.operators import discovery as D
 from keelson.operators import profile as P
 
 
@@ -31,3 +32,14 @@ def test_cells_are_counted_without_names(spark):
     got = P.cells({"t": spark.createDataFrame([(1, "x"), (1, None)], "a int, b string"), "u": spark.createDataFrame([("y",)], "b string")})
     assert not [x for x in shuffles(got) if "column#" in x[1] or "table#" in x[1]]
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [("t", 0, "a", "1", 2), ("t", 1, "b", "x", 1), ("t", 1, "b", None, 1), ("u", 0, "b", "y", 1)]))
+
+
+NORM = [("o", "k", v) for v in "abcd"] + [("p", "k", v) for v in "abxy"] + [("q", "k", v) for v in "zw"]
+
+
+def test_edges_go_to_the_values(spark):
+    norm = spark.createDataFrame(NORM, "table string, column string, value string")
+    edges = spark.createDataFrame([("o", "k", "p", "k"), ("q", "k", "p", "k"), ("o", "k", "none", "k")], "table string, column string, to_table string, to_column string")
+    got = D.containments(edges, norm)
+    assert not by_column_only(got)
+    assert {(r.table, r.to_table, r.containment) for r in got.collect()} == {("o", "p", 0.5), ("q", "p", 0.0)}
