@@ -43,3 +43,13 @@ def test_edges_go_to_the_values(spark):
     got = D.containments(edges, norm)
     assert not by_column_only(got)
     assert {(r.table, r.to_table, r.containment) for r in got.collect()} == {("o", "p", 0.5), ("q", "p", 0.0)}
+
+
+def test_evidence_goes_to_the_values(spark, monkeypatch):
+    kept, stored = {}, D.stored
+    monkeypatch.setattr(D, "stored", lambda df, name="part": kept.setdefault(name, df) is None or stored(df, name))
+    norm = spark.createDataFrame(NORM, "table string, column string, value string")
+    ends = spark.createDataFrame([("o", "k", "p", "k")], "from_table string, from_column string, to_table string, to_column string")
+    got = D.shared_values(ends, norm)
+    assert not by_column_only(kept["evidence"])
+    assert [tuple(r) for r in got.collect()] == [("o", "k", "p", "k", 2, "a,b")]
