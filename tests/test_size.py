@@ -1,7 +1,13 @@
-"""Work that must not gather in one task: what is shuffled by column holds no values."""
+"""Work that must not gather in one task: what is shuffled by column holds no values, and blocks hold few similarities."""
+
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
 
 from keelson.operators import discovery as D
 from keelson.operators import profile as P
+from keelson.operators import retrieval as R
 
 
 def shuffles(df):
@@ -53,3 +59,18 @@ def test_evidence_goes_to_the_values(spark, monkeypatch):
     got = D.shared_values(ends, norm)
     assert not by_column_only(kept["evidence"])
     assert [tuple(r) for r in got.collect()] == [("o", "k", "p", "k", 2, "a,b")]
+
+
+def test_blocks_of_vectors_hold_few_similarities():
+    rng = np.random.default_rng(1)
+    vectors, ids = rng.normal(size=(20_000, 8)), np.arange(20_000)
+    block = lambda at: pa.table({"id": ids[at], "v": pa.array(list(vectors[at]), pa.list_(pa.float64()))})
+    rows, queries = block(ids), block(ids[::20])
+    tracemalloc.start()
+    got = R._nearest(3)(None, rows, queries)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6  # all similarities of the block are 160 MB
+    unit = vectors / np.sqrt((vectors * vectors).sum(1))[:, None]
+    for q in (0, 1000, 19_980):
+        assert [i for x, i in zip(got.column("query").to_pylist(), got.column("id").to_pylist()) if x == q] == np.argsort(-(unit[q] @ unit.T), kind="stable")[:3].tolist()
