@@ -49,6 +49,7 @@ _ADD = _rng.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32)
 _STEP = U64(0x9E3779B97F4A7C15)
 SIGNED = "doc_id bigint, text_key bigint, n_shingles bigint, set_id binary, rows binary"
 ENTRY = "key bigint, node bigint, s1 bigint, s2 bigint"
+LABELLED = "key bigint, label bigint, n bigint"
 FOUND = "key bigint, a bigint, b bigint, lead boolean"
 
 
@@ -153,12 +154,27 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The table keys of each node, with its label."""
+    """(key, label, n): how many nodes with a label have a table key; a task's nodes are counted together, HELD keys and more at a time."""
+    held, size = [], 0
+
+    def counted() -> pa.RecordBatch:
+        key, label = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((label, key))
+        key, label = key[order], label[order]
+        at = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (label[1:] != label[:-1])))
+        n = np.diff(np.append(at, len(key)))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (key[at], label[at], n)], names=[c.split()[0] for c in LABELLED.split(", ")])
+
     for batch in batches:
         if batch.num_rows:
             rows = np.frombuffer(b"".join(batch.column("rows").to_pylist()), np.uint32).reshape(-1, HASHES).T
-            columns = [table_keys(rows).ravel().view(np.int64), np.tile(batch.column("label").to_numpy(), TABLES)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "label"])
+            held.append((table_keys(rows).ravel().view(np.int64), np.tile(batch.column("label").to_numpy(), TABLES)))
+            size += len(held[-1][0])
+            if size >= HELD:
+                yield counted()
+                held, size = [], 0
+    if held:
+        yield counted()
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,7 +367,7 @@ def _connected(found: DataFrame, texts: DataFrame, work: Workspace) -> DataFrame
     crowd = found.where("lead").select(F.explode(F.array("a", "b")).alias("node")).where("node is not null").distinct()
     crowd = crowd.join(label, "node", "left").select("node", F.coalesce("component", "node").alias("label"))
     crowd = work.put(crowd.join(texts, "node").select("node", "label", "text", "rows"), "crowd")
-    counted = work.put(crowd.select("label", "rows").mapInArrow(_labels, "key bigint, label bigint").groupBy("key", "label").agg(F.count("*").alias("n")), "counted")
+    counted = work.put(crowd.select("label", "rows").mapInArrow(_labels, LABELLED).groupBy("key", "label").agg(F.sum("n").alias("n")), "counted")
     main = counted.groupBy("key").agg(F.max_by("label", "n").alias("main"), F.sum("n").alias("n"), F.max("n").alias("most")).where("most < n")
     main = main.join(parts.select("key", F.lit(True).alias("part")).distinct(), "key", "left").where((F.col("n") > GROUP) | F.col("part")).select("key", "main")
     meet = work.put(counted.join(main, "key").where("label <> main").select("main", "label").distinct(), "meet")

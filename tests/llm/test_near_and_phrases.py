@@ -77,6 +77,22 @@ def test_bridge_in_a_long_run(spark, monkeypatch):
     assert brute.order(map(tuple, minhash.near_sets(spark.createDataFrame(rows, SCHEMA)).collect())) == plain_sets(rows)
 
 
+def test_keys_are_counted_in_their_task(monkeypatch):
+    """A node has a key for each table; nodes that share keys and label are one row of a task, however many, unless it holds too many keys."""
+    rows = np.arange(2 * minhash.HASHES, dtype=np.uint32).reshape(2, -1)
+    batch = lambda nodes: pa.RecordBatch.from_arrays([pa.array([x for x, _ in nodes], pa.int64()), pa.array([rows[k].tobytes() for _, k in nodes])], names=["label", "rows"])
+    batches = [batch([(7, 0), (7, 0), (8, 0)]), batch([]), batch([(7, 0), (7, 1)])]
+    for held in (minhash.HELD, 1):
+        monkeypatch.setattr(minhash, "HELD", held)
+        found = [tuple(r.values()) for b in minhash._labels(iter(batches)) for r in b.to_pylist()]
+        keys = [minhash.table_keys(rows[k : k + 1].T).ravel().view(np.int64).tolist() for k in (0, 1)]
+        total = {}
+        for key, label, n in found:
+            total[key, label] = total.get((key, label), 0) + n
+        assert total == {(k, 7): 3 for k in keys[0]} | {(k, 8): 1 for k in keys[0]} | {(k, 7): 1 for k in keys[1]}
+        assert len(found) == (3 if held > 1 else 4) * minhash.TABLES
+
+
 def test_recall_of_the_tables():
     """Pairs just above the threshold share a table, and pass the comparison of signatures, nearly always; pairs far below seldom do."""
     rng = np.random.default_rng(2)
