@@ -10,6 +10,7 @@ tasks, so a key with very many nodes is spread over several.  A short run of one
 signatures agree in 12 of 26 rows (a pair of similarity 0.8 fails that with probability 0.00001).
 A longer run, or one at the end of a task, is not expanded: each node is compared with the run's first,
 the first ones of a key's parts with each other, and components that still meet in a run after that are compared tile by tile.
+Which ones meet follows from the pairs with first nodes; runs with the same first node count as one.
 Every pair is confirmed on the full sets before it is a link.
 """
 
@@ -50,7 +51,7 @@ _STEP = U64(0x9E3779B97F4A7C15)
 SIGNED = "doc_id bigint, text_key bigint, n_shingles bigint, set_id binary, rows binary"
 ENTRY = "key bigint, node bigint, s1 bigint, s2 bigint"
 LABELLED = "key bigint, label bigint, n bigint"
-FOUND = "key bigint, a bigint, b bigint, lead boolean"
+FOUND = "key bigint, a bigint, b bigint, lead boolean, near boolean"
 
 
 def shingles(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,7 +155,10 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, label, n): how many nodes with a label have a table key; a task's nodes are counted together, HELD keys and more at a time."""
+    """(key, label, n): how many nodes with a label have a table key; a task's nodes are counted together, HELD keys and more at a time.
+
+    ``near_sets`` does without it: what meets follows from the pairs with first nodes.
+    """
     held, size = [], 0
 
     def counted() -> pa.RecordBatch:
@@ -188,12 +192,14 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of entries in order of key and node: pairs (a, b) of short runs; of other runs pairs of their first node with the rest (``lead``),
-    (a) for each node that does not agree with it, and (key, a) for the first node a of a part that may not be all of its run."""
+    """Of entries in order of key and node: agreeing pairs (a, b) of short runs; of other runs pairs of their first node with the rest
+    (``lead``; ``near`` if they agree), and (key, a) for the first node a of a part that may not be all of its run."""
 
-    def found(key, a, b, lead) -> pa.RecordBatch:
+    def found(key, a, b, lead, near) -> pa.RecordBatch:
         key = pa.nulls(len(a), pa.int64()) if key is None else pa.array(key.view(np.int64))
-        return pa.RecordBatch.from_arrays([key, pa.array(a.view(np.int64)), pa.nulls(len(a), pa.int64()) if b is None else pa.array(b.view(np.int64)), pa.array(lead)], names=["key", "a", "b", "lead"])
+        b = pa.nulls(len(a), pa.int64()) if b is None else pa.array(b.view(np.int64))
+        columns = [key, pa.array(a.view(np.int64)), b, pa.array(np.full(len(a), lead)), pa.array(near)]
+        return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in FOUND.split(", ")])
 
     def short(key, node, s1, s2) -> pa.RecordBatch | None:
         """All agreeing pairs of whole runs of at most GROUP nodes."""
@@ -208,17 +214,16 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a.append(node[x])
             b.append(node[x + step])
         a, b = (np.concatenate(x) if x else np.zeros(0, U64) for x in (a, b))
-        return found(None, a, b, np.zeros(len(a), bool)) if len(a) else None
+        return found(None, a, b, False, np.ones(len(a), bool)) if len(a) else None
 
     def open_run(cols, head, part: bool) -> tuple[list[pa.RecordBatch], tuple]:
         """A run, or part of one, that is not expanded; ``head`` is its first node in this task, if that was seen before."""
         key, node, s1, s2 = cols
         new = head is None
         head = (node[0], s1[0], s2[0]) if new else head
-        near = agreeing(s1 ^ head[1], s2 ^ head[2]) >= AGREE
-        b, stray = node[near & (node != head[0])], node[~near]
-        out = [found(None, np.full(len(b), head[0]), b, np.ones(len(b), bool)), found(None, stray, None, np.ones(len(stray), bool))]
-        return out + ([found(key[:1], node[:1], None, np.ones(1, bool))] if new and part else []), head
+        near, rest = agreeing(s1 ^ head[1], s2 ^ head[2]) >= AGREE, node != head[0]
+        out = [found(None, np.full(int(rest.sum()), head[0]), node[rest], True, near[rest])]
+        return out + ([found(key[:1], node[:1], None, True, np.zeros(1, bool))] if new and part else []), head
 
     def whole_runs(held, cuts, size) -> Iterator[pa.RecordBatch]:
         """All runs but the last one."""
@@ -354,7 +359,7 @@ def _connected(found: DataFrame, texts: DataFrame, work: Workspace) -> DataFrame
     parts = found.where("key is not null").select("key", F.col("a").alias("node"))
     first = parts.groupBy("key").agg(F.min("node").alias("a"))
     between = parts.join(first, "key").where("node <> a").select("a", F.col("node").alias("b"))
-    pairs = found.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(between).distinct()
+    pairs = found.where("near").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(between).distinct()
     pairs = work.put(pairs, "pairs")
     # A node's pairs meet where those of its least partner do, unless that one has very many.
     least = pairs.groupBy("b").agg(F.min("a").alias("near"))
@@ -363,14 +368,18 @@ def _connected(found: DataFrame, texts: DataFrame, work: Workspace) -> DataFrame
     label = work.put(components(_compared(work.put(near, "near"), texts, work, "links"), work, "connected"), "labels")
 
     # Runs that were not expanded and still hold several components: the nodes of such runs are compared with those of the run's
-    # largest component, once for all the runs that two components meet in.
-    crowd = found.where("lead").select(F.explode(F.array("a", "b")).alias("node")).where("node is not null").distinct()
+    # largest component, once for all the runs that two components meet in.  Runs with one first node are taken together, and so are the parts of a run.
+    led = found.where("lead and b is not null").select("a", "b").distinct()
+    later = led.join(between.distinct().withColumnsRenamed({"a": "first", "b": "a"}), "a").select(F.col("first").alias("a"), "b")
+    led = work.put(led.unionByName(later).unionByName(between).distinct(), "led")
+    crowd = led.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     crowd = crowd.join(label, "node", "left").select("node", F.coalesce("component", "node").alias("label"))
     crowd = work.put(crowd.join(texts, "node").select("node", "label", "text", "rows"), "crowd")
-    counted = work.put(crowd.select("label", "rows").mapInArrow(_labels, LABELLED).groupBy("key", "label").agg(F.sum("n").alias("n")), "counted")
-    main = counted.groupBy("key").agg(F.max_by("label", "n").alias("main"), F.sum("n").alias("n"), F.max("n").alias("most")).where("most < n")
-    main = main.join(parts.select("key", F.lit(True).alias("part")).distinct(), "key", "left").where((F.col("n") > GROUP) | F.col("part")).select("key", "main")
-    meet = work.put(counted.join(main, "key").where("label <> main").select("main", "label").distinct(), "meet")
+    sizes = crowd.groupBy("label").agg(F.count("*").alias("size"))
+    runs = led.select("a", F.col("b").alias("node")).unionByName(led.select("a", F.col("a").alias("node")).distinct())
+    runs = work.put(runs.join(crowd.select("node", "label"), "node").select("a", "label").distinct().join(sizes, "label"), "runs")
+    main = runs.groupBy("a").agg(F.max(F.struct("size", "label"))["label"].alias("main"))
+    meet = work.put(runs.join(main, "a").where("label <> main").select("main", "label").distinct(), "meet")
     inside = crowd.join(meet.select(F.col("main").alias("label")).distinct(), "label", "left_semi").withColumns({"main": F.col("label"), "outside": F.lit(False)})
     outside = crowd.join(meet, "label").withColumn("outside", F.lit(True))
     columns = ["main", "node", "label", "text", "rows", "outside"]

@@ -77,6 +77,36 @@ def test_bridge_in_a_long_run(spark, monkeypatch):
     assert brute.order(map(tuple, minhash.near_sets(spark.createDataFrame(rows, SCHEMA)).collect())) == plain_sets(rows)
 
 
+def test_meeting_components_follow_from_first_nodes(spark, monkeypatch):
+    """What meets in runs that are not expanded is found with some rows a text, not with a row for each of its tables; texts linked by others only are found."""
+    r, rows, put = random.Random(6), {}, minhash.Workspace.put
+    words = [f"w{k}" for k in range(200)]
+    changed = lambda k, n: (k, " ".join(f"x{k}-{i}" if i in off else w for off in [set(r.sample(range(200), n))] for i, w in enumerate(words)))
+    texts = [changed(k, 14) for k in range(300)] + [changed(k, 5) for k in range(300, 304)]  # only the last ones are alike
+
+    def counted(self, df, name):
+        out = put(self, df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(minhash.Workspace, "put", counted)
+    assert brute.order(map(tuple, minhash.near_sets(spark.createDataFrame(texts, SCHEMA)).collect())) == plain_sets(texts)
+    made = {name: n for name, n in rows.items() if name not in ("signed", "nodes", "found", "pairs", "near", "tiles")}
+    assert rows["crowd"] == 304 and rows["tiles"] >= 1 and max(made.values()) <= minhash.TABLES // 4 * len(texts), rows
+
+
+def test_runs_name_their_first_nodes(monkeypatch):
+    """Each other node of a run that is not expanded comes with its first node, whether the two agree or not."""
+    monkeypatch.setattr(minhash, "GROUP", 2)
+    sign = lambda low: [low] * 4 + [~low & 0x7FFFFFFF]  # noqa: E731  the last one agrees with none
+    columns = [[1] * 2 + [2] * 5 + [3], [1, 2, 1, 4, 5, 6, 7, 8], [5, 5, *sign(5), 5], [5, 5, *sign(5), 5]]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["key", "node", "s1", "s2"])
+    got = [tuple(x.values()) for b in minhash._runs(iter([batch])) for x in b.to_pylist()]
+    assert sorted(got, key=str) == sorted(
+        [(1, 1, None, True, False), (None, 1, 2, True, True), *((None, 1, x, True, x < 7) for x in (4, 5, 6, 7)), (3, 8, None, True, False)], key=str
+    )
+
+
 def test_keys_are_counted_in_their_task(monkeypatch):
     """A node has a key for each table; nodes that share keys and label are one row of a task, however many, unless it holds too many keys."""
     rows = np.arange(2 * minhash.HASHES, dtype=np.uint32).reshape(2, -1)
