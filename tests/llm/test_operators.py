@@ -162,6 +162,41 @@ def test_hot_bands(spark, monkeypatch):
     assert {x for x in packed.column("bucket").to_pylist() if x >= 64} == set(range(64, 72))
 
 
+def test_long_bands():
+    """Of a very long band only the lines that agree go on: as pairs if they are few, else with the band's key."""
+    rng, n = np.random.default_rng(5), 20_000
+    ids, most, rest, size = rng.bytes(16 * n), rng.integers(0, 2**64, n, dtype=np.uint64), rng.integers(0, 2**32, n, dtype=np.uint64).astype(np.uint32), np.arange(n) % 200
+    name = lambda k: ids[16 * k : 16 * k + 16]
+
+    def found(alike):
+        a, b, c = most.copy(), rest.copy(), size.copy()
+        a[alike], b[alike], c[alike] = a[0], b[0], 70
+        columns = (np.full(n, 7, np.uint32).tobytes(), ids, a.tobytes(), b.tobytes(), c.astype(np.uint8).tobytes())
+        names = [x.split()[0] for x in lines.PACKED.split(", ")]
+        return lines._candidates(6)(pa.table(dict(zip(names, [[3], *([x] for x in columns)])))).to_pylist()
+
+    few = found(np.arange(3))
+    assert len(few) < 20 and {frozenset((r["a"], r["b"])) for r in few} >= {frozenset((name(x), name(y))) for x, y in ((0, 1), (0, 2), (1, 2))}
+    many = found(np.arange(0, n, 10))
+    assert len(many) < 2020 and {r["a"] for r in many} >= {name(k) for k in range(0, n, 10)} and {(r["key"], r["b"]) for r in many} == {((3 << 32) + 7, None)}
+
+
+def test_lines_in_rounds(spark, monkeypatch):
+    """Texts are dealt to pairs and tiles in rounds, with the same result."""
+    monkeypatch.setattr(lines, "LEAST_HELD", 4000)
+    monkeypatch.setattr(lines, "SHARE", 0)
+    made, put = [], Workspace.put
+    monkeypatch.setattr(Workspace, "put", lambda self, df, name: made.append(name) or put(self, df, name))
+    r = random.Random(6)
+    base = "".join(r.choice("abcdefghij ") for _ in range(60))
+    rows = []
+    for i in range(150):
+        k = r.randrange(60)
+        rows.append((i, base if i == 70 else base[:k] + r.choice("xyz") + base[k + 1 :]))
+    assert first(lines.dedup_lines(frame(spark, rows)), 4) == brute.line_dedup(rows)
+    assert {"links-1", "tiles-1"} <= {*made}
+
+
 def test_rows_of_one_id_spread(spark, mixed, monkeypatch):
     """Rows without an id, or of one, do not make one group."""
     monkeypatch.setattr(repeats, "BLOCK_BYTES", 2000)
